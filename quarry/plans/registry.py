@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpus",)
+MODULES = ("corpus", "ie")
 
 
 def _collect(attr: str) -> dict:

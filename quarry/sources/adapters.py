@@ -32,3 +32,81 @@ def dirty_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.concat(t, on(17, "\n\n\n\n  x"))
     t = F.concat(on(7, "\u3000\t"), t)
     return d.select("doc_id", t.alias("text"), "lang", "source")
+
+
+# ---- IE records from the star schema --------------------------------------
+# fixed adapter values
+IE_CATE_MAP = {"HOUSEHOLD": "HOME"}
+IE_NO_SCHEMA_TOPIC = "MACHINERY"
+IE_UNUSED_FIELD = "WARRANTY"
+
+
+def ie_source_of(key) -> "F.Column":
+    return F.when(key % 20 == 0, F.lit("valid")).when(key % 20 == 1, F.lit("test")).otherwise(F.lit("train"))
+
+
+def ie_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: the ordered relation array (head=p_brand, relation=p_type,
+    tail=p_name), ordered by (l_linenumber, l_partkey, l_suppkey, l_quantity).
+
+    Sorting structs whose leading fields are the sort keys gives the order
+    without a window."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    item = F.struct(
+        F.col("l_linenumber").alias("k1"), F.col("l_partkey").alias("k2"), F.col("l_suppkey").alias("k3"),
+        F.col("l_quantity").alias("k4"), F.col("p_brand").alias("head"), F.col("p_type").alias("relation"),
+        F.col("p_name").alias("tail"),
+    )
+    return j.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+
+
+def ie_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw IE records, one per order (left join: orders without lines get an
+    empty relation list). ``input`` = segment + ' order: ' + '; '-joined
+    'head tail' of the first four relations; ``source`` by o_orderkey % 20."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    rel = ie_relations(spark, sf_dir)
+    items = F.coalesce(F.col("_items"), F.array())
+    first4 = F.slice(items, 1, 4)
+    relation = F.transform(
+        items,
+        lambda x: F.struct(
+            x["head"].alias("head"), x["relation"].alias("relation"), x["tail"].alias("tail"),
+            F.lit("").alias("head_type"), F.lit("").alias("tail_type"),
+        ),
+    )
+    return (
+        o.join(c, o.o_custkey == c.c_custkey)
+        .join(rel, "o_orderkey", "left")
+        .select(
+            F.col("o_orderkey").cast("string").alias("id"),
+            F.col("c_mktsegment").alias("cate"),
+            F.lit(None).cast("string").alias("text"),
+            F.concat(
+                F.col("c_mktsegment"), F.lit(" order: "),
+                F.array_join(F.transform(first4, lambda x: F.concat_ws(" ", x["head"], x["tail"])), "; "),
+            ).alias("input"),
+            relation.alias("relation"),
+            ie_source_of(F.col("o_orderkey")).alias("source"),
+        )
+    )
+
+
+def ie_topic_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(topic, fields)``: per segment the sorted distinct relation types plus
+    one unused field; no entry for one segment (exercises the skip path).
+    Kept under the *un-renamed* topic names (exercises the reverse lookup)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    j = li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    return (
+        j.filter(F.col("c_mktsegment") != IE_NO_SCHEMA_TOPIC)
+        .groupBy(F.col("c_mktsegment").alias("topic"))
+        .agg(F.array_sort(F.collect_set("p_type")).alias("_f"))
+        .select("topic", F.concat(F.col("_f"), F.array(F.lit(IE_UNUSED_FIELD))).alias("fields"))
+    )
