@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpus", "ie")
+MODULES = ("corpus", "ie", "derive")
 
 
 def _collect(attr: str) -> dict:
