@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpus", "ie", "derive")
+MODULES = ("corpus", "ie", "derive", "chat")
 
 
 def _collect(attr: str) -> dict:

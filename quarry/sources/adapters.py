@@ -110,3 +110,20 @@ def ie_topic_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_sort(F.collect_set("p_type")).alias("_f"))
         .select("topic", F.concat(F.col("_f"), F.array(F.lit(IE_UNUSED_FIELD))).alias("fields"))
     )
+
+
+# ---- conversations ----------------------------------------------------------
+
+def conv_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conversations`` with injected irregularities: every turn = 3 (mod 5)
+    gets an upper-case, space-padded role; (7 * conv_id + turn) % 13 = 0
+    blanks the text; conv_id % 17 = 5 gets an unknown role at turn 1."""
+    c = read_table(spark, sf_dir, "conversations")
+    cid, turn = F.col("conv_id"), F.col("turn")
+    role = (
+        F.when((cid % 17 == 5) & (turn == 1), F.lit("narrator"))
+        .when(turn % 5 == 3, F.concat(F.lit("  "), F.upper("role"), F.lit(" ")))
+        .otherwise(F.col("role"))
+    )
+    text = F.when((cid * 7 + turn) % 13 == 0, F.lit("   ")).otherwise(F.col("text"))
+    return c.select("conv_id", "turn", role.alias("role"), text.alias("text"))
