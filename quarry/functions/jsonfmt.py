@@ -22,7 +22,7 @@ def relations_json(rel: Column) -> Column:
 
         def member(k):
             tails = F.transform(F.filter(of_e, lambda r: r["relation"] == k), lambda r: r["tail"])
-            val = F.when(F.size(tails) == 1, json_quote(F.element_at(tails, 1))).otherwise(json_string_list(tails))
+            val = F.when(F.size(tails) == 1, json_quote(F.try_element_at(tails, F.lit(1)))).otherwise(json_string_list(tails))
             return F.concat(json_quote(k), F.lit(": "), val)
 
         return F.concat(json_quote(e), F.lit(": {"), F.array_join(F.transform(keys, member), ", "), F.lit("}"))

@@ -58,7 +58,7 @@ def normalize_conversations(df: DataFrame, col: str = "conversations") -> DataFr
                        lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
     reason = (
         F.when(F.col(col).isNull() | (F.size(F.col(col)) <= 0), F.lit("empty_list"))
-        .when(F.size(errs) > 0, F.element_at(errs, 1))
+        .when(F.size(errs) > 0, F.try_element_at(errs, F.lit(1)))
         .when(F.size(kept) == 0, F.lit("empty_after_normalize"))
     )
     return df.withColumn("invalid_reason", reason).withColumn(
@@ -74,7 +74,7 @@ def inject_system(df: DataFrame, ratio: float, prompts=None, seed: int = 42, key
     conv = F.col(col)
     if ratio <= 0 or not prompts:
         return df.withColumn("system_injected", F.lit(False))
-    first_is_system = F.element_at(conv, 1)["role"] == "system"
+    first_is_system = F.try_element_at(conv, F.lit(1))["role"] == "system"
     do = conv.isNotNull() & (F.size(conv) > 0) & ~first_is_system & (uniform(seed, F.col(key), "system") < F.lit(ratio))
     choice = F.element_at(F.array(*[F.lit(p) for p in prompts]), (bucket(seed, F.col(key), len(prompts), "system_pick") + 1).cast("int"))
     turn = F.struct(F.lit("system").alias("role"), choice.alias("content"))
@@ -100,7 +100,7 @@ def generation_prompt(df: DataFrame, eos: str = EOS_TOKEN, col: str = "conversat
     """Normalized conversation rendered with the assistant marker appended;
     invalid when the last turn is an assistant turn."""
     n = normalize_conversations(df, col)
-    last_assistant = F.element_at(F.col(col), -1)["role"] == "assistant"
+    last_assistant = F.try_element_at(F.col(col), F.lit(-1))["role"] == "assistant"
     n = n.withColumn("invalid_reason", F.coalesce(F.col("invalid_reason"), F.when(last_assistant, F.lit("ends_with_assistant"))))
     return n.withColumn("prompt", F.when(F.col("invalid_reason").isNull(), render_chat(F.col(col), eos, True)))
 

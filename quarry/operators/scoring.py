@@ -1,14 +1,129 @@
-"""Structured-output scoring (filled in below)."""
+"""Structured-output scoring.
+
+One Arrow UDF (:func:`parse_output`) reproduces Python ``json.loads`` exactly
+(NaN/Infinity accepted, last duplicate key wins, trailing text rejected) and
+returns a canonical nested struct; every check after that is a native
+higher-order-function expression over it.  Three scorer modes exist, as in
+the reference: ``strict`` (flat keys never count as extra), ``alias`` (field
+names resolved through an alias table; flat keys do count) and ``stability``
+(pool = every key including entity names).
+"""
 
 from __future__ import annotations
 
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.text import py_strip
+
+# ---- fixed values ------------------------------------------------------------
+FENCE_RE = r"(?s)^```(?:json)?\s*\n?(.*?)\n?\s*```$"
+GROUPS = ["extraction", "schema_constraint", "format_following"]
+# Field-name aliases of the reference scorer: canonical -> aliases, scanned in
+# this order, first hit wins.
+FIELD_ALIASES = {
+    "创办者": ["创始人", "创建者", "建立者", "发起人"],
+    "位于": ["位置", "地点", "所在地", "地址", "所在"],
+    "发现者或发明者": ["发现者", "发明者", "发现人", "发明人"],
+    "创建或成立时间": ["建造时间", "创建时间", "建立时间", "建成时间"],
+    "发生时间": ["时间", "举办时间", "开始时间"],
+    "发生地点": ["地点", "位置", "举办地"],
+    "常见并发症": ["并发症", "合并症"],
+    "症状": ["主要症状", "常见症状", "临床表现"],
+    "治疗方法": ["治疗", "疗法", "治疗方式"],
+    "成就": ["获奖", "奖项", "荣誉", "成就奖"],
+    "子组织": ["旗下", "下属组织", "子公司", "分支机构"],
+    "别名": ["又称", "又名", "别称", "又称", "也叫"],
+    "组成": ["成分", "原料", "组成部分", "构成"],
+    "用途": ["应用", "应用领域", "主要用途", "作用"],
+    "所属科室": ["科室", "所属科"],
+    "线路": ["所属线路", "路线"],
+    "车站等级": ["等级"],
+    "开通时间": ["启用时间", "运营时间", "通车时间"],
+    "保护级别": ["濒危等级", "保护等级"],
+    "成立时间": ["成立年份", "创立时间", "创建时间"],
+    "出生地": ["出生地点", "籍贯"],
+    "出生日期": ["生日", "出生年月"],
+    "参与者": ["参加者", "参赛者", "参赛方"],
+    "起因": ["原因", "导火索"],
+    "导致": ["结果", "后果"],
+}
+# ---------------------------------------------------------------------------
+
+VAL = T.StructType([T.StructField("s", T.StringType()), T.StructField("is_str", T.BooleanType())])
+FIELD = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("kind", T.StringType()),
+    T.StructField("sval", T.StringType()), T.StructField("vals", T.ArrayType(VAL)),
+])
+ENTRY = T.StructType([
+    T.StructField("key", T.StringType()), T.StructField("is_obj", T.BooleanType()),
+    T.StructField("kind", T.StringType()), T.StructField("sval", T.StringType()),
+    T.StructField("vals", T.ArrayType(VAL)), T.StructField("fields", T.ArrayType(FIELD)),
+])
+PARSED = T.StructType([
+    T.StructField("ok", T.BooleanType()), T.StructField("kind", T.StringType()),
+    T.StructField("entries", T.ArrayType(ENTRY)),
+])
+
+
+def _kind(v) -> str:
+    if isinstance(v, str):
+        return "str"
+    if isinstance(v, list):
+        return "list"
+    if isinstance(v, dict):
+        return "object"
+    return "other"
+
+
+def _vals(v):
+    if isinstance(v, str):
+        return [(v, True)]
+    if isinstance(v, list):
+        return [(x if isinstance(x, str) else str(x), isinstance(x, str)) for x in v]
+    return []
+
+
+def parse_one(text):
+    """``(ok, kind, entries)`` for one cleaned output (Python semantics)."""
+    if text is None:
+        return (False, None, None)
+    try:
+        obj = json.loads(text)
+    except (ValueError, TypeError, RecursionError):
+        return (False, None, None)
+    if obj is None:
+        return (True, "null", None)
+    if not isinstance(obj, dict):
+        return (True, "array" if isinstance(obj, list) else "scalar", None)
+    entries = []
+    for k, v in obj.items():
+        fields = None
+        if isinstance(v, dict):
+            fields = [(fk, _kind(fv), str(fv), _vals(fv)) for fk, fv in v.items()]
+        entries.append((k, isinstance(v, dict), _kind(v), str(v), _vals(v), fields))
+    return (True, "object", entries)
+
+
+@F.pandas_udf(PARSED)
+def _parse(s: pd.Series) -> pd.DataFrame:
+    rows = [parse_one(x) for x in s]
+    return pd.DataFrame(rows, columns=["ok", "kind", "entries"])
+
+
+def parse_output(c: Column) -> Column:
+    """Python ``json.loads`` as a canonical struct (the only Python step).
+
+    Marked nondeterministic only so the optimizer never inlines it into the
+    higher-order functions that consume it (Spark cannot run a Python UDF
+    inside a lambda); it is a pure function."""
+    return _parse.asNondeterministic()(c)
+
 
 def _loads_ok(s) -> bool:
     if s is None:
@@ -16,7 +131,7 @@ def _loads_ok(s) -> bool:
     try:
         json.loads(s)
         return True
-    except (ValueError, TypeError):
+    except (ValueError, TypeError, RecursionError):
         return False
 
 
@@ -29,3 +144,250 @@ def json_ok(c: Column) -> Column:
     """True when Python's ``json.loads`` accepts the text (Spark's native JSON
     parsers accept trailing text and differ on NaN and duplicate keys)."""
     return _json_ok(c)
+
+
+# ---- native parts -----------------------------------------------------------
+
+def clean_output(c: Column) -> Column:
+    """Strip, then unwrap one whole-string code fence (optional ``json``)."""
+    s = py_strip(c)
+    return F.when(s.rlike(FENCE_RE), py_strip(F.regexp_extract(s, FENCE_RE, 1))).otherwise(s)
+
+
+def alias_lookup_map(aliases: dict) -> dict:
+    """name -> canonical, first hit in table order wins (literal config)."""
+    out: dict = {}
+    for canonical, names in aliases.items():
+        for n in [canonical, *names]:
+            out.setdefault(n, canonical)
+    return out
+
+
+def resolve_alias(col: Column, aliases: dict | None = None) -> Column:
+    m = alias_lookup_map(FIELD_ALIASES if aliases is None else aliases)
+    if not m:
+        return col
+    lit_map = F.create_map(*[F.lit(x) for kv in m.items() for x in kv])
+    return F.coalesce(F.try_element_at(lit_map, col), col)
+
+
+def _obj_entries(p: Column) -> Column:
+    return F.filter(F.coalesce(p["entries"], F.array().cast(T.ArrayType(ENTRY))), lambda e: e["is_obj"])
+
+
+def field_pool(p: Column) -> Column:
+    """Inner keys of object values plus keys of non-object values."""
+    es = F.coalesce(p["entries"], F.array().cast(T.ArrayType(ENTRY)))
+    return F.flatten(F.transform(es, lambda e: F.when(e["is_obj"], F.transform(e["fields"], lambda f: f["name"]))
+                                 .otherwise(F.array(e["key"]))))
+
+
+def inner_keys(p: Column) -> Column:
+    return F.flatten(F.transform(_obj_entries(p), lambda e: F.transform(e["fields"], lambda f: f["name"])))
+
+
+def all_keys(p: Column) -> Column:
+    es = F.coalesce(p["entries"], F.array().cast(T.ArrayType(ENTRY)))
+    return F.flatten(F.transform(es, lambda e: F.concat(F.array(e["key"]), F.coalesce(
+        F.transform(e["fields"], lambda f: f["name"]), F.array().cast("array<string>")))))
+
+
+def _enum_violations(p: Column, enums: Column, name_fn=lambda n: n) -> Column:
+    """Ordered ``(field, message)`` for each enum-constrained value not allowed."""
+    def per_field(f):
+        allowed = F.try_element_at(enums, name_fn(f["name"]))
+        vals = F.coalesce(f["vals"], F.array().cast(T.ArrayType(VAL)))
+        bad = F.filter(vals, lambda v: ~(v["is_str"] & F.array_contains(allowed, v["s"])))
+        msg = lambda v: F.concat(F.lit("got '"), v["s"], F.lit("', expected one of ["),
+                                 F.array_join(F.transform(F.array_sort(allowed), lambda a: F.concat(F.lit("'"), a, F.lit("'"))), ", "),
+                                 F.lit("]"))
+        return F.when(allowed.isNotNull(), F.transform(bad, lambda v: F.struct(f["name"].alias("field"), msg(v).alias("msg")))) \
+            .otherwise(F.array().cast("array<struct<field:string,msg:string>>"))
+
+    return F.flatten(F.transform(_obj_entries(p), lambda e: F.flatten(F.transform(e["fields"], per_field))))
+
+
+def _last_per_key(arr: Column, key: str) -> Column:
+    """Keep the last element for each key (dict overwrite semantics)."""
+    return F.filter(arr, lambda x, i: ~F.exists(F.slice(arr, i + 2, F.greatest(F.size(arr), F.lit(1))), lambda y: y[key] == x[key]))
+
+
+def score(df: DataFrame, aliases: dict | None = None) -> DataFrame:
+    """Score ``outputs ⋈ prompts`` rows.  Needs columns ``output`` and
+    ``required_fields``, ``allowed_fields`` (arrays), ``enum_constraints``
+    (map<string, array<string>>), optional ``gold_output``.  Adds the strict,
+    alias and stability results."""
+    aliases = FIELD_ALIASES if aliases is None else aliases
+    d = df.withColumn("clean_output", clean_output(F.col("output"))).withColumn("_p", parse_output(F.col("clean_output")))
+    p = F.col("_p")
+    ok = F.coalesce(p["ok"], F.lit(False))
+    is_dict = ok & (p["kind"] == "object")
+    unparsed = ~ok | (p["kind"] == "null")
+    req, allowed = F.col("required_fields"), F.col("allowed_fields")
+    enums = F.coalesce(F.col("enum_constraints"), F.create_map().cast("map<string,array<string>>"))
+    has_enums = F.size(enums) > 0
+    empty = F.array().cast("array<string>")
+
+    pool = field_pool(p)
+    missing = F.when(is_dict, F.filter(req, lambda f: ~F.array_contains(pool, f))).otherwise(req)
+    extra = F.when(is_dict, F.filter(inner_keys(p), lambda f: ~F.array_contains(allowed, f))).otherwise(empty)
+    viol = _last_per_key(_enum_violations(p, enums), "field")
+    enum_ok = F.size(viol) == 0
+    d = (
+        d.withColumn("parsed", ok)
+        .withColumn("missing_fields", missing)
+        .withColumn("extra_fields", F.when(unparsed, empty).otherwise(extra))
+        .withColumn("enum_ok", F.when(~unparsed & has_enums, enum_ok))
+        .withColumn("enum_violations", F.when(~unparsed & has_enums, F.map_from_entries(viol)))
+        .withColumn("schema_strict", ~unparsed & is_dict & (F.size(missing) == 0) & (F.size(extra) == 0) & enum_ok)
+    )
+    # alias-normalized (flat keys count as extra here)
+    canon = lambda f: resolve_alias(f, aliases)
+    pool_n = F.transform(pool, canon)
+    miss_a = F.when(is_dict, F.filter(req, lambda f: ~F.array_contains(pool_n, f))).otherwise(req)
+    extra_a = F.when(is_dict, F.array_sort(F.filter(F.array_distinct(pool), lambda f: ~F.array_contains(allowed, canon(f))))).otherwise(empty)
+    enum_ok_a = F.size(_enum_violations(p, enums, canon)) == 0
+    d = (
+        d.withColumn("missing_fields_alias", miss_a)
+        .withColumn("extra_fields_alias", extra_a)
+        .withColumn("schema_strict_alias", is_dict & (F.size(miss_a) == 0) & (F.size(extra_a) == 0) & enum_ok_a)
+    )
+    # stability scorer: every key (entity names too) is in the pool
+    allk = F.array_distinct(all_keys(p))
+    miss_s = F.when(~unparsed, F.filter(req, lambda f: ~F.array_contains(allk, f))).otherwise(req)
+    extra_s = F.when(~unparsed, F.array_sort(F.filter(allk, lambda f: ~F.array_contains(allowed, f)))).otherwise(empty)
+    allk_n = F.transform(allk, canon)
+    miss_sa = F.when(~unparsed, F.filter(req, lambda f: ~F.array_contains(allk_n, f))).otherwise(req)
+    extra_sa = F.when(~unparsed, F.array_sort(F.filter(allk, lambda f: ~F.array_contains(allowed, canon(f))))).otherwise(empty)
+    d = (
+        d.withColumn("missing_fields_stab", miss_s)
+        .withColumn("extra_fields_stab", extra_s)
+        .withColumn("schema_strict_stab", ~unparsed & (F.size(miss_s) == 0) & (F.size(extra_s) == 0) & enum_ok)
+        .withColumn("schema_strict_stab_alias", ~unparsed & (F.size(miss_sa) == 0) & (F.size(extra_sa) == 0) & enum_ok)
+    )
+    if "gold_output" in df.columns:
+        d = d.withColumn("_g", parse_output(F.col("gold_output")))
+        d = d.withColumn("value_match", F.when(~unparsed & is_dict, value_match(p, F.col("_g")))).drop("_g")
+    return d.drop("_p")
+
+
+def value_match(p: Column, gold: Column) -> Column:
+    """Per gold field: parsed value equals gold (``str()`` forms), or for list
+    vs list, gold's string set is a subset.  Gold entities missing from the
+    output (or not objects there) add nothing; keyed by field, last wins."""
+    pe = _obj_entries(p)
+
+    def per_gold_entity(ge):
+        hit = F.filter(pe, lambda e: e["key"] == ge["key"])
+        pfields = F.try_element_at(hit, F.lit(1))["fields"]
+
+        def per_field(gf):
+            pf = F.try_element_at(F.filter(pfields, lambda f: f["name"] == gf["name"]), F.lit(1))
+            listy = (gf["kind"] == "list") & (pf["kind"] == "list")
+            sub = F.size(F.array_except(F.transform(gf["vals"], lambda v: v["s"]), F.transform(pf["vals"], lambda v: v["s"]))) == 0
+            m = F.when(pf.isNull(), F.lit(False)).when(listy, sub).otherwise(pf["sval"] == gf["sval"])
+            return F.struct(gf["name"].alias("field"), m.alias("match"))
+
+        return F.when(F.size(hit) > 0, F.transform(ge["fields"], per_field)).otherwise(
+            F.array().cast("array<struct<field:string,match:boolean>>"))
+
+    pairs = F.flatten(F.transform(_obj_entries(gold), per_gold_entity))
+    return F.map_from_entries(_last_per_key(pairs, "field"))
+
+
+# ---- summaries ---------------------------------------------------------------
+
+def _rate(cond: Column, n: Column) -> Column:
+    return F.when(n > 0, F.count_if(cond) / n).otherwise(F.lit(0.0))
+
+
+def by_model(scored: DataFrame) -> DataFrame:
+    n = F.count(F.lit(1))
+    return scored.groupBy("model").agg(
+        n.alias("total"),
+        F.count_if("parsed").alias("parseable"),
+        _rate(F.col("parsed"), n).alias("parseable_rate"),
+        F.sum(F.size("missing_fields")).cast("bigint").alias("missing_fields_count"),
+        _rate(F.size("missing_fields") > 0, n).alias("missing_rate"),
+        F.sum(F.size("extra_fields")).cast("bigint").alias("extra_fields_count"),
+        _rate(F.size("extra_fields") > 0, n).alias("hallucination_rate"),
+        F.count_if("schema_strict").alias("schema_strict_count"),
+        _rate(F.col("schema_strict"), n).alias("schema_strict_rate"),
+        _rate(F.col("schema_strict_alias"), n).alias("schema_strict_alias_rate"),
+        _rate(F.size("missing_fields_alias") > 0, n).alias("missing_alias_rate"),
+        _rate(F.size("extra_fields_alias") > 0, n).alias("hallucination_alias_rate"),
+        F.sum("latency_s").alias("total_time_s"),
+        F.avg("latency_s").alias("avg_latency_s"),
+    )
+
+
+def by_group(scored: DataFrame, groups=GROUPS) -> DataFrame:
+    n = F.count(F.lit(1))
+    return scored.filter(F.col("group").isin(list(groups))).groupBy("model", "group").agg(
+        n.alias("total"),
+        (F.count_if("parsed") / n).alias("parseable_rate"),
+        (F.count_if(F.size("missing_fields") > 0) / n).alias("missing_rate"),
+        (F.count_if(F.size("extra_fields") > 0) / n).alias("hallucination_rate"),
+        (F.count_if("schema_strict") / n).alias("schema_strict_rate"),
+        (F.count_if("schema_strict_alias") / n).alias("schema_strict_alias_rate"),
+        (F.count_if(F.size("missing_fields_alias") > 0) / n).alias("missing_alias_rate"),
+    )
+
+
+def leaderboard(by_model_df: DataFrame, model_order: list) -> DataFrame:
+    """Rank by strict rate desc, parse rate desc, then run order (one row per
+    model, so the unpartitioned window is over a handful of rows)."""
+    from quarry.operators.sample import order_index
+
+    w = W.orderBy(F.desc("schema_strict_rate"), F.desc("parseable_rate"), order_index(model_order, F.col("model")))
+    return by_model_df.select(
+        F.row_number().over(w).alias("rank"), "model", "schema_strict_rate", "schema_strict_alias_rate",
+        "parseable_rate", "missing_rate", "hallucination_rate",
+    )
+
+
+def round_summary(scored: DataFrame, by: str = "round") -> DataFrame:
+    """Stability round summary: parse / strict / alias-strict rates, errors,
+    timing; request errors are rows with ``parsed = false`` and ``error``."""
+    n = F.count(F.lit(1))
+    return scored.groupBy(by).agg(
+        n.alias("total"),
+        F.count_if(F.coalesce(F.col("error"), F.lit(False))).alias("errors"),
+        (F.count_if("parsed") / n).alias("parse_rate"),
+        (F.count_if("schema_strict_stab") / n).alias("strict_rate"),
+        (F.count_if("schema_strict_stab_alias") / n).alias("alias_strict_rate"),
+        F.sum("latency_s").alias("total_time_s"),
+        (F.sum("latency_s") / n).alias("avg_latency_s"),
+    )
+
+
+def round_wide(scored: DataFrame, by: str = "round", groups=GROUPS) -> DataFrame:
+    """One wide row per round: totals plus per-group rates (pivot on the
+    fixed group list, so no distinct-values pass is needed)."""
+    s = round_summary(scored, by)
+    g = (
+        scored.groupBy(by).pivot("group", list(groups)).agg(
+            (F.count_if("parsed") / F.count(F.lit(1))).alias("parse_rate"),
+            (F.count_if("schema_strict_stab") / F.count(F.lit(1))).alias("strict_rate"),
+        )
+    )
+    return s.join(g, by)
+
+
+def structural_quality(scored: DataFrame, by=None) -> DataFrame:
+    """Our definition (the reference ships only its result file): entity-key
+    rate = parsed object with at least one object value; Han-field rate = all
+    field names contain a Han character; field overlap = mean share of
+    required fields present."""
+    keys = [by] if isinstance(by, str) else list(by or [])
+    d = scored.withColumn("_p", parse_output(F.col("clean_output")))
+    ent = F.coalesce(F.exists(F.coalesce(F.col("_p.entries"), F.array().cast(T.ArrayType(ENTRY))), lambda e: e["is_obj"]), F.lit(False))
+    pool = field_pool(F.col("_p"))
+    han = (F.size(pool) > 0) & F.forall(pool, lambda f: f.rlike(r"\p{IsHan}"))
+    req = F.col("required_fields")
+    overlap = F.when(F.size(req) > 0, F.size(F.array_intersect(pool, req)) / F.size(req)).otherwise(F.lit(0.0))
+    n = F.count(F.lit(1))
+    return d.groupBy(*keys).agg(
+        n.alias("total"), (F.count_if(ent) / n).alias("entity_key_rate"),
+        (F.count_if(F.coalesce(han, F.lit(False))) / n).alias("chinese_fields_rate"), F.avg(overlap).alias("avg_field_overlap"),
+    )

@@ -42,7 +42,7 @@ def q_generation_prompt(spark, sf_dir):
 def q_system_inject(spark, sf_dir):
     n = normalized(spark, sf_dir).filter(F.col("invalid_reason").isNull())
     s = ch.inject_system(n, SYSTEM_RATIO, seed=SEED)
-    return s.select("conv_id", "system_injected", F.element_at("conversations", 1)["content"].alias("first_content"),
+    return s.select("conv_id", "system_injected", F.try_element_at("conversations", F.lit(1))["content"].alias("first_content"),
                     F.size("conversations").alias("n_turns"))
 
 

@@ -127,3 +127,84 @@ def conv_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.when((cid * 7 + turn) % 13 == 0, F.lit("   ")).otherwise(F.col("text"))
     return c.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+
+
+# ---- structured-output evaluation fixtures ----------------------------------
+# fixed adapter values
+EVAL_MODELS = ["base", "adapted", "small"]
+EVAL_GROUPS = ["extraction", "schema_constraint", "format_following"]
+EVAL_ENUM_FIELD = "ECONOMY"
+EVAL_ALIASES = {"LARGE": ["BIG", "HUGE"], "SMALL": ["TINY", "BIG"]}
+EVAL_RENAMES = [("LARGE", "BIG"), ("SMALL", "TINY")]
+EVAL_UNKNOWN_FIELD = ("COLOR", "red")
+EVAL_INSTRUCTIONS = {
+    "extraction": "Extract every entity and its relations from the text as JSON.",
+    "schema_constraint": "Use only the fields of the given schema; answer in JSON.",
+    "format_following": "Output only a JSON object, nothing else.",
+}
+
+
+def eval_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One prompt per order with at least two relations: required = first two
+    distinct relation types; allowed = the segment's schema fields (the
+    order's own types when the segment has none); enum = the ECONOMY field
+    limited to tails that occur among the first four relations (those in the
+    text); gold = the grouped relations JSON; group by key % 3."""
+    from quarry.functions.jsonfmt import relations_json
+
+    src = ie_src(spark, sf_dir).filter(F.size("relation") >= 2)
+    schema = ie_topic_schema(spark, sf_dir)
+    rel = F.col("relation")
+    types = F.array_distinct(F.transform(rel, lambda r: r["relation"]))
+    first4 = F.slice(rel, 1, 4)
+    enum_vals = F.array_sort(F.array_distinct(F.transform(F.filter(first4, lambda r: r["relation"] == EVAL_ENUM_FIELD), lambda r: r["tail"])))
+    has_enum = F.array_contains(types, EVAL_ENUM_FIELD)
+    grp = F.element_at(F.array(*[F.lit(g) for g in EVAL_GROUPS]), (F.col("id").cast("bigint") % 3 + 1).cast("int"))
+    return (
+        src.join(schema.withColumnRenamed("topic", "cate"), "cate", "left")
+        .select(
+            "id", grp.alias("group"), F.lit(None).cast("string").alias("_x"), "input",
+            F.slice(types, 1, 2).alias("required_fields"),
+            F.coalesce(F.col("fields"), F.array_sort(types)).alias("allowed_fields"),
+            F.when(has_enum, F.create_map(F.lit(EVAL_ENUM_FIELD), enum_vals)).otherwise(
+                F.create_map().cast("map<string,array<string>>")).alias("enum_constraints"),
+            relations_json(F.transform(rel, lambda r: F.struct(r["head"].alias("head"), r["relation"].alias("relation"), r["tail"].alias("tail")))).alias("gold_output"),
+            F.transform(rel, lambda r: F.struct(r["head"].alias("head"), r["relation"].alias("relation"), r["tail"].alias("tail"))).alias("_rel"),
+        )
+        .drop("_x")
+    )
+
+
+def eval_outputs(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
+    """Model outputs: every model answers every prompt; the answer is the gold
+    JSON damaged by class ``draw(seed, model:id) % 8``: none, code fence, drop
+    the first required field, alias renames, unknown field, broken JSON,
+    ``null``, wrapped in an array.  Latency is a draw as well."""
+    from quarry.functions.draw import draw
+    from quarry.functions.jsonfmt import relations_json
+
+    p = eval_prompts(spark, sf_dir)
+    models = F.explode(F.array(*[F.struct(F.lit(i).alias("model_ord"), F.lit(m).alias("model")) for i, m in enumerate(EVAL_MODELS)]))
+    x = p.select(models.alias("m"), "*").select("m.model", "m.model_ord", *p.columns)
+    key = F.concat_ws(":", F.col("model"), F.col("id"))
+    cls = F.pmod(draw(seed, key, "class"), F.lit(8))
+    gold, rel = F.col("gold_output"), F.col("_rel")
+    renamed = gold
+    for old, new in EVAL_RENAMES:
+        renamed = F.replace(renamed, F.lit(f'"{old}": '), F.lit(f'"{new}": '))
+    dropped = relations_json(F.filter(rel, lambda r: r["relation"] != F.try_element_at(F.col("required_fields"), F.lit(1))))
+    extra = relations_json(F.concat(rel, F.array(F.struct(
+        F.try_element_at(rel, F.lit(1))["head"].alias("head"), F.lit(EVAL_UNKNOWN_FIELD[0]).alias("relation"),
+        F.lit(EVAL_UNKNOWN_FIELD[1]).alias("tail")))))
+    out = (
+        F.when(cls == 0, gold)
+        .when(cls == 1, F.concat(F.lit("```json\n"), gold, F.lit("\n```")))
+        .when(cls == 2, dropped)
+        .when(cls == 3, renamed)
+        .when(cls == 4, extra)
+        .when(cls == 5, F.substring(gold, F.lit(1), F.length(gold) - 1))
+        .when(cls == 6, F.lit("null"))
+        .otherwise(F.concat(F.lit("["), gold, F.lit("]")))
+    )
+    lat = F.lit(0.1) + F.pmod(draw(seed, key, "latency"), F.lit(1000)) / F.lit(1000.0)
+    return x.select("model", "model_ord", "id", "group", out.alias("output"), lat.alias("latency_s"))
