@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpus", "ie", "derive", "chat", "scoring", "tokenize")
+MODULES = ("corpus", "ie", "derive", "chat", "scoring", "tokenize", "logs")
 
 
 def _collect(attr: str) -> dict:

@@ -208,3 +208,41 @@ def eval_outputs(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     )
     lat = F.lit(0.1) + F.pmod(draw(seed, key, "latency"), F.lit(1000)) / F.lit(1000.0)
     return x.select("model", "model_ord", "id", "group", out.alias("output"), lat.alias("latency_s"))
+
+
+# ---- benchmark and training logs from the events table ----------------------
+
+def bench_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request log: config = event_type, time = value, run = user_id % 3,
+    completion tokens = event_id % 256 (0 tokens = failed request); a TTFT is
+    logged only for 'click' events."""
+    e = read_table(spark, sf_dir, "events")
+    tokens = (F.col("event_id") % 256).cast("int")
+    return e.select(
+        F.col("event_type").alias("config"), (F.col("user_id") % 3).alias("run"), F.col("event_id"),
+        F.col("value").alias("time_total_s"), tokens.alias("completion_tokens"),
+        F.when(F.col("event_type") == "click", F.col("value") / 10).alias("ttft_s"),
+        F.when((tokens > 0) & (F.col("value") > 0), F.lit("ok")).otherwise(F.lit("error")).alias("status"),
+    )
+
+
+def kv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cache benchmark log: prompt_len = 128 * (1 + user_id % 4), gen_len =
+    64 * (1 + event_id % 2), mode by event_id % 3 (0 = no cache), time = value."""
+    e = read_table(spark, sf_dir, "events")
+    return e.select(
+        (F.lit(128) * (F.lit(1) + F.col("user_id") % 4)).alias("prompt_len"),
+        (F.lit(64) * (F.lit(1) + F.col("event_id") % 2)).alias("gen_len"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("no_cache")).otherwise(F.lit("cache")).alias("mode"),
+        F.col("value").alias("time_s"),
+    )
+
+
+def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training log: run = event_type, step = event_id, val_loss = value,
+    loss = value / 10, token weight = user_id % 5."""
+    e = read_table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("val_loss"),
+        (F.col("value") / 10).alias("loss"), (F.col("user_id") % 5).alias("weight"), F.col("ts"),
+    )
