@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpus", "ie", "derive", "chat", "scoring", "tokenize", "logs")
+MODULES = ("corpus", "ie", "derive", "chat", "scoring", "tokenize", "logs", "streams")
 
 
 def _collect(attr: str) -> dict:
