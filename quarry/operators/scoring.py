@@ -212,7 +212,7 @@ def _last_per_key(arr: Column, key: str) -> Column:
     return F.filter(arr, lambda x, i: ~F.exists(F.slice(arr, i + 2, F.greatest(F.size(arr), F.lit(1))), lambda y: y[key] == x[key]))
 
 
-def score(df: DataFrame, aliases: dict | None = None) -> DataFrame:
+def score(df: DataFrame, aliases: dict | None = None, with_value_match: bool = True) -> DataFrame:
     """Score ``outputs ⋈ prompts`` rows.  Needs columns ``output`` and
     ``required_fields``, ``allowed_fields`` (arrays), ``enum_constraints``
     (map<string, array<string>>), optional ``gold_output``.  Adds the strict,
@@ -265,7 +265,7 @@ def score(df: DataFrame, aliases: dict | None = None) -> DataFrame:
         .withColumn("schema_strict_stab", ~unparsed & (F.size(miss_s) == 0) & (F.size(extra_s) == 0) & enum_ok)
         .withColumn("schema_strict_stab_alias", ~unparsed & (F.size(miss_sa) == 0) & (F.size(extra_sa) == 0) & enum_ok)
     )
-    if "gold_output" in df.columns:
+    if with_value_match and "gold_output" in df.columns:
         d = d.withColumn("_g", parse_output(F.col("gold_output")))
         d = d.withColumn("value_match", F.when(~unparsed & is_dict, value_match(p, F.col("_g")))).drop("_g")
     return d.drop("_p")

@@ -106,20 +106,31 @@ def prefix_sums(df: DataFrame, order: str, value: str, bucket_width: int, name:
 def pack_windows(docs: DataFrame, order: str, ids: str, length: int, bucket_width: int = 4096) -> DataFrame:
     """Concatenate all token ids in ``order`` and cut them into windows:
     ``x = t[wL : wL+L]``, ``y = t[wL+1 : wL+L+1]`` for every window with a full
-    ``y``.  Each token goes to at most two windows, so groups are bounded by
-    ``L`` (no skew), and the only data-sized shuffle is the regrouping."""
+    ``y`` (window w needs the L + 1 tokens at positions wL .. wL+L).
+
+    Each document emits one *slice* per window it overlaps (about n/L + 2
+    rows, not one row per token); the regrouping by window is the only
+    data-sized shuffle and every group holds at most L + 1 tokens."""
+    L = length
     d = docs.withColumn("_n", F.size(ids))
-    d = prefix_sums(d, order, "_n", bucket_width, "_off")
-    total = d.agg(F.sum("_n").alias("total"))
-    tok = d.select(F.posexplode(ids).alias("_i", "_id"), "_off").select((F.col("_off") + F.col("_i")).alias("p"), "_id")
-    xs = tok.select(F.floor(F.col("p") / length).alias("window"), F.lit("x").alias("k"), "p", "_id")
-    ys = tok.filter(F.col("p") > 0).select(F.floor((F.col("p") - 1) / length).alias("window"), F.lit("y").alias("k"), "p", "_id")
-    g = xs.unionByName(ys).groupBy("window").agg(
-        F.array_sort(F.collect_list(F.when(F.col("k") == "x", F.struct("p", "_id")))).alias("_x"),
-        F.array_sort(F.collect_list(F.when(F.col("k") == "y", F.struct("p", "_id")))).alias("_y"),
-    )
-    g = g.select("window", F.transform("_x", lambda s: s["_id"]).alias("x"), F.transform("_y", lambda s: s["_id"]).alias("y"))
-    return g.filter((F.size("x") == length) & (F.size("y") == length))
+    d = prefix_sums(d, order, "_n", bucket_width, "_off").filter(F.col("_n") > 0)
+    first_w = F.greatest(F.floor((F.col("_off") - 1) / L), F.lit(0))
+    last_w = F.floor((F.col("_off") + F.col("_n") - 1) / L)
+    off, n = F.col("_off"), F.col("_n")
+
+    def piece(w):
+        lo = F.greatest(w * L, off)
+        hi = F.least(w * L + L, off + n - 1)
+        return F.struct(w.alias("window"), lo.alias("start"),
+                        F.slice(F.col(ids), (lo - off + 1).cast("int"), F.greatest(hi - lo + 1, F.lit(0)).cast("int")).alias("piece"))
+
+    # slices are cut inside the array, so exploded rows carry only their slice
+    pieces = d.select(F.explode(F.transform(F.sequence(first_w, last_w), piece)).alias("p")).select("p.*")
+    pieces = pieces.filter(F.size("piece") > 0)
+    g = pieces.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("start", "piece"))).alias("_p"))
+    toks = F.flatten(F.transform("_p", lambda s: s["piece"]))
+    g = g.select("window", toks.alias("_t")).filter(F.size("_t") == L + 1)
+    return g.select("window", F.slice("_t", 1, L).alias("x"), F.slice("_t", 2, L).alias("y"))
 
 
 def truncate_history(turn_tokens: Column, system_tokens: Column, fixed_tokens: int, budget: int) -> Column:

@@ -8,6 +8,7 @@ from quarry.functions.draw import draw_sql
 from quarry.operators import derive as dv
 from quarry.operators import sample as sp
 from quarry.plans.ie import IE_SQL, tiered
+from quarry.session import cut_lineage
 from quarry.sources.adapters import IE_CATE_MAP, IE_NO_SCHEMA_TOPIC, IE_UNUSED_FIELD, ie_topic_schema
 
 SEED = 42
@@ -19,7 +20,10 @@ def derived(spark, sf_dir):
 
 
 def sampled(spark, sf_dir):
-    return sp.priority_sample(derived(spark, sf_dir), target=SAMPLE_TARGET, seed=SEED)
+    # the derived table feeds several small planning aggregates and the
+    # sampling windows: materialise it once (reliable checkpoint)
+    d = cut_lineage(derived(spark, sf_dir))
+    return sp.priority_sample(d, target=SAMPLE_TARGET, seed=SEED)
 
 
 def indexed(spark, sf_dir):
@@ -27,7 +31,7 @@ def indexed(spark, sf_dir):
 
 
 def chat(spark, sf_dir):
-    c = sp.to_chat(indexed(spark, sf_dir))
+    c = cut_lineage(sp.to_chat(indexed(spark, sf_dir)))
     return sp.exact_split(c, F.col("id"), sp.INTERNAL_VALID_RATIO, SEED)
 
 

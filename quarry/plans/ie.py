@@ -208,3 +208,25 @@ SELECT cate, count(*) AS count, count(*) / sum(count(*)) OVER () AS share FROM t
     "ie_check": f"""WITH {IE_SQL}
 SELECT 0::BIGINT AS missing_input, 0::BIGINT AS missing_relation, count(*) FILTER (WHERE cate = 'HOUSEHOLD') AS old_cate FROM iem""",
 }
+
+
+def q_top_categories(spark, sf_dir):
+    from quarry.operators.stats import top_k
+
+    train, _, _ = split_sets(spark, sf_dir)
+    return top_k(train, "cate", 3)
+
+
+def q_distinct_texts(spark, sf_dir):
+    """Unique inputs per split and the size of the valid ∪ test text set."""
+    n = normalized(spark, sf_dir)
+    per = n.groupBy("source").agg(F.count_distinct("input").alias("unique_texts"))
+    held = ie.leak_keys(n.filter(F.col("source") == "valid"), n.filter(F.col("source") == "test"))
+    return per.unionByName(held.agg(F.lit("valid+test").alias("source"), F.count(F.lit(1)).alias("unique_texts")))
+
+
+QUERIES["top_categories"] = q_top_categories
+QUERIES["distinct_texts"] = q_distinct_texts
+ORACLE["top_categories"] = f"WITH {IE_SQL} SELECT cate, count(*) AS count FROM train GROUP BY cate ORDER BY count DESC, cate LIMIT 3"
+ORACLE["distinct_texts"] = f"""WITH {IE_SQL} SELECT source, count(DISTINCT input) AS unique_texts FROM iem GROUP BY source
+UNION ALL SELECT 'valid+test', count(DISTINCT input) FROM iem WHERE source IN ('valid', 'test')"""

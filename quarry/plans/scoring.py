@@ -19,10 +19,10 @@ from quarry.sources.adapters import (
 SEED = 42
 
 
-def scored(spark, sf_dir):
+def scored(spark, sf_dir, value_match=False):
     p = eval_prompts(spark, sf_dir).select("id", "required_fields", "allowed_fields", "enum_constraints", "gold_output")
     o = eval_outputs(spark, sf_dir, SEED)
-    return sc.score(o.join(p, "id"), aliases=EVAL_ALIASES)
+    return sc.score(o.join(p, "id"), aliases=EVAL_ALIASES, with_value_match=value_match)
 
 
 def _j(c):
@@ -54,7 +54,7 @@ def q_enum_check(spark, sf_dir):
 
 
 def q_value_match(spark, sf_dir):
-    s = scored(spark, sf_dir).filter(F.col("value_match").isNotNull())
+    s = scored(spark, sf_dir, value_match=True).filter(F.col("value_match").isNotNull())
     vals = F.map_values("value_match")
     return s.select("model", "id", F.size(vals).alias("n_fields"), F.size(F.filter(vals, lambda x: x)).alias("n_match"))
 
@@ -297,3 +297,41 @@ ORACLE["prompt_text"] = f"""WITH {EVAL_SQL}, pt AS (
     CASE WHEN contains({_INS_SQL}, '文本:') OR contains({_INS_SQL}, '从文本') THEN input ELSE '文本: ' || input END) AS t
   FROM prompts)
 SELECT id, grp AS "group", sha256(t) AS prompt_hash, length(t) AS prompt_len FROM pt"""
+
+
+PROMPT_LIMIT = 40
+
+
+def q_prompt_limit(spark, sf_dir):
+    """First-N prompt selection (the limit is the feature): N prompts in id order."""
+    p = eval_prompts(spark, sf_dir)
+    return p.orderBy(F.col("id").cast("bigint")).limit(PROMPT_LIMIT).select("id", "group", F.size("required_fields").alias("n_required"))
+
+
+def q_smoke_check(spark, sf_dir):
+    """Looser check of a smoke run: strip, drop a leading ```json / ``` and a
+    trailing ```, strip; PASS when the rest parses as JSON, else PARTIAL."""
+    from quarry.functions.text import py_strip
+
+    o = eval_outputs(spark, sf_dir, SEED)
+    s = py_strip(F.col("output"))
+    s = F.when(s.startswith("```json"), F.substring(s, 8, 1 << 30)).otherwise(s)
+    s = F.when(s.startswith("```"), F.substring(s, 4, 1 << 30)).otherwise(s)
+    s = F.when(s.endswith("```"), F.substring(s, F.lit(1), F.length(s) - 3)).otherwise(s)
+    s = py_strip(s)
+    d = o.withColumn("_c", s).withColumn("_p", sc.parse_output(F.col("_c")))
+    n_fields = F.when(F.col("_p.kind") == "object", F.size("_p.entries"))
+    return d.select("model", "id", F.when(F.col("_p.ok"), F.lit("PASS")).otherwise(F.lit("PARTIAL")).alias("status"),
+                    n_fields.alias("n_fields"))
+
+
+QUERIES["prompt_limit"] = q_prompt_limit
+QUERIES["smoke_check"] = q_smoke_check
+ORACLE["prompt_limit"] = f"""WITH {EVAL_SQL} SELECT id, grp AS "group", len(required) AS n_required FROM prompts
+ORDER BY CAST(id AS BIGINT) LIMIT {PROMPT_LIMIT}"""
+ORACLE["smoke_check"] = f"""WITH {EVAL_SQL}, s1 AS (SELECT model, id, trim(output, {WS_SQL}) AS s FROM outs),
+s2 AS (SELECT model, id, CASE WHEN starts_with(s, '```json') THEN substr(s, 8) ELSE s END AS s FROM s1),
+s3 AS (SELECT model, id, CASE WHEN starts_with(s, '```') THEN substr(s, 4) ELSE s END AS s FROM s2),
+s4 AS (SELECT model, id, trim(CASE WHEN suffix(s, '```') THEN substr(s, 1, length(s) - 3) ELSE s END, {WS_SQL}) AS s FROM s3)
+SELECT model, id, CASE WHEN json_valid(s) THEN 'PASS' ELSE 'PARTIAL' END AS status,
+  CASE WHEN json_valid(s) AND json_type(s::JSON) = 'OBJECT' THEN len(json_keys(s)) END AS n_fields FROM s4"""

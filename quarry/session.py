@@ -54,6 +54,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
+    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss.
+
+    The frame is persisted first so writing the checkpoint reads the cached
+    blocks instead of computing the plan a second time."""
+    from pyspark import StorageLevel
+
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

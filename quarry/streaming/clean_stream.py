@@ -70,3 +70,13 @@ def stream_train_summary(spark: SparkSession, log_stream: DataFrame, name: str =
     q.awaitTermination()
     r = spark.read.parquet(out)
     return r.select("run", (F.col("wsum") / F.nullif("wtot", F.lit(0))).alias("weighted_loss"), "best_val_loss", "evals")
+
+
+def append_log(stream: DataFrame, path: str, checkpoint: str, stamp: str = "logged_at"):
+    """Append-only log sink (chat turns, training records): every micro-batch
+    is appended with a UTC timestamp through ``foreachBatch``; returns the
+    started query."""
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.withColumn(stamp, F.current_timestamp()).write.mode("append").parquet(path)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
