@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import ie
 from quarry.plans.corpus import WS_SQL
+from quarry.session import cut_lineage
 from quarry.sources.adapters import IE_CATE_MAP, ie_src
 
 # Thresholds scaled to the adapter's records (library defaults stay the reference's).
@@ -20,7 +21,9 @@ def normalized(spark, sf_dir):
 
 
 def split_sets(spark, sf_dir):
-    n = normalized(spark, sf_dir)
+    # normalized records feed four branches (train, two hold-outs, quantiles):
+    # materialise them once, like the reference's step-1 output file
+    n = cut_lineage(normalized(spark, sf_dir))
     return n.filter(F.col("source") == "train"), n.filter(F.col("source") == "valid"), n.filter(F.col("source") == "test")
 
 

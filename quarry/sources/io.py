@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +23,6 @@ def read_text_records(spark: SparkSession, path: str, key: str = "text") -> Data
     """Tolerant corpus scan: each non-blank line parsed with Python semantics;
     lines that are not JSON, or whose ``key`` is not a string, are dropped
     (uncounted, like the reference).  Uses the row-local Arrow parse helper."""
-    import pandas as pd
-
     @F.pandas_udf(T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("text", T.StringType())]))
     def _get(s: pd.Series) -> pd.DataFrame:
         out = []
