@@ -110,19 +110,33 @@ def parse_one(text):
     return (True, "object", entries)
 
 
-@F.pandas_udf(PARSED)
-def _parse(s: pd.Series) -> pd.DataFrame:
-    rows = [parse_one(x) for x in s]
-    return pd.DataFrame(rows, columns=["ok", "kind", "entries"])
+def _canonical(text) -> str:
+    ok, kind, entries = parse_one(text)
+    ents = None
+    if entries is not None:
+        ents = [
+            {"key": k, "is_obj": o, "kind": kd, "sval": sv, "vals": [{"s": a, "is_str": b} for a, b in vs],
+             "fields": None if fs is None else [
+                 {"name": n, "kind": fk, "sval": fsv, "vals": [{"s": a, "is_str": b} for a, b in fvs]} for n, fk, fsv, fvs in fs]}
+            for k, o, kd, sv, vs, fs in entries
+        ]
+    return json.dumps({"ok": ok, "kind": kind, "entries": ents}, ensure_ascii=False)
+
+
+@F.pandas_udf(T.StringType())
+def _parse(s: pd.Series) -> pd.Series:
+    return s.map(_canonical)
 
 
 def parse_output(c: Column) -> Column:
     """Python ``json.loads`` as a canonical struct (the only Python step).
 
-    Marked nondeterministic only so the optimizer never inlines it into the
-    higher-order functions that consume it (Spark cannot run a Python UDF
-    inside a lambda); it is a pure function."""
-    return _parse.asNondeterministic()(c)
+    The UDF returns the canonical structure as one JSON string and Spark's
+    native ``from_json`` builds the nested struct (a string column crosses
+    Arrow far faster than nested Python objects).  Marked nondeterministic
+    only so the optimizer never inlines it into the higher-order functions
+    that consume it; it is a pure function."""
+    return F.from_json(_parse.asNondeterministic()(c), PARSED)
 
 
 def _loads_ok(s) -> bool:

@@ -11,6 +11,7 @@ from quarry.functions.draw import draw_sql
 from quarry.operators import scoring as sc
 from quarry.plans.corpus import WS_SQL
 from quarry.plans.derive import RELJSON
+from quarry.session import cut_lineage
 from quarry.sources.adapters import (
     EVAL_ALIASES, EVAL_ENUM_FIELD, EVAL_GROUPS, EVAL_INSTRUCTIONS, EVAL_MODELS, EVAL_RENAMES, EVAL_UNKNOWN_FIELD,
     eval_outputs, eval_prompts,
@@ -20,8 +21,11 @@ SEED = 42
 
 
 def scored(spark, sf_dir, value_match=False):
-    p = eval_prompts(spark, sf_dir).select("id", "required_fields", "allowed_fields", "enum_constraints", "gold_output")
-    o = eval_outputs(spark, sf_dir, SEED)
+    # the prompt table is both the outputs fixture's source and the join's
+    # build side: materialise it once (reliable checkpoint)
+    prompts = cut_lineage(eval_prompts(spark, sf_dir))
+    p = prompts.select("id", "required_fields", "allowed_fields", "enum_constraints", "gold_output")
+    o = eval_outputs(spark, sf_dir, SEED, prompts=prompts)
     return sc.score(o.join(p, "id"), aliases=EVAL_ALIASES, with_value_match=value_match)
 
 

@@ -175,7 +175,7 @@ def eval_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def eval_outputs(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
+def eval_outputs(spark: SparkSession, sf_dir: str, seed: int = 42, prompts: DataFrame | None = None) -> DataFrame:
     """Model outputs: every model answers every prompt; the answer is the gold
     JSON damaged by class ``draw(seed, model:id) % 8``: none, code fence, drop
     the first required field, alias renames, unknown field, broken JSON,
@@ -183,7 +183,7 @@ def eval_outputs(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
     from quarry.functions.draw import draw
     from quarry.functions.jsonfmt import relations_json
 
-    p = eval_prompts(spark, sf_dir)
+    p = eval_prompts(spark, sf_dir) if prompts is None else prompts
     models = F.explode(F.array(*[F.struct(F.lit(i).alias("model_ord"), F.lit(m).alias("model")) for i, m in enumerate(EVAL_MODELS)]))
     x = p.select(models.alias("m"), "*").select("m.model", "m.model_ord", *p.columns)
     key = F.concat_ws(":", F.col("model"), F.col("id"))

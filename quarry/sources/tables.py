@@ -16,7 +16,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one table.  A scan that yields fewer partitions than the
+    cluster's default parallelism (small inputs stored as one row group) is
+    spread round-robin so CPU-heavy row-local work (regexes, Arrow UDFs) uses
+    every core; at scale the scan already has thousands of splits and this is
+    a no-op (no extra shuffle)."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    if spread:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par)
+    return df
