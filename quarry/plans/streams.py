@@ -30,7 +30,9 @@ def q_stream_clean(spark, sf_dir):
     t = F.concat(on(13, "<p>"), t, on(13, "</p>"))
     t = F.concat(t, on(17, "\n\n\n\n  x"))
     t = F.concat(on(7, "　\t"), t)
-    s = s.select("doc_id", t.alias("text"))
+    # a micro-batch holding one file split would run the regex chain in one
+    # task; spread it round-robin (the dedup shuffle is by text hash anyway)
+    s = s.select("doc_id", t.alias("text")).repartition(spark.sparkContext.defaultParallelism)
     out = cs.run_to_table(spark, cs.clean_stream(s, min_length=MIN_LENGTH, max_length=MAX_LENGTH, valid_ratio=VALID_RATIO), "stream-clean")
     return out.select("doc_hash", "split", "n_chars")
 
