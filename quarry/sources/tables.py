@@ -26,7 +26,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
         raise KeyError(f"unknown table {name!r}")
     df = spark.read.parquet(table_path(sf_dir, name))
     if spread:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
+        try:
+            par = spark.sparkContext.defaultParallelism
+            few = df.rdd.getNumPartitions() < par
+        except Exception:  # no classic SparkContext (e.g. a remote session): leave the scan as is
+            few = False
+        if few:
             df = df.repartition(par)
     return df

@@ -98,3 +98,23 @@ def test_truncate_history_longest_fitting_suffix(spark):
     got = [r[0] for r in df.select(sft.truncate_history(F.col("t"), F.col("fixed"), 0, 10)).collect()]
     # suffixes: [5,4,3,2]=14, [4,3,2]=9, ... with fixed 3 -> 9+3=12 > 10, [3,2]+3=8 fits -> keep 2
     assert got == [2, 0, 2]
+
+
+def test_prepare_corpus_job(spark):
+    import json as _json
+
+    from quarry.plans.jobs import prepare_corpus
+
+    d = _tmp()
+    src = os.path.join(d, "corpus.jsonl")
+    long_a = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    with open(src, "w", encoding="utf-8") as f:
+        for t in ["　" + long_a + "  ", long_a, "short", "<b>" + long_a + " nu</b>", "\x01" + long_a + " xi"]:
+            f.write(_json.dumps({"text": t}, ensure_ascii=False) + "\n")
+        f.write("broken line\n")
+    meta = prepare_corpus(spark, src, os.path.join(d, "out"), clean_html=True)
+    fs = meta["filter_stats"]
+    assert fs["total_raw_documents"] == 5 and fs["skipped_short"] == 1 and fs["duplicates_removed"] == 1
+    assert fs["cleaned_html"] == 1 and fs["cleaned_control_chars"] == 1 and fs["total_kept"] == 3
+    lines = spark.read.text(os.path.join(d, "out", "tokenizer_corpus")).collect()
+    assert len(lines) == 3
