@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarry.operators.stats import order_statistics
+from quarry.operators.stats import exact_avg, exact_sum, order_statistics
 
 TTFT_SHARE = 0.15  # fixed value: time-to-first-token estimate = 15 % of total time
 
@@ -21,10 +21,10 @@ def bench_summary(log: DataFrame) -> DataFrame:
                            {"p95": lambda n: F.floor(n * F.lit(0.95))})
     agg = ok.groupBy("config").agg(
         F.count(F.lit(1)).alias("runs"),
-        F.avg("time_total_s").alias("time_mean"), F.min("time_total_s").alias("time_min"), F.max("time_total_s").alias("time_max"),
-        F.avg("_tp").alias("tps_mean"), F.min("_tp").alias("tps_min"), F.max("_tp").alias("tps_max"),
-        F.avg("completion_tokens").alias("completion_tokens_avg"),
-        F.avg("ttft_s").alias("_ttft"),
+        exact_avg(F.col("time_total_s")).alias("time_mean"), F.min("time_total_s").alias("time_min"), F.max("time_total_s").alias("time_max"),
+        exact_avg(F.col("_tp")).alias("tps_mean"), F.min("_tp").alias("tps_min"), F.max("_tp").alias("tps_max"),
+        exact_avg(F.col("completion_tokens")).alias("completion_tokens_avg"),
+        exact_avg(F.col("ttft_s")).alias("_ttft"),
     )
     return agg.join(p95.select("config", F.col("p95").alias("time_p95")), "config").select(
         "config", "runs", "time_mean", "time_min", "time_max", "time_p95", "tps_mean", "tps_min", "tps_max",
@@ -43,12 +43,12 @@ def concurrency_summary(log: DataFrame) -> DataFrame:
         F.count_if(ok).alias("n_success"), F.count_if(~ok).alias("n_errors"),
     )
     tp = log.filter(ok & (F.col("time_total_s") > 0)).groupBy("config").agg(
-        F.avg(F.col("completion_tokens") / F.col("time_total_s")).alias("tps_mean"),
+        exact_avg(F.col("completion_tokens") / F.col("time_total_s")).alias("tps_mean"),
         F.min(F.col("completion_tokens") / F.col("time_total_s")).alias("tps_min"),
         F.max(F.col("completion_tokens") / F.col("time_total_s")).alias("tps_max"),
     )
     per = runs.filter(F.col("batch_time").isNotNull()).groupBy("config").agg(
-        F.count(F.lit(1)).alias("runs"), F.avg("batch_time").alias("batch_mean"), F.min("batch_time").alias("batch_min"),
+        F.count(F.lit(1)).alias("runs"), exact_avg(F.col("batch_time")).alias("batch_mean"), F.min("batch_time").alias("batch_min"),
         F.max("batch_time").alias("batch_max"), F.sum("n_success").cast("bigint").alias("total_requests"),
         F.sum("n_errors").cast("bigint").alias("total_errors"),
     )
@@ -59,8 +59,8 @@ def speedup_summary(log: DataFrame) -> DataFrame:
     """Per (prompt_len, gen_len): mean no-cache and cache time, tokens/s and
     the speed-up ratio."""
     g = log.groupBy("prompt_len", "gen_len").agg(
-        F.avg(F.when(F.col("mode") == "no_cache", F.col("time_s"))).alias("no_cache_time_s"),
-        F.avg(F.when(F.col("mode") == "cache", F.col("time_s"))).alias("cache_time_s"),
+        exact_avg(F.when(F.col("mode") == "no_cache", F.col("time_s"))).alias("no_cache_time_s"),
+        exact_avg(F.when(F.col("mode") == "cache", F.col("time_s"))).alias("cache_time_s"),
     )
     return g.select(
         "prompt_len", "gen_len", "no_cache_time_s", "cache_time_s",
@@ -71,7 +71,7 @@ def speedup_summary(log: DataFrame) -> DataFrame:
 
 
 def speedup_range(table: DataFrame) -> DataFrame:
-    return table.agg(F.min("speedup").alias("min_speedup"), F.avg("speedup").alias("mean_speedup"),
+    return table.agg(F.min("speedup").alias("min_speedup"), exact_avg(F.col("speedup")).alias("mean_speedup"),
                      F.max("speedup").alias("max_speedup"), F.count(F.lit(1)).alias("cells"))
 
 
@@ -80,7 +80,7 @@ def weighted_loss(log: DataFrame, by="run") -> DataFrame:
     NaN when no batch has weight."""
     w = F.col("weight")
     return log.groupBy(by).agg(
-        F.coalesce(F.sum(F.when(w > 0, F.col("loss") * w)) / F.nullif(F.sum(F.when(w > 0, w)), F.lit(0)),
+        F.coalesce(exact_sum(F.when(w > 0, F.col("loss") * w)) / F.nullif(F.sum(F.when(w > 0, w)), F.lit(0)),
                    F.lit(float("nan"))).alias("weighted_loss"),
         F.sum(F.when(w > 0, w)).cast("bigint").alias("total_weight"),
     )

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import py_strip
+from quarry.operators.stats import exact_avg, exact_sum
 
 # ---- fixed values ------------------------------------------------------------
 FENCE_RE = r"(?s)^```(?:json)?\s*\n?(.*?)\n?\s*```$"
@@ -330,8 +331,8 @@ def by_model(scored: DataFrame) -> DataFrame:
         _rate(F.col("schema_strict_alias"), n).alias("schema_strict_alias_rate"),
         _rate(F.size("missing_fields_alias") > 0, n).alias("missing_alias_rate"),
         _rate(F.size("extra_fields_alias") > 0, n).alias("hallucination_alias_rate"),
-        F.sum("latency_s").alias("total_time_s"),
-        F.avg("latency_s").alias("avg_latency_s"),
+        exact_sum(F.col("latency_s")).alias("total_time_s"),
+        exact_avg(F.col("latency_s")).alias("avg_latency_s"),
     )
 
 
@@ -370,8 +371,8 @@ def round_summary(scored: DataFrame, by: str = "round") -> DataFrame:
         (F.count_if("parsed") / n).alias("parse_rate"),
         (F.count_if("schema_strict_stab") / n).alias("strict_rate"),
         (F.count_if("schema_strict_stab_alias") / n).alias("alias_strict_rate"),
-        F.sum("latency_s").alias("total_time_s"),
-        (F.sum("latency_s") / n).alias("avg_latency_s"),
+        exact_sum(F.col("latency_s")).alias("total_time_s"),
+        (exact_sum(F.col("latency_s")) / n).alias("avg_latency_s"),
     )
 
 
@@ -403,5 +404,5 @@ def structural_quality(scored: DataFrame, by=None) -> DataFrame:
     n = F.count(F.lit(1))
     return d.groupBy(*keys).agg(
         n.alias("total"), (F.count_if(ent) / n).alias("entity_key_rate"),
-        (F.count_if(F.coalesce(han, F.lit(False))) / n).alias("chinese_fields_rate"), F.avg(overlap).alias("avg_field_overlap"),
+        (F.count_if(F.coalesce(han, F.lit(False))) / n).alias("chinese_fields_rate"), exact_avg(overlap).alias("avg_field_overlap"),
     )

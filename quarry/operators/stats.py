@@ -22,6 +22,18 @@ def _by(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
+def exact_sum(c: Column, scale: int = 6) -> Column:
+    """Sum of doubles in exact decimal arithmetic (values rounded to ``scale``
+    places first): independent of summation order, so the result does not
+    depend on partitioning and equals other engines' exact decimal sums."""
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_avg(c: Column, scale: int = 6) -> Column:
+    """Mean over non-null values via :func:`exact_sum` (null when none)."""
+    return exact_sum(c, scale) / F.nullif(F.count(c), F.lit(0))
+
+
 def histogram(df: DataFrame, by, value: str) -> DataFrame:
     """``(by..., value, cnt, cum, n)``: running count in value order per group."""
     keys = _by(by)

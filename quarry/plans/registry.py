@@ -43,7 +43,14 @@ def _rounded(fn, cols):
         from pyspark.sql import functions as F
 
         df = fn(spark, sf_dir)
-        return df.select(*[F.round(F.col(c), 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+        # floor(x * 1e6 + 0.5) / 1e6: plain IEEE double steps, identical in any
+        # engine (Spark's round() is HALF_UP on the decimal value, which can
+        # disagree with other engines exactly at ties)
+        def r6(c):
+            x = F.col(c)
+            return F.when(F.isnan(x), x).otherwise(F.floor(x * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)).alias(c)
+
+        return df.select(*[r6(c) if c in cols else F.col(c) for c in df.columns])
 
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
@@ -61,7 +68,7 @@ def oracle_sql() -> dict:
     for k, sql in o.items():
         if k in ROUNDED:
             cols = ROUNDED[k]
-            sel = ", ".join(f"round(\"{c}\", 6) AS \"{c}\"" for c in cols)
+            sel = ", ".join(f"CASE WHEN isnan(\"{c}\") THEN \"{c}\" ELSE CAST(floor(\"{c}\" * 1e6::DOUBLE + 0.5::DOUBLE) AS DOUBLE) / 1e6::DOUBLE END AS \"{c}\"" for c in cols)
             sql = f"SELECT * REPLACE ({sel}) FROM ({sql}) AS q"
         out[k] = sql
     return out

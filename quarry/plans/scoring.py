@@ -86,8 +86,10 @@ def q_structural_quality(spark, sf_dir):
 
 def q_eval_totals(spark, sf_dir):
     o = eval_outputs(spark, sf_dir, SEED)
-    return o.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum("latency_s").alias("total_time_s"),
-                                  F.avg("latency_s").alias("avg_latency_s"))
+    from quarry.operators.stats import exact_avg, exact_sum
+
+    return o.groupBy("model").agg(F.count(F.lit(1)).alias("n"), exact_sum(F.col("latency_s")).alias("total_time_s"),
+                                  exact_avg(F.col("latency_s")).alias("avg_latency_s"))
 
 
 def prompt_text(instruction, schema, text):
@@ -247,7 +249,7 @@ SELECT model, {N} AS total, count(*) FILTER (WHERE parsed) AS parseable, count(*
   count(*) FILTER (WHERE schema_strict_alias) / {N} AS schema_strict_alias_rate,
   count(*) FILTER (WHERE len(missing_alias) > 0) / {N} AS missing_alias_rate,
   count(*) FILTER (WHERE len(extra_alias) > 0) / {N} AS hallucination_alias_rate,
-  sum(latency_s) AS total_time_s, avg(latency_s) AS avg_latency_s
+  CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) AS total_time_s, (CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) / nullif(count(latency_s), 0)) AS avg_latency_s
 FROM final GROUP BY model""",
     "by_group": f"""WITH {EVAL_SQL}
 SELECT model, grp AS "group", {N} AS total, count(*) FILTER (WHERE parsed) / {N} AS parseable_rate,
@@ -265,7 +267,7 @@ SELECT row_number() OVER (ORDER BY schema_strict_rate DESC, parseable_rate DESC,
     "round_wide": f"""WITH {EVAL_SQL}
 SELECT model AS round, {N} AS total, 0::BIGINT AS errors, count(*) FILTER (WHERE parsed) / {N} AS parse_rate,
   count(*) FILTER (WHERE schema_strict_stab) / {N} AS strict_rate, count(*) FILTER (WHERE schema_strict_stab_alias) / {N} AS alias_strict_rate,
-  sum(latency_s) AS total_time_s, sum(latency_s) / {N} AS avg_latency_s,
+  CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) AS total_time_s, CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) / {N} AS avg_latency_s,
   """ + ",\n  ".join(
         f"count(*) FILTER (WHERE grp = '{g}' AND parsed) / count(*) FILTER (WHERE grp = '{g}') AS {g}_parse_rate, "
         f"count(*) FILTER (WHERE grp = '{g}' AND schema_strict_stab) / count(*) FILTER (WHERE grp = '{g}') AS {g}_strict_rate"
@@ -274,10 +276,10 @@ SELECT model AS round, {N} AS total, 0::BIGINT AS errors, count(*) FILTER (WHERE
 SELECT model, grp AS "group", {N} AS total,
   count(*) FILTER (WHERE list_bool_or(list_transform(ents, lambda e: e.is_obj))) / {N} AS entity_key_rate,
   count(*) FILTER (WHERE len(pool) > 0 AND list_bool_and(list_transform(pool, lambda f: regexp_matches(f, '\\p{{Han}}')))) / {N} AS chinese_fields_rate,
-  avg(CASE WHEN len(required) > 0 THEN len(list_intersect(pool, required)) / len(required) ELSE 0.0 END) AS avg_field_overlap
+  (CAST(sum(CAST((CASE WHEN len(required) > 0 THEN len(list_intersect(pool, required)) / len(required) ELSE 0.0 END) AS DECIMAL(38,6))) AS DOUBLE) / nullif(count((CASE WHEN len(required) > 0 THEN len(list_intersect(pool, required)) / len(required) ELSE 0.0 END)), 0)) AS avg_field_overlap
 FROM final GROUP BY ALL""",
     "eval_totals": f"""WITH {EVAL_SQL}
-SELECT model, {N} AS n, sum(latency_s) AS total_time_s, avg(latency_s) AS avg_latency_s FROM outs GROUP BY model""",
+SELECT model, {N} AS n, CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) AS total_time_s, (CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) / nullif(count(latency_s), 0)) AS avg_latency_s FROM outs GROUP BY model""",
 }
 
 _VM_PAIRS = f"""flatten(list_transform(

@@ -55,7 +55,7 @@ def _oracle():
 
     return {
         "stream_clean": f"WITH {annotated_sql()} SELECT DISTINCT doc_hash, split, n_chars FROM annotated WHERE drop_reason IS NULL",
-        "stream_train_summary": """SELECT event_type AS run, sum(value / 10 * (user_id % 5)) FILTER (WHERE user_id % 5 > 0)
+        "stream_train_summary": """SELECT event_type AS run, CAST(sum(CAST(value / 10 * (user_id % 5) AS DECIMAL(38,6))) FILTER (WHERE user_id % 5 > 0) AS DOUBLE)
   / nullif(sum(user_id % 5) FILTER (WHERE user_id % 5 > 0), 0) AS weighted_loss, min(value) AS best_val_loss, count(*) AS evals
 FROM events GROUP BY event_type""",
     }

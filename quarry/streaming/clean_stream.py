@@ -59,7 +59,7 @@ def stream_train_summary(spark: SparkSession, log_stream: DataFrame, name: str =
     out, ck = _scratch(spark, name), _scratch(spark, name + "-ckpt")
     w = F.col("weight")
     agg = log_stream.groupBy("run").agg(
-        F.sum(F.when(w > 0, F.col("loss") * w)).alias("wsum"), F.sum(F.when(w > 0, w)).alias("wtot"),
+        F.sum(F.when(w > 0, F.col("loss") * w).cast("decimal(38,6)")).alias("wsum"), F.sum(F.when(w > 0, w)).alias("wtot"),
         F.min("val_loss").alias("best_val_loss"), F.count(F.lit(1)).alias("evals"),
     )
 
@@ -69,7 +69,7 @@ def stream_train_summary(spark: SparkSession, log_stream: DataFrame, name: str =
     q = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", ck).trigger(availableNow=True).start()
     q.awaitTermination()
     r = spark.read.parquet(out)
-    return r.select("run", (F.col("wsum") / F.nullif("wtot", F.lit(0))).alias("weighted_loss"), "best_val_loss", "evals")
+    return r.select("run", (F.col("wsum").cast("double") / F.nullif("wtot", F.lit(0))).alias("weighted_loss"), "best_val_loss", "evals")
 
 
 def append_log(stream: DataFrame, path: str, checkpoint: str, stamp: str = "logged_at"):
