@@ -70,6 +70,16 @@ def test_train_matches_brute_force_and_roundtrip(spark):
     assert special_id in dec[1]["ids"]
 
 
+def test_batched_training_equals_one_at_a_time(spark):
+    texts = TEXT * 3 + ["the then there these those theme thesis theta\n", "aaaa aaaaa aaa bbbb abab baba\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = bpe.pretoken_counts(df, "text", SPECIALS)
+    want = brute_bpe(texts, 256 + 48 + 1, SPECIALS)
+    for b in (4, 16):
+        _, merges = bpe.train_bpe(counts, 256 + 48 + 1, SPECIALS, checkpoint_every=5, batch=b)
+        assert merges == want, b
+
+
 def test_train_stops_when_no_pairs(spark):
     df = spark.createDataFrame([("ab ab\n",)], "text string")
     vocab, merges = bpe.train_bpe(bpe.pretoken_counts(df, "text"), 256 + 50, ())
