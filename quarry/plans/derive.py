@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 from quarry.functions.draw import draw_sql
 from quarry.operators import derive as dv
 from quarry.operators import sample as sp
-from quarry.plans.ie import IE_SQL, tiered
+from quarry.plans.ie import IE_SQL, materialized, tiered
 from quarry.session import cut_lineage
-from quarry.sources.adapters import IE_CATE_MAP, IE_NO_SCHEMA_TOPIC, IE_UNUSED_FIELD, ie_topic_schema
+from quarry.sources.adapters import IE_CATE_MAP, IE_NO_SCHEMA_TOPIC, IE_UNUSED_FIELD, ie_topic_schema_from
 
 SEED = 42
 SAMPLE_TARGET = 6000
 
 
 def derived(spark, sf_dir):
-    return dv.derive_tasks(tiered(spark, sf_dir), ie_topic_schema(spark, sf_dir), IE_CATE_MAP, seed=SEED)
+    n = materialized(spark, sf_dir)  # one pass over the line items feeds records and schema
+    return dv.derive_tasks(tiered(spark, sf_dir, n), ie_topic_schema_from(n, IE_CATE_MAP), IE_CATE_MAP, seed=SEED)
 
 
 def sampled(spark, sf_dir):
@@ -63,7 +64,8 @@ def q_task_shares(spark, sf_dir):
 
 
 def q_schema_skip(spark, sf_dir):
-    return dv.schema_skips(tiered(spark, sf_dir), ie_topic_schema(spark, sf_dir), IE_CATE_MAP)
+    n = materialized(spark, sf_dir)
+    return dv.schema_skips(tiered(spark, sf_dir, n), ie_topic_schema_from(n, IE_CATE_MAP), IE_CATE_MAP)
 
 
 def q_priority_sample(spark, sf_dir):

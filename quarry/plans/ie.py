@@ -20,24 +20,29 @@ def normalized(spark, sf_dir):
     return ie.normalize_ie(ie_src(spark, sf_dir), cate_map=IE_CATE_MAP)
 
 
-def split_sets(spark, sf_dir):
-    # normalized records feed four branches (train, two hold-outs, quantiles):
-    # materialise them once, like the reference's step-1 output file
-    n = cut_lineage(normalized(spark, sf_dir))
+def materialized(spark, sf_dir):
+    """Normalized records materialised once (reliable checkpoint), like the
+    reference's step-1 output file: they feed four branches (train, two
+    hold-outs, quantiles) and the topic schema."""
+    return cut_lineage(normalized(spark, sf_dir))
+
+
+def split_sets(spark, sf_dir, n=None):
+    n = materialized(spark, sf_dir) if n is None else n
     return n.filter(F.col("source") == "train"), n.filter(F.col("source") == "valid"), n.filter(F.col("source") == "test")
 
 
-def filtered(spark, sf_dir):
-    train, valid, test = split_sets(spark, sf_dir)
+def filtered(spark, sf_dir, n=None):
+    train, valid, test = split_sets(spark, sf_dir, n)
     return ie.apply_filters(train, valid, test, limits=IE_LIMITS)
 
 
-def kept(spark, sf_dir):
-    return filtered(spark, sf_dir).filter(F.col("reject_reason").isNull())
+def kept(spark, sf_dir, n=None):
+    return filtered(spark, sf_dir, n).filter(F.col("reject_reason").isNull())
 
 
-def tiered(spark, sf_dir):
-    return ie.with_quality_tier(kept(spark, sf_dir), IE_QUALITY)
+def tiered(spark, sf_dir, n=None):
+    return ie.with_quality_tier(kept(spark, sf_dir, n), IE_QUALITY)
 
 
 def q_ie_normalize(spark, sf_dir):

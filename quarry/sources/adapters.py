@@ -95,6 +95,24 @@ def ie_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ie_topic_schema_from(normalized: DataFrame, cate_map: dict) -> DataFrame:
+    """The same topic schema as :func:`ie_topic_schema`, computed from
+    normalized IE records (categories renamed back to the segment names the
+    schema is kept under), so no second pass over the line items is needed."""
+    inverse = {new: old for old, new in cate_map.items()}
+    topic = F.col("cate")
+    if inverse:
+        m = F.create_map(*[F.lit(x) for kv in inverse.items() for x in kv])
+        topic = F.coalesce(F.try_element_at(m, F.col("cate")), F.col("cate"))
+    rel = normalized.select(topic.alias("topic"), F.explode("relation").alias("r"))
+    return (
+        rel.filter(F.col("topic") != IE_NO_SCHEMA_TOPIC)
+        .groupBy("topic")
+        .agg(F.array_sort(F.collect_set("r.relation")).alias("_f"))
+        .select("topic", F.concat(F.col("_f"), F.array(F.lit(IE_UNUSED_FIELD))).alias("fields"))
+    )
+
+
 def ie_topic_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(topic, fields)``: per segment the sorted distinct relation types plus
     one unused field; no entry for one segment (exercises the skip path).
