@@ -170,8 +170,10 @@ def eval_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     text); gold = the grouped relations JSON; group by key % 3."""
     from quarry.functions.jsonfmt import relations_json
 
-    src = ie_src(spark, sf_dir).filter(F.size("relation") >= 2)
-    schema = ie_topic_schema(spark, sf_dir)
+    src_all = ie_src(spark, sf_dir)
+    # schema from the same records (identical sub-plans: Spark reuses their exchanges)
+    schema = ie_topic_schema_from(src_all, {})
+    src = src_all.filter(F.size("relation") >= 2)
     rel = F.col("relation")
     types = F.array_distinct(F.transform(rel, lambda r: r["relation"]))
     first4 = F.slice(rel, 1, 4)
