@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quarry.operators import bpe
 from quarry.operators.clean import annotate_corpus, clean_report, dedup_exact, split_stats
 from quarry.operators.stats import length_stats
+from quarry.session import ship_package
 from quarry.sources import io
 
 
@@ -23,6 +24,7 @@ def prepare_corpus(spark: SparkSession, input_path: str, output_dir: str, text_k
     """JSONL corpus -> cleaned, filtered, deduplicated, hash-split text files
     (``train``/``valid`` with separator lines, ``tokenizer_corpus`` without)
     plus ``metadata.json``.  Returns the metadata dict."""
+    ship_package(spark)
     from quarry.functions.text import parse_replacement_rules
 
     rules = parse_replacement_rules(list(replace))
@@ -55,6 +57,7 @@ def prepare_corpus(spark: SparkSession, input_path: str, output_dir: str, text_k
 
 def train_tokenizer(spark: SparkSession, corpus: DataFrame, output_dir: str, vocab_size: int, specials=(), text: str = "text"):
     """Corpus text column -> BPE vocabulary and merges files; returns them."""
+    ship_package(spark)
     counts = bpe.pretoken_counts(corpus, text, specials)
     vocab, merges = bpe.train_bpe(counts, vocab_size, specials)
     io.write_vocab(bpe.vocab_frame(spark, vocab, specials), bpe.merges_frame(spark, merges), output_dir)
@@ -64,6 +67,7 @@ def train_tokenizer(spark: SparkSession, corpus: DataFrame, output_dir: str, voc
 def tokenize_corpus(spark: SparkSession, docs: DataFrame, output_dir: str, vocab: dict, merges: list, specials=(),
                     text: str = "text") -> dict:
     """Documents -> token ids parquet (one encode pass) + metadata."""
+    ship_package(spark)
     enc = docs.withColumn("ids", bpe.encode_column(spark, F.col(text), vocab, merges, specials)).drop(text)
     meta = io.write_tokens(enc, output_dir, len(vocab)).collect()[0].asDict()
     return meta
@@ -72,6 +76,7 @@ def tokenize_corpus(spark: SparkSession, docs: DataFrame, output_dir: str, vocab
 def score_outputs(spark: SparkSession, outputs: DataFrame, prompts: DataFrame, output_dir: str, aliases: dict | None = None) -> None:
     """Model outputs ⋈ prompt specs -> scored rows (JSON) and by-model,
     by-group and leaderboard summaries (JSON)."""
+    ship_package(spark)
     from quarry.operators import scoring as sc
 
     scored = sc.score(outputs.join(prompts, "id"), aliases=aliases)

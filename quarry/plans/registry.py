@@ -57,9 +57,21 @@ def _rounded(fn, cols):
     return run
 
 
+def _shipped(fn):
+    def run(spark, sf_dir):
+        from quarry.session import ship_package
+
+        ship_package(spark)  # executors need the package for the Arrow UDFs
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict:
     q = _collect("QUERIES")
-    return {k: (_rounded(v, ROUNDED[k]) if k in ROUNDED else v) for k, v in q.items()}
+    return {k: _shipped(_rounded(v, ROUNDED[k]) if k in ROUNDED else v) for k, v in q.items()}
 
 
 def oracle_sql() -> dict:

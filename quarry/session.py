@@ -65,3 +65,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable on every executor (what ``--py-files`` does):
+    the Arrow UDFs pickle references to functions of this package.  Zips the
+    package once per application and adds it with ``addPyFile``; Spark's file
+    server distributes it.  A no-op without a classic SparkContext."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # remote session: code must already be on the executors
+        return
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    import quarry
+
+    pkg = os.path.dirname(os.path.abspath(quarry.__file__))
+    base = tempfile.mkdtemp(prefix="quarry-pyfiles-")
+    archive = shutil.make_archive(os.path.join(base, "quarry"), "zip", root_dir=os.path.dirname(pkg), base_dir="quarry")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
