@@ -118,3 +118,26 @@ def test_prepare_corpus_job(spark):
     assert fs["cleaned_html"] == 1 and fs["cleaned_control_chars"] == 1 and fs["total_kept"] == 3
     lines = spark.read.text(os.path.join(d, "out", "tokenizer_corpus")).collect()
     assert len(lines) == 3
+
+
+def test_tokenizer_and_scoring_jobs(spark):
+    from quarry.plans.jobs import score_outputs, tokenize_corpus, train_tokenizer
+
+    d = _tmp()
+    docs = spark.createDataFrame([(1, "hello hello world\n"), (2, "world wide web\n")], "doc_id long, text string")
+    vocab, merges = train_tokenizer(spark, docs, os.path.join(d, "tok"), 256 + 5 + 1, ["<|endoftext|>"])
+    v2, m2 = io.read_vocab(spark, os.path.join(d, "tok"))
+    assert v2 == vocab and m2 == merges and len(merges) == 5
+    meta = tokenize_corpus(spark, docs, os.path.join(d, "ids"), vocab, merges, ["<|endoftext|>"])
+    assert meta["num_tokens"] > 0 and meta["max_token_id"] < len(vocab)
+
+    prompts = spark.createDataFrame(
+        [("p1", ["A"], ["A"], {}, '{"E": {"A": "x"}}')],
+        "id string, required_fields array<string>, allowed_fields array<string>, "
+        "enum_constraints map<string,array<string>>, gold_output string")
+    outs = spark.createDataFrame([("m1", 0, "p1", "extraction", '{"E": {"A": "x"}}', 0.5),
+                                  ("m2", 1, "p1", "extraction", "not json", 0.7)],
+                                 "model string, model_ord int, id string, group string, output string, latency_s double")
+    score_outputs(spark, outs, prompts, os.path.join(d, "scores"), aliases={})
+    lb = spark.read.json(os.path.join(d, "scores", "leaderboard")).orderBy("rank").collect()
+    assert [r["model"] for r in lb] == ["m1", "m2"] and lb[0]["schema_strict_rate"] == 1.0
