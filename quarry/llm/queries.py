@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import token_counts, word_bpe
+from quarry.llm import phrase_index, token_counts, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -33,6 +33,12 @@ def op9_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op9_bpe_coding": op9_bpe_coding}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_index.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", phrase_index.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), phrase_index.contaminated(phrase_index.n_hit(), F.col("n_words")).alias("contaminated"), F.size("near_items").cast("long").alias("n_near_items"))
+
+
+QUERIES = {"op10_decontamination": op10_decontamination, "op1_token_counts": op1_token_counts, "op9_bpe_coding": op9_bpe_coding}
 
 ORACLE: dict[str, str] = {}
