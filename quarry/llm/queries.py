@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import phrase_index, token_counts, word_bpe
+from quarry.llm import phrase_index, simhash, token_counts, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -24,6 +24,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def bpe_digests(coded: DataFrame) -> DataFrame:
     return coded.withColumns({"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2(F.col("decoded").cast("binary"), 256)}).drop("ids", "decoded")
 
@@ -39,6 +44,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", phrase_index.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), phrase_index.contaminated(phrase_index.n_hit(), F.col("n_words")).alias("contaminated"), F.size("near_items").cast("long").alias("n_near_items"))
 
 
-QUERIES = {"op10_decontamination": op10_decontamination, "op1_token_counts": op1_token_counts, "op9_bpe_coding": op9_bpe_coding}
+QUERIES = {"op8_simhash_dedup": op8_simhash_dedup, "op10_decontamination": op10_decontamination, "op1_token_counts": op1_token_counts, "op9_bpe_coding": op9_bpe_coding}
 
 ORACLE: dict[str, str] = {}
