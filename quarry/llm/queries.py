@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import phrase_index, simhash, token_counts, word_bpe
+from quarry.llm import phrase_index, quality_rules, secret_scan, simhash, token_counts, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -24,6 +24,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    number = {k: secret_scan.number(k).alias(f"n_{k}") for k in secret_scan.KINDS}
+    base = secret_scan.KINDS[:3]
+    return found.select("doc_id", *[number[k] for k in base], F.sha2(secret_scan.joined(base).cast("binary"), 256).alias("base_sha256"), secret_scan.joined(secret_scan.KINDS).alias("spans"), number["random"])
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -41,9 +53,80 @@ def op9_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
-    return found.select("doc_id", "n_words", phrase_index.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), phrase_index.contaminated(phrase_index.n_hit(), F.col("n_words")).alias("contaminated"), F.size("near_items").cast("long").alias("n_near_items"))
-
-
-QUERIES = {"op8_simhash_dedup": op8_simhash_dedup, "op10_decontamination": op10_decontamination, "op1_token_counts": op1_token_counts, "op9_bpe_coding": op9_bpe_coding}
-
-ORACLE: dict[str, str] = {}
+    return found.select("doc_id", "n_words", phrase_index.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), phrase_index.contaminated(phrase_index.n_hit(), F.col("n_words")).alias("contaminated"))
+
+
+QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_secret_scan": op2_secret_scan,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_bpe_coding": op9_bpe_coding,
+    "op10_decontamination": op10_decontamination,
+}
+
+
+def _rules_sql() -> str:
+    broken = []
+    for _, measure, low, high in quality_rules.RULES:
+        x = "(" + measure + ")"
+        broken += [f"{x} < {low}"] if low is not None else []
+        broken += [f"{x} > {high}"] if high is not None else []
+    return " OR ".join(broken)
+
+
+_BLANK = r"[\x20\x09-\x0D]"
+_STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
+
+ORACLE: dict[str, str] = {
+    "op7_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+cut AS (
+  SELECT doc_id, t, list_filter(string_split_regex(t, '{_BLANK}+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM d),
+win AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM cut WHERE len(w) >= 3) AS q),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win) AS q WHERE n > 1),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) AS q GROUP BY doc_id),
+counts AS (
+  SELECT cut.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(l) AS n_lines,
+         len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,;:!?]', '', 'g')) IN ({_STOPS}))) AS n_stop_words,
+         length(t) - length(regexp_replace(t, '\p{{L}}', '', 'g')) AS n_letters,
+         length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')) AS n_upper,
+         length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS n_digits
+  FROM cut LEFT JOIN rep ON rep.doc_id = cut.doc_id),
+base AS (
+  SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce({_rules_sql()}, false) AS kept
+FROM base""",
+    "op10_decontamination": r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+phrase AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM iw WHERE len(w) > 0) AS q),
+win AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM dw, (SELECT DISTINCT n FROM phrase) AS lengths WHERE len(w) >= n) AS q),
+hit AS (SELECT doc_id, i, win.n, item_id FROM win JOIN phrase ON win.s = phrase.s AND win.n = phrase.n),
+found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hit GROUP BY doc_id),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) AS q GROUP BY doc_id)
+SELECT dw.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN found ON found.doc_id = dw.doc_id LEFT JOIN covered ON covered.doc_id = dw.doc_id""",
+}
