@@ -76,7 +76,7 @@ def _rules_sql() -> str:
 
 
 _BLANK = r"[\x20\x09-\x0D]"
-_STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
+_STOPS = ", ".join(f"'{w}'" for w in quality_rules.counted_forms())
 
 ORACLE: dict[str, str] = {
     "op7_quality_rules": rf"""
@@ -96,8 +96,7 @@ counts AS (
   SELECT cut.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(l) AS n_lines,
-         len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,;:!?]', '', 'g')) IN ({_STOPS}))) AS n_stop_words,
-         length(t) - length(regexp_replace(t, '\p{{L}}', '', 'g')) AS n_letters,
+         len(list_filter(w, lambda x: x IN ({_STOPS}))) AS n_stop_words,
          length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')) AS n_upper,
          length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS n_digits
   FROM cut LEFT JOIN rep ON rep.doc_id = cut.doc_id),
