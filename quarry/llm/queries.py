@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import phrase_index, quality_rules, secret_scan, simhash, token_counts, word_bpe
+from quarry.llm import phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -31,6 +31,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[number[k] for k in base], F.sha2(secret_scan.joined(base).cast("binary"), 256).alias("base_sha256"), secret_scan.joined(secret_scan.KINDS).alias("spans"), number["random"])
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -59,6 +65,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_bpe_coding": op9_bpe_coding,
