@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, word_bpe
+from quarry.llm import lang_id, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -37,6 +37,18 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def fold(parts: int):
+    """A fold number that depends on the id only."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = lang_id.fit(docs.where(fold(3) != 1), public_tokenizers.path("piece_bpe_32k.model"))
+    found = lang_id.identify(docs, model)
+    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -66,6 +78,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_language_id": op5_language_id,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_bpe_coding": op9_bpe_coding,
