@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import lang_id, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, word_bpe
+from quarry.llm import lang_id, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, toxicity, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(parts: int):
+    """A fold number that depends on the id only."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -31,17 +36,19 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[number[k] for k in base], F.sha2(secret_scan.joined(base).cast("binary"), 256).alias("base_sha256"), secret_scan.joined(secret_scan.KINDS).alias("spans"), number["random"])
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(fold(5) != 0))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").cast("long").alias("n_passages"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def fold(parts: int):
-    """A fold number that depends on the id only."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
-
-
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = lang_id.fit(docs.where(fold(3) != 1), public_tokenizers.path("piece_bpe_32k.model"))
@@ -77,6 +84,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
+    "op3_toxicity": op3_toxicity,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_language_id": op5_language_id,
     "op7_quality_rules": op7_quality_rules,
