@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import lang_id, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, toxicity, word_bpe
+from quarry.llm import lang_id, lm_score, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, toxicity, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -56,6 +56,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.score(docs, lm_score.fit(docs, good, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -87,6 +93,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_language_id": op5_language_id,
+    "op6_lm_score": op6_lm_score,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_bpe_coding": op9_bpe_coding,
