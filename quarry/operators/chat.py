@@ -112,7 +112,9 @@ def resolve_prompt(df: DataFrame, eos: str = EOS_TOKEN) -> DataFrame:
     has_json = F.col("conversation_json").isNotNull()
     has_file = F.col("conversation_file").isNotNull()
     src = F.when(has_json, F.col("conversation_json")).otherwise(F.col("conversation_file"))
-    d = df.withColumn("conversations", F.from_json(src, f"array<{TURN}>"))
+    from quarry.sources.io import parse_conversations
+
+    d = df.withColumn("conversations", parse_conversations(src))
     g = generation_prompt(d.withColumnRenamed("prompt", "_raw_prompt"), eos)
     reason = (
         F.when(has_json & has_file, F.lit("both_json_and_path"))

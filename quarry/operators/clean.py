@@ -97,42 +97,35 @@ def annotate_corpus(
 
 
 def dedup_exact(annotated: DataFrame, id_col: str = "doc_id", dedup: bool = True) -> DataFrame:
-    """Keep-first exact dedup on the cleaned text's SHA-256, in one aggregate.
-
-    Rows dropped earlier carry a null hash and fall into one group, which the
-    filter on the aggregate's *output* removes.  Filtering on the aggregate
-    output (not on a derived input column) matters: Catalyst would otherwise
-    push ``drop_reason IS NULL`` below the projections and inline the whole
-    cleaning chain into the filter, running every regex twice or more.
-    ``min_by`` does map-side partial aggregation, so a hot hash (say a third of
-    all rows are one text) reaches the shuffle as one row per map task.
+    """Kept rows as ``(id, doc_hash, split, n_chars)``: keep-first exact dedup
+    on the cleaned text's SHA-256.
+
+    No text enters the aggregate: the smallest id of a hash stands for the
+    text, and length and split are the same for equal texts.  All buffers are
+    fixed-width, so this is a hash aggregate with a map-side combine, and a hot
+    hash reaches the shuffle as one small row per map task.  Text sinks join
+    the text back with :func:`with_text`.
+
+    Rows dropped earlier have a null hash and fall into one group, removed by a
+    filter on the aggregate's *output*: a filter on an input column would be
+    pushed below the projections, and the cleaning chain would run twice.
     """
-    cols = [c for c in annotated.columns if c != "doc_hash"]
-    if not dedup:
-        g = annotated.groupBy(F.col(id_col).alias("_id"))
-    else:
-        g = annotated.groupBy("doc_hash")
-    r = g.agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(id_col)).alias("_r"))
-    out = r.filter(F.col("_r.drop_reason").isNull()).select(*[F.col(f"_r.{c}").alias(c) for c in cols], *(["doc_hash"] if dedup else []))
+    kept = F.col("drop_reason").isNull()
     if not dedup:
-        out = out.withColumn("doc_hash", F.sha2("text_clean", 256))
-    return out
+        return annotated.filter(kept).select(id_col, "doc_hash", "split", "n_chars")
+    first = annotated.groupBy("doc_hash").agg(
+        F.min(F.when(kept, F.col(id_col))).alias(id_col),
+        F.max(F.col("split") == "valid").alias("_valid"),
+        F.max(F.when(kept, F.col("n_chars"))).alias("n_chars"),
+    )
+    split = F.when(F.col("_valid"), F.lit("valid")).otherwise(F.lit("train")).alias("split")
+    return first.filter(F.col("n_chars").isNotNull()).select(id_col, "doc_hash", split, "n_chars")
 
 
-def mark_duplicates(annotated: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Annotated rows with ``drop_reason = 'duplicate'`` for non-first copies."""
-    passed = annotated.filter(F.col("drop_reason").isNull())
-    keep = passed.groupBy("doc_hash").agg(F.min(id_col).alias("_first"))
-    return (
-        annotated.join(keep, "doc_hash", "left")
-        .withColumn(
-            "drop_reason",
-            F.when(F.col("drop_reason").isNull() & (F.col(id_col) != F.col("_first")), F.lit("duplicate")).otherwise(
-                F.col("drop_reason")
-            ),
-        )
-        .drop("_first")
-    )
+def with_text(kept: DataFrame, annotated: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Kept rows with their cleaned text, for sinks that need it: one join on
+    the id (and the hash, as ids may repeat); both sides are split when skewed."""
+    return kept.join(annotated.select(id_col, "doc_hash", "text_clean"), [id_col, "doc_hash"])
 
 
 def split_stats(kept: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import py_strip
-from quarry.operators.stats import exact_avg, nearest_rank
+from quarry.operators.stats import nearest_rank
 
 # ---- fixed values: reference defaults ---------------------------------------
 CATE_MAP = {"建筑结构": "建筑"}
@@ -241,7 +241,7 @@ def tier_report(tiered: DataFrame) -> DataFrame:
         F.count_if(F.col("quality_tier") == "high").alias("high"),
         F.count_if(F.col("quality_tier") == "medium").alias("medium"),
         F.count_if(F.col("quality_tier") == "low").alias("low"),
-        exact_avg(F.col("match_ratio")).alias("mean_match_ratio"),
+        F.avg(F.col("match_ratio")).alias("mean_match_ratio"),
         F.count_if(F.col("match_ratio") >= 1.0).alias("exact_match"),
         (F.count_if("quality_dims.match") / n).alias("match_rate"),
         (F.count_if("quality_dims.rel_count") / n).alias("rel_count_rate"),

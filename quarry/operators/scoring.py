@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import py_strip
-from quarry.operators.stats import exact_avg, exact_sum
 
 # ---- fixed values ------------------------------------------------------------
 FENCE_RE = r"(?s)^```(?:json)?\s*\n?(.*?)\n?\s*```$"
@@ -121,7 +120,13 @@ def _canonical(text) -> str:
                  {"name": n, "kind": fk, "sval": fsv, "vals": [{"s": a, "is_str": b} for a, b in fvs]} for n, fk, fsv, fvs in fs]}
             for k, o, kd, sv, vs, fs in entries
         ]
-    return json.dumps({"ok": ok, "kind": kind, "entries": ents}, ensure_ascii=False)
+    return whole(json.dumps({"ok": ok, "kind": kind, "entries": ents}, ensure_ascii=False))
+
+
+def whole(s: str) -> str:
+    """``s`` with half surrogate pairs (a cut escape) replaced by U+FFFD, so
+    that it is a UTF-8 string."""
+    return s.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
 @F.pandas_udf(T.StringType())
@@ -207,6 +212,16 @@ def all_keys(p: Column) -> Column:
         F.transform(e["fields"], lambda f: f["name"]), F.array().cast("array<string>")))))
 
 
+def quoted(s: Column) -> Column:
+    """A string as Python prints it inside a list (printable characters)."""
+    x = F.replace(s, F.lit("\\"), F.lit("\\\\"))
+    for raw, said in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        x = F.replace(x, F.lit(raw), F.lit(said))
+    double = F.contains(s, F.lit("'")) & ~F.contains(s, F.lit('"'))
+    return F.when(double, F.concat(F.lit('"'), x, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+
 def _enum_violations(p: Column, enums: Column, name_fn=lambda n: n) -> Column:
     """Ordered ``(field, message)`` for each enum-constrained value not allowed."""
     def per_field(f):
@@ -214,8 +229,7 @@ def _enum_violations(p: Column, enums: Column, name_fn=lambda n: n) -> Column:
         vals = F.coalesce(f["vals"], F.array().cast(T.ArrayType(VAL)))
         bad = F.filter(vals, lambda v: ~(v["is_str"] & F.array_contains(allowed, v["s"])))
         msg = lambda v: F.concat(F.lit("got '"), v["s"], F.lit("', expected one of ["),
-                                 F.array_join(F.transform(F.array_sort(allowed), lambda a: F.concat(F.lit("'"), a, F.lit("'"))), ", "),
-                                 F.lit("]"))
+                                 F.array_join(F.transform(F.array_sort(F.array_distinct(allowed)), quoted), ", "), F.lit("]"))
         return F.when(allowed.isNotNull(), F.transform(bad, lambda v: F.struct(f["name"].alias("field"), msg(v).alias("msg")))) \
             .otherwise(F.array().cast("array<struct<field:string,msg:string>>"))
 
@@ -282,7 +296,7 @@ def score(df: DataFrame, aliases: dict | None = None, with_value_match: bool = T
     )
     if with_value_match and "gold_output" in df.columns:
         d = d.withColumn("_g", parse_output(F.col("gold_output")))
-        d = d.withColumn("value_match", F.when(~unparsed & is_dict, value_match(p, F.col("_g")))).drop("_g")
+        d = d.withColumn("value_match", F.when(~unparsed & is_dict & (F.size("_g.entries") > 0), value_match(p, F.col("_g")))).drop("_g")
     return d.drop("_p")
 
 
@@ -331,8 +345,8 @@ def by_model(scored: DataFrame) -> DataFrame:
         _rate(F.col("schema_strict_alias"), n).alias("schema_strict_alias_rate"),
         _rate(F.size("missing_fields_alias") > 0, n).alias("missing_alias_rate"),
         _rate(F.size("extra_fields_alias") > 0, n).alias("hallucination_alias_rate"),
-        exact_sum(F.col("latency_s")).alias("total_time_s"),
-        exact_avg(F.col("latency_s")).alias("avg_latency_s"),
+        F.sum(F.col("latency_s")).alias("total_time_s"),
+        F.avg(F.col("latency_s")).alias("avg_latency_s"),
     )
 
 
@@ -350,15 +364,17 @@ def by_group(scored: DataFrame, groups=GROUPS) -> DataFrame:
 
 
 def leaderboard(by_model_df: DataFrame, model_order: list) -> DataFrame:
-    """Rank by strict rate desc, parse rate desc, then run order (one row per
+    """Rates to 4 places; rank by strict rate desc, parse rate desc, then run order (one row per
     model, so the unpartitioned window is over a handful of rows)."""
     from quarry.operators.sample import order_index
 
+    def r4(c):
+        return F.floor(F.col(c) * 10_000 + 0.5) / F.lit(10_000.0)
+
+    rates = ["schema_strict_rate", "schema_strict_alias_rate", "parseable_rate", "missing_rate", "hallucination_rate"]
+    shown = by_model_df.select("model", *[r4(c).alias(c) for c in rates])
     w = W.orderBy(F.desc("schema_strict_rate"), F.desc("parseable_rate"), order_index(model_order, F.col("model")))
-    return by_model_df.select(
-        F.row_number().over(w).alias("rank"), "model", "schema_strict_rate", "schema_strict_alias_rate",
-        "parseable_rate", "missing_rate", "hallucination_rate",
-    )
+    return shown.select(F.row_number().over(w).alias("rank"), "model", *rates)
 
 
 def round_summary(scored: DataFrame, by: str = "round") -> DataFrame:
@@ -371,8 +387,8 @@ def round_summary(scored: DataFrame, by: str = "round") -> DataFrame:
         (F.count_if("parsed") / n).alias("parse_rate"),
         (F.count_if("schema_strict_stab") / n).alias("strict_rate"),
         (F.count_if("schema_strict_stab_alias") / n).alias("alias_strict_rate"),
-        exact_sum(F.col("latency_s")).alias("total_time_s"),
-        (exact_sum(F.col("latency_s")) / n).alias("avg_latency_s"),
+        F.sum(F.col("latency_s")).alias("total_time_s"),
+        (F.sum(F.col("latency_s")) / n).alias("avg_latency_s"),
     )
 
 
@@ -384,9 +400,12 @@ def round_wide(scored: DataFrame, by: str = "round", groups=GROUPS) -> DataFrame
         scored.groupBy(by).pivot("group", list(groups)).agg(
             (F.count_if("parsed") / F.count(F.lit(1))).alias("parse_rate"),
             (F.count_if("schema_strict_stab") / F.count(F.lit(1))).alias("strict_rate"),
+            (F.count_if("schema_strict_stab_alias") / F.count(F.lit(1))).alias("alias_strict_rate"),
+            F.count(F.lit(1)).alias("total"),
         )
     )
-    return s.join(g, by)
+    totals = [f"{k}_total" for k in groups]
+    return s.join(g.na.fill(0, totals), by)
 
 
 def structural_quality(scored: DataFrame, by=None) -> DataFrame:
@@ -404,5 +423,5 @@ def structural_quality(scored: DataFrame, by=None) -> DataFrame:
     n = F.count(F.lit(1))
     return d.groupBy(*keys).agg(
         n.alias("total"), (F.count_if(ent) / n).alias("entity_key_rate"),
-        (F.count_if(F.coalesce(han, F.lit(False))) / n).alias("chinese_fields_rate"), exact_avg(overlap).alias("avg_field_overlap"),
+        (F.count_if(F.coalesce(han, F.lit(False))) / n).alias("chinese_fields_rate"), F.avg(overlap).alias("avg_field_overlap"),
     )

@@ -3,6 +3,7 @@ labels, batch padding, packed next-token windows, history truncation."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,43 +13,47 @@ from pyspark.sql import types as T
 IGNORE = -100
 
 
-def find_sub(seq, pat, start=0) -> int:
-    """First index >= start where ``pat`` occurs in ``seq``; -1 if none."""
-    if not pat:
-        return start
-    n, m = len(seq), len(pat)
-    first = pat[0]
-    i = start
-    while i <= n - m:
-        if seq[i] == first and list(seq[i:i + m]) == list(pat):
-            return i
-        i += 1
-    return -1
+def occurrences(ids: np.ndarray, pattern: np.ndarray) -> np.ndarray:
+    """Every place where ``pattern`` starts in ``ids``."""
+    n = len(ids) - len(pattern) + 1
+    if n < 1:
+        return np.zeros(0, np.int64)
+    hit = np.ones(n, bool)
+    for k, value in enumerate(pattern.tolist()):
+        hit &= ids[k : k + n] == value
+    return np.flatnonzero(hit)
+
+
+def target_spans(ids: np.ndarray, header: np.ndarray, boundary: np.ndarray, max_length: int):
+    """(start, end) of each assistant answer: from after a header through the
+    next boundary, or to the end; a header inside an answer opens none."""
+    heads, ends, free = occurrences(ids, header), occurrences(ids, boundary), 0
+    for start in (heads + len(header)).tolist():
+        if start - len(header) < free:
+            continue
+        k = int(np.searchsorted(ends, start))
+        free = len(ids) if k == len(ends) else max(start, min(int(ends[k]) + len(boundary), max_length))
+        yield start, free
 
 
 def loss_labels(ids, header, boundary, max_length, pad_id, label_eos=False):
-    """Labels are the ids from just after each assistant header through the
-    end-of-turn boundary (to the end when it is missing), else -100.  Pad
-    positions (pad = EOS id) are never targets unless ``label_eos``."""
-    ids = list(ids)
-    labels = [IGNORE] * len(ids)
-    pos = 0
-    while pos < len(ids):
-        h = find_sub(ids, header, pos)
-        if h < 0:
-            break
-        start = h + len(header)
-        end = find_sub(ids, boundary, start)
-        stop = len(ids) if end < 0 else min(end + len(boundary), max_length)
-        for j in range(start, min(stop, len(ids))):
-            if label_eos or ids[j] != pad_id:
-                labels[j] = ids[j]
-        pos = len(ids) if end < 0 else stop
-    return labels
+    """Labels are the ids inside the answers, else -100.  Pad positions (pad =
+    EOS id) are never targets unless ``label_eos``."""
+    if not len(header) or not len(boundary):
+        raise ValueError("header and boundary must not be empty")
+    ids, header, boundary = (np.asarray(x, np.int64) for x in (ids, header, boundary))
+    chosen = np.zeros(len(ids), bool)
+    for start, end in target_spans(ids, header, boundary, max_length):
+        chosen[start:end] = True
+    if not label_eos:
+        chosen &= ids != pad_id
+    return np.where(chosen, ids, IGNORE).tolist()
 
 
 def labels_column(ids: Column, header: list, boundary: list, max_length: int, pad_id: int, label_eos: bool = False) -> Column:
     header, boundary = list(header), list(boundary)
+    if not header or not boundary:
+        raise ValueError("header and boundary must not be empty")
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _lab(s: pd.Series) -> pd.Series:
@@ -91,19 +96,37 @@ def pad_batches(df: DataFrame, order: str, batch_size: int, pad_id: int, ids: st
     ).drop("_mx", "_pad")
 
 
-def prefix_sums(df: DataFrame, order: str, value: str, bucket_width: int, name: str = "offset") -> DataFrame:
-    """Exclusive running sum of ``value`` in ``order`` (a numeric key) without
-    a single-partition window: per-bucket totals (tiny table) give bucket
-    offsets; a window partitioned by bucket adds the in-bucket part."""
-    x = df.withColumn("_b", F.floor(F.col(order) / bucket_width))
-    tot = x.groupBy("_b").agg(F.sum(value).alias("_t"))
-    off = tot.withColumn("_bo", F.coalesce(F.sum("_t").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_t")
-    w = W.partitionBy("_b").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    x = x.withColumn("_in", F.coalesce(F.sum(value).over(w), F.lit(0)))
-    return x.join(off, "_b").withColumn(name, (F.col("_bo") + F.col("_in")).cast("bigint")).drop("_b", "_bo", "_in")
+#: Rows that one window partition of :func:`prefix_sums` should hold.
+BUCKET_ROWS = 4096
 
 
-def pack_windows(docs: DataFrame, order: str, ids: str, length: int, bucket_width: int = 4096) -> DataFrame:
+def prefix_sums(df: DataFrame, order: str, value: str, bucket_width: int | None = None, name: str = "offset") -> DataFrame:
+    """Exclusive running sum of ``value`` in ``order`` (a numeric key) without
+    a single-partition window.
+
+    Rows are ranged into buckets of about ``BUCKET_ROWS`` rows, whatever the
+    density of the keys (the width comes from their range and number unless it
+    is given), and buckets into groups of as many.  Each level sums inside its
+    own partitions; one row for ``BUCKET_ROWS`` squared rows meets in one place."""
+    key = F.col(order)
+    if bucket_width is None:
+        low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+        bucket_width = max(1, -(-(int(high) - int(low) + 1) * BUCKET_ROWS // int(n))) if n else 1
+        key = key - F.lit(int(low or 0))
+
+    def before(frame, by, keys, v, out):
+        w = W.partitionBy(*keys).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+        return frame.withColumn(out, F.coalesce(F.sum(v).over(w), F.lit(0)))
+
+    x = df.withColumn("_b", F.floor(key / bucket_width))
+    fine = x.groupBy("_b").agg(F.sum(value).alias("_t")).withColumn("_c", F.floor(F.col("_b") / BUCKET_ROWS))
+    coarse = before(fine.groupBy("_c").agg(F.sum("_t").alias("_ct")), "_c", [], "_ct", "_co").select("_c", "_co")
+    fine = before(fine, "_b", ["_c"], "_t", "_bo").join(coarse, "_c").select("_b", (F.col("_bo") + F.col("_co")).alias("_bo"))
+    x = before(x, order, ["_b"], value, "_in")
+    return x.join(fine, "_b").withColumn(name, (F.col("_bo") + F.col("_in")).cast("bigint")).drop("_b", "_bo", "_in")
+
+
+def pack_windows(docs: DataFrame, order: str, ids: str, length: int, bucket_width: int | None = None) -> DataFrame:
     """Concatenate all token ids in ``order`` and cut them into windows:
     ``x = t[wL : wL+L]``, ``y = t[wL+1 : wL+L+1]`` for every window with a full
     ``y`` (window w needs the L + 1 tokens at positions wL .. wL+L).

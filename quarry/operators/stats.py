@@ -22,18 +22,6 @@ def _by(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def exact_sum(c: Column, scale: int = 6) -> Column:
-    """Sum of doubles in exact decimal arithmetic (values rounded to ``scale``
-    places first): independent of summation order, so the result does not
-    depend on partitioning and equals other engines' exact decimal sums."""
-    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
-
-
-def exact_avg(c: Column, scale: int = 6) -> Column:
-    """Mean over non-null values via :func:`exact_sum` (null when none)."""
-    return exact_sum(c, scale) / F.nullif(F.count(c), F.lit(0))
-
-
 def histogram(df: DataFrame, by, value: str) -> DataFrame:
     """``(by..., value, cnt, cum, n)``: running count in value order per group."""
     keys = _by(by)
@@ -56,6 +44,28 @@ def order_statistics(df: DataFrame, by, value: str, ranks: dict[str, Callable[[C
     return h.groupBy(*keys).agg(*aggs)
 
 
+def order_statistic(df: DataFrame, by, value: str, rank: Callable[[Column], Column], share: float, name: str) -> DataFrame:
+    """For each group: the value at the exact 0-based ``rank(n)``, which lies
+    near the ``share`` quantile; for continuous values, whose histogram would
+    be as long as the data.
+
+    A quantile sketch brackets the rank (its rank error is far below the
+    bracket's width), one pass counts the rows below the bracket, and only the
+    rows inside it, a few thousandths of a group, are ranked exactly."""
+    keys = _by(by)
+    wide = 0.002
+    ends = F.array(F.lit(max(0.0, share - wide)), F.lit(min(1.0, share + wide)))
+    b = df.groupBy(*keys).agg(F.count(value).alias("n"), F.percentile_approx(value, ends, 10_000).alias("q"))
+    b = b.select(*keys, "n", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"), rank(F.col("n")).alias("rank"))
+    near = df.join(b, keys).where(F.col(value) <= F.col("hi"))
+    hist = near.groupBy(*keys, F.greatest(value, "lo").alias("v"), "rank", "lo").agg(
+        F.count(F.lit(1)).alias("cnt"), F.min(value).alias("least"))
+    # rows below the bracket stand as one entry at its lower end
+    w = W.partitionBy(*keys).orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    hist = hist.withColumn("cum", F.sum("cnt").over(w))
+    return hist.groupBy(*keys).agg(F.min(F.when(F.col("rank") < F.col("cum"), F.col("v"))).alias(name))
+
+
 def nearest_rank_index(n: Column, pct: int) -> Column:
     """``min(int(n * p / 100), n - 1)``."""
     return F.least(F.floor(n * F.lit(pct) / F.lit(100)), n - 1)

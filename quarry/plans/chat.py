@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.draw import draw_sql
+from quarry.functions.text import py_strip
 from quarry.operators import chat as ch
 from quarry.plans.corpus import WS_SQL
 from quarry.sources.adapters import conv_turns
@@ -47,7 +48,7 @@ def q_system_inject(spark, sf_dir):
 
 
 def q_reply_clean(spark, sf_dir):
-    c = conv_turns(spark, sf_dir).filter(F.col("role") == "assistant")
+    c = conv_turns(spark, sf_dir).filter(F.lower(py_strip("role")) == "assistant")
     raw = F.concat(F.col("text"), F.when(F.col("turn") % 3 == 0, F.lit(" " + ch.EOS_TOKEN + "  ")).otherwise(F.lit("")))
     out = ch.clean_reply(raw)
     return c.select("conv_id", "turn", F.sha2(out, 256).alias("reply_hash"), F.length(out).alias("reply_len"))
@@ -102,7 +103,7 @@ SELECT conv_id, system_injected,
   CASE WHEN system_injected THEN {PROMPTS_SQL}[{draw_sql(SEED, 'conv_id', 'system_pick')} % 4 + 1] ELSE kept[1].content END AS first_content,
   len(kept) + CASE WHEN system_injected THEN 1 ELSE 0 END AS n_turns FROM inj""",
     "reply_clean": f"""WITH {CONV_SQL}, r AS (
-  SELECT conv_id, turn, trim(content || CASE WHEN turn % 3 = 0 THEN ' {EOS}  ' ELSE '' END, {WS_SQL}) AS s FROM turns WHERE role = 'assistant'),
+  SELECT conv_id, turn, trim(content || CASE WHEN turn % 3 = 0 THEN ' {EOS}  ' ELSE '' END, {WS_SQL}) AS s FROM turns WHERE lower(trim(role, {WS_SQL})) = 'assistant'),
 c AS (SELECT conv_id, turn, trim(CASE WHEN suffix(s, '{EOS}') THEN substr(s, 1, length(s) - {len(EOS)}) ELSE s END, {WS_SQL}) AS o FROM r)
 SELECT conv_id, turn, sha256(o) AS reply_hash, length(o) AS reply_len FROM c""",
 }

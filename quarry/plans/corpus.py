@@ -15,7 +15,7 @@ from quarry.functions.text import (
     py_strip,
     remove_html_tags,
 )
-from quarry.operators.clean import annotate_corpus, clean_report, dedup_exact, split_stats
+from quarry.operators.clean import annotate_corpus, clean_report, dedup_exact, split_stats, with_text
 from quarry.operators.stats import length_stats
 from quarry.plans.oracle_views import DIRTY_DOCS
 from quarry.sources.adapters import dirty_docs
@@ -23,7 +23,8 @@ from quarry.sources.tables import read_table
 
 # Query parameters (fixed per query; the library defaults are the reference's).
 MIN_LENGTH = 50
-MAX_LENGTH = 50000
+MAX_LENGTH = 0  # no upper limit
+LONG_AT = 5000  # only in the query that shows the rule for long documents
 TRUNCATE_AT = 2000
 VALID_RATIO = 0.01
 RULES = ["é=e", "ß=ss", "\t=\\u0020"]
@@ -66,6 +67,10 @@ def q_clean_with_rules(spark, sf_dir):
     return a.select("doc_id", "n_chars", "drop_reason", "doc_hash")
 
 
+def q_length_drop_long(spark, sf_dir):
+    return clean_report(annotated(spark, sf_dir, max_length=LONG_AT))
+
+
 def q_html_strip(spark, sf_dir):
     p = read_table(spark, sf_dir, "pages")
     stripped = remove_html_tags("html")
@@ -80,7 +85,8 @@ def q_html_strip(spark, sf_dir):
 
 def q_split_text(spark, sf_dir):
     """Text sink rendering: doc + newline + separator line, per split (A5)."""
-    kept = dedup_exact(annotated(spark, sf_dir))
+    a = annotated(spark, sf_dir)
+    kept = with_text(dedup_exact(a), a)
     body = F.concat(F.col("text_clean"), F.lit("\n"), F.lit("###"), F.lit("\n"))
     return kept.select("doc_id", "split", F.sha2(body, 256).alias("rendered_hash"), F.length(body).alias("rendered_len"))
 
@@ -92,6 +98,7 @@ QUERIES = {
     "split_stats": q_split_stats,
     "length_stats": q_length_stats,
     "length_truncate": q_length_truncate,
+    "length_drop_long": q_length_drop_long,
     "clean_with_rules": q_clean_with_rules,
     "html_strip": q_html_strip,
     "split_text": q_split_text,
@@ -111,7 +118,7 @@ def _rules_sql(expr: str, rules) -> str:
 
 def annotated_sql(rules=(), max_length=MAX_LENGTH, action="drop") -> str:
     s1 = _rules_sql("s0", rules)
-    long_rule = f"WHEN length(tc0) > {max_length} THEN 'long'" if action == "drop" else ""
+    long_rule = f"WHEN length(tc0) > {max_length} THEN 'long'" if action == "drop" and max_length else ""
     tc = f"CASE WHEN length(tc0) > {max_length} THEN substr(tc0, 1, {max_length}) ELSE tc0 END" if action == "truncate" else "tc0"
     return f"""{DIRTY_DOCS},
 c0 AS (SELECT doc_id, trim(text, {WS_SQL}) AS s0 FROM dirty_docs),
@@ -151,10 +158,7 @@ SELECT n AS count, mn AS min, mx AS max, tot / n AS mean,
   {pcts}, CAST(tot AS BIGINT) AS total_chars FROM s"""
 
 
-ORACLE = {
-    "clean_flags": f"WITH {annotated_sql()} SELECT doc_id, n_chars, drop_reason, ctrl_mod, html_mod, ws_mod, doc_hash, split FROM annotated",
-    "clean_report": f"""WITH {annotated_sql()}
-SELECT count(*) AS total_raw_documents,
+REPORT_SQL = """SELECT count(*) AS total_raw_documents,
   count(*) FILTER (WHERE drop_reason = 'empty') AS skipped_empty,
   count(*) FILTER (WHERE drop_reason = 'short') AS skipped_short,
   count(*) FILTER (WHERE drop_reason = 'long') AS skipped_long,
@@ -164,7 +168,12 @@ SELECT count(*) AS total_raw_documents,
   count(*) FILTER (WHERE drop_reason IS NULL) - (SELECT count(*) FROM kept) AS duplicates_removed,
   (SELECT count(*) FROM kept) AS total_kept,
   1 - (SELECT count(*) FROM kept) / count(*) AS filter_rate
-FROM annotated""",
+FROM annotated"""
+
+ORACLE = {
+    "clean_flags": f"WITH {annotated_sql()} SELECT doc_id, n_chars, drop_reason, ctrl_mod, html_mod, ws_mod, doc_hash, split FROM annotated",
+    "clean_report": f"WITH {annotated_sql()} {REPORT_SQL}",
+    "length_drop_long": f"WITH {annotated_sql(max_length=LONG_AT)} {REPORT_SQL}",
     "exact_dedup": f"WITH {annotated_sql()} SELECT doc_id, doc_hash, split, n_chars FROM kept",
     "split_stats": f"""WITH {annotated_sql()}
 SELECT split, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS characters, sum(n_chars) / count(*) AS avg_doc_length

@@ -116,7 +116,7 @@ def q_sample_metadata(spark, sf_dir):
         F.count(F.lit(1)).alias("total_samples"),
         F.count_if(F.col("split") == "train").alias("train_samples"),
         F.count_if(F.col("split") == "valid").alias("valid_samples"),
-        F.array_join(F.array_sort(F.collect_set("topic_schema")), ",").alias("topics"),
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("split") == "train", F.col("topic_schema")))), ",").alias("topics"),
     )
 
 
@@ -245,6 +245,6 @@ SELECT count(*) AS total, count(*) FILTER (WHERE json_valid(output)) AS valid,
   count(*) FILTER (WHERE json_valid(output)) / count(*) AS valid_rate FROM chat_split""",
     "sample_metadata": f"""WITH {SAMPLE_SQL}
 SELECT count(*) AS total_samples, count(*) FILTER (WHERE split = 'train') AS train_samples,
-  count(*) FILTER (WHERE split = 'valid') AS valid_samples, array_to_string(list_sort(list(DISTINCT topic_schema)), ',') AS topics
+  count(*) FILTER (WHERE split = 'valid') AS valid_samples, array_to_string(list_sort(list(DISTINCT topic_schema) FILTER (WHERE split = 'train')), ',') AS topics
 FROM chat_split""",
 }

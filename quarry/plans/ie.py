@@ -208,7 +208,7 @@ SELECT cate, count(*) AS original, count(*) FILTER (WHERE reject_reason IS NULL)
     "tier_report": f"""WITH {IE_SQL}
 SELECT count(*) AS n, count(*) FILTER (WHERE quality_tier = 'high') AS high,
   count(*) FILTER (WHERE quality_tier = 'medium') AS medium, count(*) FILTER (WHERE quality_tier = 'low') AS low,
-  (CAST(sum(CAST(match_ratio AS DECIMAL(38,6))) AS DOUBLE) / nullif(count(match_ratio), 0)) AS mean_match_ratio, count(*) FILTER (WHERE match_ratio >= 1.0) AS exact_match,
+  (sum(match_ratio) / nullif(count(match_ratio), 0)) AS mean_match_ratio, count(*) FILTER (WHERE match_ratio >= 1.0) AS exact_match,
   count(*) FILTER (WHERE dim_match) / count(*) AS match_rate, count(*) FILTER (WHERE dim_rel_count) / count(*) AS rel_count_rate,
   count(*) FILTER (WHERE dim_input_len) / count(*) AS input_len_rate FROM tiered""",
     "cate_distribution": f"""WITH {IE_SQL}

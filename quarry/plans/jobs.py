@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import bpe
-from quarry.operators.clean import annotate_corpus, clean_report, dedup_exact, split_stats
+from quarry.operators.clean import annotate_corpus, clean_report, dedup_exact, split_stats, with_text
 from quarry.operators.stats import length_stats
 from quarry.session import ship_package
 from quarry.sources import io
@@ -34,9 +34,10 @@ def prepare_corpus(spark: SparkSession, input_path: str, output_dir: str, text_k
     from quarry.session import cut_lineage
 
     ann = cut_lineage(ann)  # feeds the outputs and three reports
-    kept = dedup_exact(ann, dedup=dedup)
-    io.write_splits(kept, os.path.join(output_dir, "splits"), separator)
-    io.write_corpus(kept, os.path.join(output_dir, "tokenizer_corpus"))
+    kept = cut_lineage(dedup_exact(ann, dedup=dedup))  # ids, lengths and splits only
+    texts = with_text(kept, ann)
+    io.write_splits(texts, os.path.join(output_dir, "splits"), separator)
+    io.write_corpus(texts, os.path.join(output_dir, "tokenizer_corpus"))
     report = clean_report(ann, dedup).collect()[0].asDict()
     lengths = length_stats(kept, "n_chars").collect()[0].asDict()
     per_split = {r["split"]: r.asDict() for r in split_stats(kept).collect()}

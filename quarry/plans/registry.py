@@ -30,7 +30,7 @@ ROUNDED = {
     "round_wide": ["total_time_s", "avg_latency_s"],
     "bench_summary": ["time_mean", "tps_mean", "completion_tokens_avg", "ttft_mean"],
     "concurrency_summary": ["batch_mean", "tps_mean"],
-    "speedup_summary": ["no_cache_time_s", "cache_time_s", "no_cache_tps", "cache_tps", "speedup"],
+    "speedup_summary": ["no_cache_time_s", "cache_time_s", "cache_prefill_time_s", "cache_decode_time_s", "no_cache_tps", "cache_decode_tps", "speedup"],
     "speedup_range": ["min_speedup", "mean_speedup", "max_speedup"],
     "loss_weighted": ["weighted_loss"],
     "baseline_compare": ["value", "baseline", "delta"],
@@ -43,12 +43,12 @@ def _rounded(fn, cols):
         from pyspark.sql import functions as F
 
         df = fn(spark, sf_dir)
-        # floor(x * 1e6 + 0.5) / 1e6: plain IEEE double steps, identical in any
-        # engine (Spark's round() is HALF_UP on the decimal value, which can
-        # disagree with other engines exactly at ties)
+        # floor(x * 1e6 + 0.5001) / 1e6: plain IEEE double steps, identical in any
+        # engine; exact ties, which sums in another order may miss by a last
+        # bit on either side, lie clear of the step
         def r6(c):
             x = F.col(c)
-            return F.when(F.isnan(x), x).otherwise(F.floor(x * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)).alias(c)
+            return F.when(F.isnan(x), x).otherwise(F.floor(x * F.lit(1e6) + F.lit(0.5001)).cast("double") / F.lit(1e6)).alias(c)
 
         return df.select(*[r6(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -80,7 +80,7 @@ def oracle_sql() -> dict:
     for k, sql in o.items():
         if k in ROUNDED:
             cols = ROUNDED[k]
-            sel = ", ".join(f"CASE WHEN isnan(\"{c}\") THEN \"{c}\" ELSE CAST(floor(\"{c}\" * 1e6::DOUBLE + 0.5::DOUBLE) AS DOUBLE) / 1e6::DOUBLE END AS \"{c}\"" for c in cols)
+            sel = ", ".join(f"CASE WHEN isnan(\"{c}\") THEN \"{c}\" ELSE CAST(floor(\"{c}\" * 1e6::DOUBLE + 0.5001::DOUBLE) AS DOUBLE) / 1e6::DOUBLE END AS \"{c}\"" for c in cols)
             sql = f"SELECT * REPLACE ({sel}) FROM ({sql}) AS q"
         out[k] = sql
     return out

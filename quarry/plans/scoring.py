@@ -86,10 +86,9 @@ def q_structural_quality(spark, sf_dir):
 
 def q_eval_totals(spark, sf_dir):
     o = eval_outputs(spark, sf_dir, SEED)
-    from quarry.operators.stats import exact_avg, exact_sum
 
-    return o.groupBy("model").agg(F.count(F.lit(1)).alias("n"), exact_sum(F.col("latency_s")).alias("total_time_s"),
-                                  exact_avg(F.col("latency_s")).alias("avg_latency_s"))
+    return o.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("latency_s")).alias("total_time_s"),
+                                  F.avg(F.col("latency_s")).alias("avg_latency_s"))
 
 
 def prompt_text(instruction, schema, text):
@@ -166,10 +165,10 @@ schema AS (
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey WHERE c.c_mktsegment <> 'MACHINERY' GROUP BY 1),
 psrc AS (
-  SELECT CAST(o.o_orderkey AS VARCHAR) AS id, o.o_orderkey, c.c_mktsegment AS cate, r.rel,
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS id, o.o_orderkey, c.c_mktsegment AS cate, coalesce(r.rel, []::STRUCT(head VARCHAR, relation VARCHAR, tail VARCHAR)[]) AS rel,
     c.c_mktsegment || ' order: ' || coalesce(r.first4, '') AS input,
-    list_filter(list_transform(r.rel, lambda x: x.relation), lambda x, i: list_position(list_transform(r.rel, lambda y: y.relation), x) = i) AS types
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN relg r ON r.o_orderkey = o.o_orderkey WHERE len(r.rel) >= 2),
+    coalesce(list_filter(list_transform(r.rel, lambda x: x.relation), lambda x, i: list_position(list_transform(r.rel, lambda y: y.relation), x) = i), []::VARCHAR[]) AS types
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN relg r ON r.o_orderkey = o.o_orderkey),
 prompts AS (
   SELECT id, {GROUPS_SQL}[o_orderkey % 3 + 1] AS grp, input, rel, types[1:2] AS required,
     coalesce(s.fields, list_sort(types)) AS allowed,
@@ -228,6 +227,7 @@ final AS (SELECT *,
   FROM scored2)"""
 
 N = "count(*)"
+RATES = ("schema_strict_rate", "schema_strict_alias_rate", "parseable_rate", "missing_rate", "hallucination_rate")
 ORACLE = {
     "score_rows": f"""WITH {EVAL_SQL}
 SELECT model, id, grp AS "group", parsed, len(missing) AS n_missing, array_to_string(missing, ',') AS missing,
@@ -249,7 +249,7 @@ SELECT model, {N} AS total, count(*) FILTER (WHERE parsed) AS parseable, count(*
   count(*) FILTER (WHERE schema_strict_alias) / {N} AS schema_strict_alias_rate,
   count(*) FILTER (WHERE len(missing_alias) > 0) / {N} AS missing_alias_rate,
   count(*) FILTER (WHERE len(extra_alias) > 0) / {N} AS hallucination_alias_rate,
-  CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) AS total_time_s, (CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) / nullif(count(latency_s), 0)) AS avg_latency_s
+  sum(latency_s) AS total_time_s, (sum(latency_s) / nullif(count(latency_s), 0)) AS avg_latency_s
 FROM final GROUP BY model""",
     "by_group": f"""WITH {EVAL_SQL}
 SELECT model, grp AS "group", {N} AS total, count(*) FILTER (WHERE parsed) / {N} AS parseable_rate,
@@ -261,25 +261,29 @@ FROM final GROUP BY ALL""",
   SELECT model, min(model_ord) AS model_ord, count(*) FILTER (WHERE schema_strict) / {N} AS schema_strict_rate,
     count(*) FILTER (WHERE schema_strict_alias) / {N} AS schema_strict_alias_rate, count(*) FILTER (WHERE parsed) / {N} AS parseable_rate,
     count(*) FILTER (WHERE len(missing) > 0) / {N} AS missing_rate, count(*) FILTER (WHERE len(extra) > 0) / {N} AS hallucination_rate
-  FROM final GROUP BY model)
+  FROM final GROUP BY model),
+bm4 AS (SELECT model, model_ord, """ + ", ".join(f"floor({c} * 10000 + 0.5) / 10000.0 AS {c}" for c in RATES) + """ FROM bm)
 SELECT row_number() OVER (ORDER BY schema_strict_rate DESC, parseable_rate DESC, model_ord) AS rank, model, schema_strict_rate,
-  schema_strict_alias_rate, parseable_rate, missing_rate, hallucination_rate FROM bm""",
+  schema_strict_alias_rate, parseable_rate, missing_rate, hallucination_rate
+FROM bm4""",
     "round_wide": f"""WITH {EVAL_SQL}
 SELECT model AS round, {N} AS total, 0::BIGINT AS errors, count(*) FILTER (WHERE parsed) / {N} AS parse_rate,
   count(*) FILTER (WHERE schema_strict_stab) / {N} AS strict_rate, count(*) FILTER (WHERE schema_strict_stab_alias) / {N} AS alias_strict_rate,
-  CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) AS total_time_s, CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) / {N} AS avg_latency_s,
+  sum(latency_s) AS total_time_s, sum(latency_s) / {N} AS avg_latency_s,
   """ + ",\n  ".join(
         f"count(*) FILTER (WHERE grp = '{g}' AND parsed) / count(*) FILTER (WHERE grp = '{g}') AS {g}_parse_rate, "
-        f"count(*) FILTER (WHERE grp = '{g}' AND schema_strict_stab) / count(*) FILTER (WHERE grp = '{g}') AS {g}_strict_rate"
+        f"count(*) FILTER (WHERE grp = '{g}' AND schema_strict_stab) / count(*) FILTER (WHERE grp = '{g}') AS {g}_strict_rate, "
+        f"count(*) FILTER (WHERE grp = '{g}' AND schema_strict_stab_alias) / count(*) FILTER (WHERE grp = '{g}') AS {g}_alias_strict_rate, "
+        f"count(*) FILTER (WHERE grp = '{g}') AS {g}_total"
         for g in EVAL_GROUPS) + "\nFROM final GROUP BY model",
     "structural_quality": f"""WITH {EVAL_SQL}
 SELECT model, grp AS "group", {N} AS total,
   count(*) FILTER (WHERE list_bool_or(list_transform(ents, lambda e: e.is_obj))) / {N} AS entity_key_rate,
   count(*) FILTER (WHERE len(pool) > 0 AND list_bool_and(list_transform(pool, lambda f: regexp_matches(f, '\\p{{Han}}')))) / {N} AS chinese_fields_rate,
-  (CAST(sum(CAST((CASE WHEN len(required) > 0 THEN len(list_intersect(pool, required)) / len(required) ELSE 0.0 END) AS DECIMAL(38,6))) AS DOUBLE) / nullif(count((CASE WHEN len(required) > 0 THEN len(list_intersect(pool, required)) / len(required) ELSE 0.0 END)), 0)) AS avg_field_overlap
+  (sum((CASE WHEN len(required) > 0 THEN len(list_intersect(pool, required)) / len(required) ELSE 0.0 END)) / nullif(count((CASE WHEN len(required) > 0 THEN len(list_intersect(pool, required)) / len(required) ELSE 0.0 END)), 0)) AS avg_field_overlap
 FROM final GROUP BY ALL""",
     "eval_totals": f"""WITH {EVAL_SQL}
-SELECT model, {N} AS n, CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) AS total_time_s, (CAST(sum(CAST(latency_s AS DECIMAL(38,6))) AS DOUBLE) / nullif(count(latency_s), 0)) AS avg_latency_s FROM outs GROUP BY model""",
+SELECT model, {N} AS n, sum(latency_s) AS total_time_s, (sum(latency_s) / nullif(count(latency_s), 0)) AS avg_latency_s FROM outs GROUP BY model""",
 }
 
 _VM_PAIRS = f"""flatten(list_transform(
@@ -292,7 +296,7 @@ _VM_PAIRS = f"""flatten(list_transform(
 
 _INS_SQL = "CASE grp " + " ".join(f"WHEN '{g}' THEN '{t}'" for g, t in EVAL_INSTRUCTIONS.items()) + " END"
 
-ORACLE["value_match"] = f"""WITH {EVAL_SQL}, vm AS (SELECT model, id, {_VM_PAIRS} AS pairs FROM final WHERE NOT unparsed AND is_dict),
+ORACLE["value_match"] = f"""WITH {EVAL_SQL}, vm AS (SELECT model, id, {_VM_PAIRS} AS pairs FROM final WHERE NOT unparsed AND is_dict AND len(rel) > 0),
 vm2 AS (SELECT model, id, list_filter(pairs, lambda x, i: NOT list_contains(list_transform(list_slice(pairs, i + 1, len(pairs)), lambda y: y.field), x.field)) AS lastp FROM vm)
 SELECT model, id, len(lastp) AS n_fields, len(list_filter(lastp, lambda x: x.match)) AS n_match FROM vm2"""
 

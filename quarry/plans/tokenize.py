@@ -13,10 +13,11 @@ from quarry.functions.draw import draw
 from quarry.operators import bpe
 from quarry.operators import chat as ch
 from quarry.operators import sft
-from quarry.operators.clean import dedup_exact
+from quarry.operators.clean import dedup_exact, with_text
 from quarry.operators.sample import global_index
 from quarry.plans.chat import normalized as conv_normalized
 from quarry.plans.corpus import annotated
+from quarry.session import cut_lineage
 
 EOS = ch.EOS_TOKEN
 SPECIALS = [EOS]
@@ -32,8 +33,8 @@ _MODELS: dict = {}
 def corpus(spark, sf_dir):
     """Kept, cleaned documents; each ends with a newline as in the tokenizer
     corpus file (per-document pre-tokenization then equals whole-file)."""
-    k = dedup_exact(annotated(spark, sf_dir))
-    return k.select("doc_id", "split", F.concat(F.col("text_clean"), F.lit("\n")).alias("text"))
+    a = annotated(spark, sf_dir)
+    return with_text(dedup_exact(a), a).select("doc_id", "split", F.concat(F.col("text_clean"), F.lit("\n")).alias("text"))
 
 
 def model(spark, sf_dir):
@@ -45,6 +46,11 @@ def model(spark, sf_dir):
     return _MODELS[key]
 
 
+def id_hash(ids):
+    """A digest of an id array, so that results show the ids themselves."""
+    return F.sha2(F.array_join(ids, ","), 256)
+
+
 def q_pretoken_counts(spark, sf_dir):
     return bpe.pretoken_counts(corpus(spark, sf_dir), "text", SPECIALS)
 
@@ -98,10 +104,10 @@ def q_clip_ids(spark, sf_dir):
 
 def sft_samples(spark, sf_dir):
     vocab, merges = model(spark, sf_dir)
-    enc = bpe._Encoder(vocab, merges, SPECIALS)
+    enc = bpe.Encoder(vocab, merges, SPECIALS)
     header = enc.encode(ch.ROLE_MARKERS["assistant"])
     boundary = enc.encode(EOS + "\n")
-    pad = enc.vocab_to_id[EOS.encode("utf-8")]
+    pad = enc.ids[EOS.encode("utf-8")]
     n = conv_normalized(spark, sf_dir).filter(F.col("invalid_reason").isNull())
     r = n.withColumn("rendered", ch.render_chat(F.col("conversations")))
     r = r.withColumn("_ids", bpe.encode_column(spark, F.col("rendered"), vocab, merges, SPECIALS))
@@ -111,7 +117,7 @@ def sft_samples(spark, sf_dir):
 
 def q_sft_labels(spark, sf_dir):
     s, _ = sft_samples(spark, sf_dir)
-    return s.select("conv_id", F.size("_ids").alias("n_tokens"), F.size("input_ids").alias("length"),
+    return s.select("conv_id", F.size("_ids").alias("n_tokens"), F.size("input_ids").alias("length"), id_hash("labels").alias("labels_hash"),
                     F.size(F.filter("labels", lambda x: x != sft.IGNORE)).alias("n_labelled"),
                     sft.target_weight(F.col("labels")).alias("target_weight"))
 
@@ -132,18 +138,20 @@ def q_prefix_labels(spark, sf_dir):
 
 def q_pad_batches(spark, sf_dir):
     s, pad = sft_samples(spark, sf_dir)
-    s = s.select("conv_id", F.col("_ids").alias("input_ids"), sft.labels_column(F.col("_ids"), [], [], 10 ** 9, -1).alias("labels"))
+    s = s.select("conv_id", F.slice("_ids", 1, MAX_LENGTH).alias("input_ids"), F.slice("labels", 1, F.least(F.size("_ids"), F.lit(MAX_LENGTH))).alias("labels"))
     s = s.withColumn("_d", draw(SEED, F.col("conv_id"), "batch"))
     idx = global_index(s, [], "_d", [F.col("conv_id")], "idx")
     b = sft.pad_batches(idx, "idx", 4, pad)
-    return b.select("conv_id", "batch_id", F.size("padded_ids").alias("padded_len"),
-                    F.size(F.filter("attention_mask", lambda x: x)).alias("n_real"))
+    return b.select("conv_id", "batch_id", F.size("padded_ids").alias("padded_len"), id_hash("padded_ids").alias("ids_hash"),
+                    id_hash("padded_labels").alias("labels_hash"), F.size(F.filter("attention_mask", lambda x: x)).alias("n_real"))
 
 
 def q_packed_windows(spark, sf_dir):
-    e = encoded(spark, sf_dir).filter(F.col("split") == "train")
-    w = sft.pack_windows(e, "doc_id", "ids", WINDOW)
-    return w.select("window", F.size("x").alias("n"), F.try_element_at("x", F.lit(1)).alias("x_first"),
+    # encoded once; offsets and slices both read the written ids, of both splits
+    e = cut_lineage(encoded(spark, sf_dir).select("doc_id", "split", "ids"))
+    parts = [sft.pack_windows(e.filter(F.col("split") == s), "doc_id", "ids", WINDOW).withColumn("split", F.lit(s)) for s in ("train", "valid")]
+    w = parts[0].union(parts[1])
+    return w.select("split", "window", id_hash("x").alias("x_hash"), id_hash("y").alias("y_hash"), F.size("x").alias("n"), F.try_element_at("x", F.lit(1)).alias("x_first"),
                     F.try_element_at("y", F.lit(1)).alias("y_first"),
                     F.forall(F.arrays_zip(F.slice("x", 2, WINDOW - 1).alias("a"), F.slice("y", 1, WINDOW - 1).alias("b")),
                              lambda z: z["a"] == z["b"]).alias("shift_ok"))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.scoring import whole
+
 
 def read_jsonl(spark: SparkSession, path: str, schema, strict: bool = True) -> DataFrame:
     """JSONL with a fixed schema; blank lines are skipped.  ``strict`` fails
@@ -20,7 +22,8 @@ def read_jsonl(spark: SparkSession, path: str, schema, strict: bool = True) -> D
 
 
 def read_text_records(spark: SparkSession, path: str, key: str = "text") -> DataFrame:
-    """Tolerant corpus scan: each non-blank line parsed with Python semantics;
+    """Tolerant corpus scan ``(line_id, key)``; ``line_id`` orders lines by
+    file, then place: each non-blank line parsed with Python semantics;
     lines that are not JSON, or whose ``key`` is not a string, are dropped
     (uncounted, like the reference).  Uses the row-local Arrow parse helper."""
     @F.pandas_udf(T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("text", T.StringType())]))
@@ -33,10 +36,13 @@ def read_text_records(spark: SparkSession, path: str, key: str = "text") -> Data
                 out.append((False, None))
                 continue
             v = rec.get(key) if isinstance(rec, dict) else None
-            out.append((isinstance(v, str), v if isinstance(v, str) else None))
+            out.append((isinstance(v, str), whole(v) if isinstance(v, str) else None))
         return pd.DataFrame(out, columns=["ok", "text"])
 
-    lines = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
+    # the order of lines: file, place of the split in it, row within the split
+    # (files reach partitions by size, so a row number alone is not their order)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    lines = spark.read.text(path).select("value", place.alias("_line"))
     lines = lines.filter(F.length(F.trim("value")) > 0)
     parsed = lines.withColumn("_r", _get.asNondeterministic()(F.col("value")))
     return parsed.filter("_r.ok").select(F.col("_line").alias("line_id"), F.col("_r.text").alias(key))
@@ -105,7 +111,8 @@ def write_tokens(df: DataFrame, path: str, vocab_size: int, ids: str = "ids", mo
     if vocab_size > 65536:
         raise ValueError("vocab_size > 65536 does not fit 16-bit token ids")
     df.write.mode(mode).parquet(path)
-    return df.agg(F.sum(F.size(ids)).cast("bigint").alias("num_tokens"), F.max(F.array_max(ids)).alias("max_token_id")).withColumn(
+    written = df.sparkSession.read.parquet(path)  # not a second encode pass
+    return written.agg(F.sum(F.size(ids)).cast("bigint").alias("num_tokens"), F.max(F.array_max(ids)).alias("max_token_id")).withColumn(
         "vocab_size", F.lit(vocab_size))
 
 
@@ -132,11 +139,16 @@ def read_vocab(spark: SparkSession, path: str):
 
 
 def parse_conversations(c: Column) -> Column:
-    """JSON string -> ``array<struct<role, content>>`` (null when malformed)."""
-    return F.from_json(c, "array<struct<role:string,content:string>>")
+    """JSON string -> ``array<struct<role, content>>`` (null when malformed);
+    a role or content that is not a JSON string becomes null."""
+    def text(v):
+        return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+
+    turns = F.from_json(c, "array<struct<role:variant,content:variant>>")
+    return F.transform(turns, lambda t: F.struct(text(t["role"]).alias("role"), text(t["content"]).alias("content")))
 
 
-def index_samples(df: DataFrame, order: str, bucket_width: int = 65536) -> DataFrame:
+def index_samples(df: DataFrame, order: str, bucket_width: int | None = None) -> DataFrame:
     """Stable 0-based sample index in ``order`` (a numeric line/row key): the
     number of rows before each row, from bucketed prefix sums (no
     single-partition window)."""

@@ -16,21 +16,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one table.  A scan that yields fewer partitions than the
-    cluster's default parallelism (small inputs stored as one row group) is
-    spread round-robin so CPU-heavy row-local work (regexes, Arrow UDFs) uses
-    every core; at scale the scan already has thousands of splits and this is
-    a no-op (no extra shuffle)."""
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one table.  ``spark.quarry.spreadScans`` (off; the benchmark of
+    small one-file tables sets it) deals a scan out to all cores first."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     df = spark.read.parquet(table_path(sf_dir, name))
-    if spread:
-        try:
-            par = spark.sparkContext.defaultParallelism
-            few = df.rdd.getNumPartitions() < par
-        except Exception:  # no classic SparkContext (e.g. a remote session): leave the scan as is
-            few = False
-        if few:
-            df = df.repartition(par)
+    if spark.conf.get("spark.quarry.spreadScans", "false") == "true":
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     return df

@@ -34,12 +34,13 @@ def clean_stream(stream: DataFrame, rules=(), html: bool = True, min_length: int
     cols = ["doc_id", "text"] + ([watermark_col] if watermark_col else [])
     a = annotate_corpus(stream.select(*cols), rules=rules, html=html, min_length=min_length,
                         max_length=max_length, valid_ratio=valid_ratio)
-    kept = a.filter(F.col("drop_reason").isNull())
     if watermark_col:
-        kept = kept.withWatermark(watermark_col, horizon).dropDuplicatesWithinWatermark(["doc_hash"])
+        a = a.withWatermark(watermark_col, horizon).dropDuplicatesWithinWatermark(["doc_hash"])
     else:
-        kept = kept.dropDuplicates(["doc_hash"])
-    return kept.select("doc_hash", "split", "n_chars", "text_clean")
+        a = a.dropDuplicates(["doc_hash"])
+    # dropped rows share the null hash, so one of them is left to filter here;
+    # a filter above the dedup would run the cleaning chain a second time
+    return a.filter(F.col("drop_reason").isNull()).select("doc_hash", "split", "n_chars", "text_clean")
 
 
 def run_to_table(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
@@ -59,7 +60,7 @@ def stream_train_summary(spark: SparkSession, log_stream: DataFrame, name: str =
     out, ck = _scratch(spark, name), _scratch(spark, name + "-ckpt")
     w = F.col("weight")
     agg = log_stream.groupBy("run").agg(
-        F.sum(F.when(w > 0, F.col("loss") * w).cast("decimal(38,6)")).alias("wsum"), F.sum(F.when(w > 0, w)).alias("wtot"),
+        F.sum(F.when(w > 0, F.col("loss") * w)).alias("wsum"), F.sum(F.when(w > 0, w)).alias("wtot"),
         F.min("val_loss").alias("best_val_loss"), F.count(F.lit(1)).alias("evals"),
     )
 
@@ -69,7 +70,7 @@ def stream_train_summary(spark: SparkSession, log_stream: DataFrame, name: str =
     q = agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", ck).trigger(availableNow=True).start()
     q.awaitTermination()
     r = spark.read.parquet(out)
-    return r.select("run", (F.col("wsum").cast("double") / F.nullif("wtot", F.lit(0))).alias("weighted_loss"), "best_val_loss", "evals")
+    return r.select("run", (F.col("wsum") / F.nullif("wtot", F.lit(0))).alias("weighted_loss"), "best_val_loss", "evals")
 
 
 def append_log(stream: DataFrame, path: str, checkpoint: str, stamp: str = "logged_at"):
