@@ -1,11 +1,9 @@
 """Stratified sampling, global ordering and splits.
 
 Randomness is a hash of (seed, key, salt) (see :mod:`quarry.functions.draw`).
-Per-group "first k" selections are ``row_number() <= literal``, which Spark
-plans with a *partial* window-group limit before the shuffle: a hot group
-(say a third of all rows in one task/topic) reaches the shuffle as at most
-``k`` rows per map task.  Limits that depend on counts are computed first as a
-tiny aggregate (one row per task/topic) and folded in as literals.
+"First k of each group" is a histogram of draw buckets, a join and a rank of
+the boundary bucket only (:func:`first_k`), so neither a hot group nor many
+map tasks meet in one window.
 """
 
 from __future__ import annotations
@@ -42,12 +40,33 @@ def task_targets(target: int, ratio: dict) -> dict:
     return {t: int(target * r) for t, r in ratio.items()}
 
 
-def _small_rows(df: DataFrame, limit: int = 10000):
-    """Collect a tiny aggregate; refuses anything that is not tiny."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("aggregate is not small enough to fold into the plan")
-    return rows
+#: Fine buckets of a uniform draw within one stratum.
+DRAW_BUCKETS = 1024
+
+
+def first_k(df: DataFrame, keys: list, prefix: list, draw_col: str, tiebreak: str, k: Column, buckets: int = DRAW_BUCKETS) -> DataFrame:
+    """The first ``k`` (an expression over ``keys``) rows of every ``keys``
+    group in the order ``prefix + [draw_col, tiebreak]``.
+
+    A histogram over (keys, prefix, draw bucket) says which buckets lie wholly
+    inside the first k rows and which one holds the boundary.  Rows of whole
+    buckets pass by a join with that small table, which can be split when a
+    group is hot; only the boundary bucket, a ``buckets``-th of a stratum, is
+    ranked.  Nothing is collected and no window holds a group."""
+    x = df.withColumn("_fb", F.floor(F.col(draw_col) / F.lit(2.0 ** 60) * buckets).cast("int"))
+    where = [*keys, *prefix, "_fb"]
+    hist = x.groupBy(*where).agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*keys).orderBy(*prefix, "_fb").rowsBetween(W.unboundedPreceding, -1)
+    hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    hist = hist.withColumn("_k", k)
+    hist = hist.filter(F.col("_before") < F.col("_k"))
+    hist = hist.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(where)], "_n", "_before", "_k")
+    same = [F.col(c).eqNullSafe(F.col(f"_h{i}")) for i, c in enumerate(where)]
+    y = x.join(hist, same).select(*x.columns, "_n", "_before", "_k")
+    whole = F.col("_before") + F.col("_n") <= F.col("_k")
+    rank = F.row_number().over(W.partitionBy(*where).orderBy(draw_col, tiebreak))
+    edge = y.filter(~whole).withColumn("_rn", rank).filter(F.col("_rn") <= F.col("_k") - F.col("_before"))
+    return y.filter(whole).select(*df.columns).unionByName(edge.select(*df.columns))
 
 
 def priority_sample(derived: DataFrame, target: int = CANDIDATE_TARGET, ratio: dict | None = None, seed: int = SEED) -> DataFrame:
@@ -55,7 +74,9 @@ def priority_sample(derived: DataFrame, target: int = CANDIDATE_TARGET, ratio: d
     priority order (quality high>medium>low, then complexity
     medium>simple>complex, then random), topped up at random from the rest
     when short, trimmed at random when over.  Adds ``phase`` and ``rank``
-    columns that define the sample's order."""
+    columns that define the sample's order.  Only one row for each task of
+    ``ratio`` comes back to the driver: it decides whether any task is short
+    or over, and the plan has no top-up or trim otherwise."""
     ratio = TASK_RATIO if ratio is None else ratio
     targets = {t: n for t, n in task_targets(target, ratio).items() if n > 0}
     d = derived.filter(F.col("task_type").isin(list(targets)))
@@ -63,54 +84,34 @@ def priority_sample(derived: DataFrame, target: int = CANDIDATE_TARGET, ratio: d
         d.withColumn("_q", order_index(QUALITY_ORDER, F.coalesce(F.col("quality_tier"), F.lit("medium"))))
         .withColumn("_c", order_index(COMPLEXITY_ORDER, complexity()))
         .withColumn("_u", draw(seed, sample_key(), "fill"))
-        .withColumn("_k", sample_key())
+        .withColumn("_key", sample_key())
     )
-    # tiny: topics per task
-    n_topics = {r["task_type"]: r["n"] for r in _small_rows(d.groupBy("task_type").agg(F.countDistinct("cate").alias("n")))}
-    per_topic = {t: max(1, targets[t] // n_topics[t]) for t in n_topics}
-    if not per_topic:
-        return d.limit(0)
-    kmax = max(per_topic.values())
-    per_topic_col = order_index_map(per_topic, F.col("task_type"))
-    w = W.partitionBy("task_type", "cate").orderBy("_q", "_c", "_u", "_k")
     eligible = d.filter(F.col("_q").isNotNull())
-    fill = (
-        eligible.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= kmax)
-        .filter(F.col("_rn") <= per_topic_col)
-        .withColumn("phase", F.lit(0))
-    )
-    # top-up: deficits per task from a tiny aggregate
-    got = {r["task_type"]: r["n"] for r in _small_rows(fill.groupBy("task_type").agg(F.count(F.lit(1)).alias("n")))}
-    deficit = {t: targets[t] - got.get(t, 0) for t in n_topics if targets[t] - got.get(t, 0) > 0}
-    parts = [fill.drop("_rn")]
-    if deficit:
-        pool = d.filter(F.col("task_type").isin(list(deficit))).join(
-            fill.select("original_id", "task_type"), ["original_id", "task_type"], "left_anti"
-        )
-        wt = W.partitionBy("task_type").orderBy("_t", "_k")
-        top = (
-            pool.withColumn("_t", draw(seed, F.col("_k"), "topup"))
-            .withColumn("_rn", F.row_number().over(wt))
-            .filter(F.col("_rn") <= max(deficit.values()))
-            .filter(F.col("_rn") <= order_index_map(deficit, F.col("task_type")))
-            .drop("_t", "_rn")
-            .withColumn("phase", F.lit(1))
-        )
-        parts.append(top)
-    s = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    over = {t: n for t, n in targets.items() if per_topic.get(t, 0) * n_topics.get(t, 0) > n}
+    goal = order_index_map(targets, F.col("task_type"))
+    sizes = d.groupBy("task_type", "cate").agg(F.count("_q").alias("n"))
+    sizes = sizes.withColumn("topics", F.count(F.lit(1)).over(W.partitionBy("task_type")))
+    sizes = sizes.withColumn("share", F.greatest(F.lit(1), F.floor(goal / F.col("topics"))))
+    tasks = sizes.groupBy("task_type").agg(F.first("topics").alias("topics"), F.first("share").alias("share"), F.sum(F.least("n", "share")).alias("got")).collect()
+    if not tasks:
+        return d.limit(0).drop("_key").withColumn("phase", F.lit(0)).withColumnsRenamed({"_q": "q_rank", "_c": "c_rank", "_u": "rank_draw"})
+    share = order_index_map({r["task_type"]: r["share"] for r in tasks}, F.col("task_type"))
+    s = first_k(eligible, ["task_type", "cate"], ["_q", "_c"], "_u", "_key", share).withColumn("phase", F.lit(0))
+    short = {r["task_type"]: targets[r["task_type"]] - r["got"] for r in tasks if r["got"] < targets[r["task_type"]]}
+    if short:
+        pool = d.filter(F.col("task_type").isin(list(short))).join(
+            s.select("original_id", "task_type"), ["original_id", "task_type"], "left_anti")
+        pool = pool.withColumn("_t", draw(seed, F.col("_key"), "topup"))
+        top = first_k(pool, ["task_type"], [], "_t", "_key", order_index_map(short, F.col("task_type")))
+        s = s.unionByName(top.drop("_t").withColumn("phase", F.lit(1)))
+    # shares of at least one row for each topic may add up to more than the target
+    over = {r["task_type"]: targets[r["task_type"]] for r in tasks if r["share"] * r["topics"] > targets[r["task_type"]]}
     if over:
-        wtrim = W.partitionBy("task_type").orderBy("_r", "_k")
-        s = (
-            s.withColumn("_r", draw(seed, F.col("_k"), "trim"))
-            .withColumn("_rn", F.row_number().over(wtrim))
-            .filter(~F.col("task_type").isin(list(over)) | (F.col("_rn") <= order_index_map(over, F.col("task_type"))))
-            .drop("_r", "_rn")
-        )
+        x = s.withColumn("_r", draw(seed, F.col("_key"), "trim"))
+        is_over = F.col("task_type").isin(list(over))
+        s = first_k(x.filter(is_over), ["task_type"], [], "_r", "_key", order_index_map(over, F.col("task_type"))).unionByName(x.filter(~is_over)).drop("_r")
     return (
         s.withColumnRenamed("_q", "q_rank").withColumnRenamed("_c", "c_rank").withColumnRenamed("_u", "rank_draw")
-        .drop("_k")
+        .drop("_key")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators import ie
 from quarry.plans.corpus import WS_SQL
 from quarry.session import cut_lineage
-from quarry.sources.adapters import IE_CATE_MAP, ie_src
+from quarry.sources.adapters import IE_CATE_MAP, ie_categories, ie_src
 
 # Thresholds scaled to the adapter's records (library defaults stay the reference's).
 IE_LIMITS = {"max_relations": 9, "min_input_len": 35, "max_input_len": 98, "max_output_json_len": 560,
@@ -52,12 +52,12 @@ def q_ie_normalize(spark, sf_dir):
 
 
 def q_ie_leakage(spark, sf_dir):
-    train, valid, test = split_sets(spark, sf_dir)
+    train, valid, test = split_sets(spark, sf_dir, normalized(spark, sf_dir))
     return ie.mark_leaks(train, ie.leak_keys(valid, test)).filter("leaked").select("id", "cate")
 
 
 def q_topic_quantiles(spark, sf_dir):
-    train, _, _ = split_sets(spark, sf_dir)
+    train, _, _ = split_sets(spark, sf_dir, normalized(spark, sf_dir))
     return ie.topic_quantiles(train)
 
 
@@ -90,11 +90,16 @@ def q_tier_report(spark, sf_dir):
     return ie.tier_report(tiered(spark, sf_dir))
 
 
+def train_categories(spark, sf_dir):
+    """Category of the training records: needs no relations, so no line items."""
+    renamed = ie.map_lookup(F.coalesce(F.col("cate"), F.lit("")), IE_CATE_MAP)
+    return ie_categories(spark, sf_dir).filter(F.col("source") == "train").select(renamed.alias("cate"))
+
+
 def q_cate_distribution(spark, sf_dir):
     from quarry.operators.stats import distribution
 
-    train, _, _ = split_sets(spark, sf_dir)
-    return distribution(train, "cate")
+    return distribution(train_categories(spark, sf_dir), "cate")
 
 
 def q_ie_check(spark, sf_dir):
@@ -221,8 +226,7 @@ SELECT 0::BIGINT AS missing_input, 0::BIGINT AS missing_relation, count(*) FILTE
 def q_top_categories(spark, sf_dir):
     from quarry.operators.stats import top_k
 
-    train, _, _ = split_sets(spark, sf_dir)
-    return top_k(train, "cate", 3)
+    return top_k(train_categories(spark, sf_dir), "cate", 3)
 
 
 def q_distinct_texts(spark, sf_dir):

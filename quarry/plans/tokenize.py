@@ -197,4 +197,35 @@ QUERIES = {
     "packed_windows": q_packed_windows,
     "history_truncate": q_history_truncate,
 }
-ORACLE: dict = {}
+
+
+def _pretokens_sql() -> str:
+    """The pre-tokens in RE2, which has no look-ahead: a marker goes before the
+    last blank of every run of blanks that text follows, the text is split
+    there, and the pattern without its look-ahead cuts the pieces."""
+    from quarry.plans.corpus import annotated_sql
+
+    blank = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    mark = "chr(57344)"
+    cut = rf"''(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{blank}\p{{L}}\p{{N}}]+|[{blank}]+"
+    return rf"""{annotated_sql()},
+piece AS (SELECT unnest(string_split(text_clean || chr(10), '{EOS}')) AS s FROM kept),
+seg AS (SELECT unnest(string_split(regexp_replace(s, '([{blank}]+)([{blank}])([^{blank}])', '\1' || {mark} || '\2\3', 'g'), {mark})) AS s FROM piece),
+token AS (SELECT unnest(regexp_extract_all(s, '{cut}')) AS token FROM seg),
+words AS (SELECT token, count(*) AS count FROM token WHERE length(token) > 0 GROUP BY token)"""
+
+
+def _oracle() -> dict:
+    from quarry.plans.corpus import annotated_sql
+
+    return {
+        "pretoken_counts": f"WITH {_pretokens_sql()} SELECT token, count FROM words",
+        "pair_counts": f"""WITH {_pretokens_sql()},
+h AS (SELECT hex(encode(token)) AS h, count FROM words),
+pairs AS (SELECT h, count, unnest(range(1, length(h) - 2, 2)) AS i FROM h WHERE length(h) >= 4)
+SELECT substr(h, i, 2) AS "left", substr(h, i + 2, 2) AS "right", CAST(sum(count) AS BIGINT) AS freq FROM pairs GROUP BY ALL""",
+        "roundtrip": f"WITH {annotated_sql()} SELECT count(*) AS documents, 0::BIGINT AS mismatches FROM kept",
+    }
+
+
+ORACLE = _oracle()

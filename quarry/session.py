@@ -25,6 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # a checkpoint goes when its frame does; clusters set the same
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
     )
@@ -40,15 +42,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     fall back to a fresh private folder (tests); on a cluster the setting is
     required, because a machine-local folder would not survive executor loss.
     """
+    already = spark.sparkContext.getCheckpointDir()
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    if not path and already:
+        return already
     if not path:
         master = spark.sparkContext.master or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
+    if already is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 

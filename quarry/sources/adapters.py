@@ -62,6 +62,13 @@ def ie_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(item)).alias("_items"))
 
 
+def ie_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(cate, source)`` of the records of :func:`ie_src`."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return o.join(c, o.o_custkey == c.c_custkey).select(F.col("c_mktsegment").alias("cate"), ie_source_of(F.col("o_orderkey")).alias("source"))
+
+
 def ie_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw IE records, one per order (left join: orders without lines get an
     empty relation list). ``input`` = segment + ' order: ' + '; '-joined
