@@ -13,6 +13,8 @@ from quarry.sources.adapters import IE_CATE_MAP, IE_NO_SCHEMA_TOPIC, IE_UNUSED_F
 
 SEED = 42
 SAMPLE_TARGET = 6000
+TRIM_TARGET = 8  # fewer than the topics: one row a topic, then trimmed
+TOPUP_SHARE = 1.94  # x the extraction rows: topics below the mean are short, the others top them up
 
 
 def derived(spark, sf_dir):
@@ -72,6 +74,18 @@ def q_priority_sample(spark, sf_dir):
     return sampled(spark, sf_dir).select("task_type", "original_id", "cate", "quality_tier", "phase")
 
 
+def q_sample_trim(spark, sf_dir):
+    s = sp.priority_sample(cut_lineage(derived(spark, sf_dir)), target=TRIM_TARGET, seed=SEED)
+    return s.select("task_type", "original_id", "cate", "quality_tier", "phase")
+
+
+def q_sample_topup(spark, sf_dir):
+    d = cut_lineage(derived(spark, sf_dir))
+    n = d.filter(F.col("task_type") == "ie_extraction").count()
+    s = sp.priority_sample(d, target=int(n * TOPUP_SHARE), seed=SEED)
+    return s.select("task_type", "original_id", "cate", "quality_tier", "phase")
+
+
 def q_sample_distribution(spark, sf_dir):
     s = sampled(spark, sf_dir)
     return s.groupBy("task_type", "cate", "quality_tier", sp.complexity().alias("complexity")).agg(
@@ -128,6 +142,8 @@ QUERIES = {
     "task_shares": q_task_shares,
     "schema_skip": q_schema_skip,
     "priority_sample": q_priority_sample,
+    "sample_trim": q_sample_trim,
+    "sample_topup": q_sample_topup,
     "sample_distribution": q_sample_distribution,
     "chat_rows": q_chat_rows,
     "chat_records": q_chat_records,
@@ -190,13 +206,17 @@ derived AS (SELECT task_type, id AS original_id, cate, quality_tier, relation_co
 
 TARGETS_SQL = "(VALUES " + ", ".join(f"('{t}', {n}, {i})" for i, (t, n) in enumerate(sp.task_targets(SAMPLE_TARGET, sp.TASK_RATIO).items())) + ") AS tg(task_type, target, t_ord)"
 KEY = "(original_id || ':' || task_type)"
-SAMPLE_SQL = f"""{DERIVE_SQL},
+
+
+def sample_sql(targets: str) -> str:
+    """The sampling CTEs for a ``tg(task_type, target, t_ord)`` relation."""
+    return f"""{DERIVE_SQL},
 d AS (
   SELECT dd.*, tg.target, tg.t_ord,
     CASE coalesce(quality_tier, 'medium') WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 END AS q_rank,
     CASE WHEN n_relations <= 3 AND input_len < 100 THEN 1 WHEN n_relations <= 6 AND input_len < 250 THEN 0 ELSE 2 END AS c_rank,
     {draw_sql(SEED, KEY, 'fill')} AS rank_draw, {KEY} AS k
-  FROM derived dd JOIN {TARGETS_SQL} USING (task_type) WHERE tg.target > 0),
+  FROM derived dd JOIN {targets} USING (task_type) WHERE tg.target > 0),
 nt AS (SELECT task_type, count(DISTINCT cate) AS n_topics FROM d GROUP BY 1),
 fill AS (
   SELECT * FROM (SELECT d.*, greatest(1, target // n_topics) AS per_topic,
@@ -223,6 +243,14 @@ chat_split AS (
   SELECT *, CASE WHEN (row_number() OVER (ORDER BY {draw_sql(SEED, 'id', 'split')}, id) - 1)
     < CAST(floor(count(*) OVER () * (1 - {sp.INTERNAL_VALID_RATIO})) AS BIGINT) THEN 'train' ELSE 'valid' END AS split FROM chat)"""
 
+
+SAMPLE_SQL = sample_sql(TARGETS_SQL)
+_RATIO = "(VALUES " + ", ".join(f"('{t}', {r}::DOUBLE, {i})" for i, (t, r) in enumerate(sp.TASK_RATIO.items())) + ") AS r(task_type, ratio, t_ord)"
+TOPUP_TARGETS = f"""(SELECT task_type, CAST(floor((SELECT CAST(floor(count(*) * {TOPUP_SHARE}::DOUBLE) AS BIGINT) FROM derived WHERE task_type = 'ie_extraction') * ratio) AS BIGINT) AS target, t_ord
+  FROM {_RATIO}) AS tg"""
+TRIM_TARGETS = TARGETS_SQL.replace(TARGETS_SQL[TARGETS_SQL.index("(VALUES"):TARGETS_SQL.index(") AS tg")], "(VALUES " + ", ".join(
+    f"('{t}', {n}, {i})" for i, (t, n) in enumerate(sp.task_targets(TRIM_TARGET, sp.TASK_RATIO).items())))
+
 ORACLE = {
     "relations_json": f"WITH {IE_SQL} SELECT id, {RELJSON} AS output FROM tiered",
     "derive_tasks": f"WITH {DERIVE_SQL} SELECT task_type, original_id, cate, quality_tier, n_relations, input_len, output, perturbation_kind FROM derived",
@@ -230,6 +258,8 @@ ORACLE = {
     "task_shares": f"WITH {DERIVE_SQL} SELECT task_type, count(*) AS count, count(*) / sum(count(*)) OVER () AS share FROM derived GROUP BY 1",
     "schema_skip": f"WITH {DERIVE_SQL} SELECT cate, count(*) FILTER (WHERE len(coalesce(fields, [])) = 0) AS no_schema, count(*) AS rows FROM looked GROUP BY cate",
     "priority_sample": f"WITH {SAMPLE_SQL} SELECT task_type, original_id, cate, quality_tier, phase FROM sampled",
+    "sample_trim": f"WITH {sample_sql(TRIM_TARGETS)} SELECT task_type, original_id, cate, quality_tier, phase FROM sampled",
+    "sample_topup": f"WITH {sample_sql(TOPUP_TARGETS)} SELECT task_type, original_id, cate, quality_tier, phase FROM sampled",
     "sample_distribution": f"""WITH {SAMPLE_SQL}
 SELECT task_type, cate, quality_tier, CASE c_rank WHEN 0 THEN 'medium' WHEN 1 THEN 'simple' ELSE 'complex' END AS complexity,
   count(*) AS count FROM sampled GROUP BY ALL""",
