@@ -203,7 +203,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, text:
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
     joined = components(links(distinct.select("fp"), distance))
     roots = distinct.join(joined, distinct.fp == joined.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
+    # written, so that the join below reads both sides from plain exchanges and a hot root can be split
+    lowest = cut_lineage(roots.groupBy("root").agg(F.min("low").alias("component_id")))
     named = roots.join(lowest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
