@@ -23,6 +23,8 @@ count and are scored each.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -133,12 +135,13 @@ def gathered(docs: DataFrame, vocabulary, size: int, text: str) -> np.ndarray:
                 if k not in sums:
                     sums[k] = np.zeros(BLOCK, np.int64)
                 sums[k] += np.frombuffer(raw, np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
+        packed = [zlib.compress(v.tobytes(), 1) for v in sums.values()]  # mostly zeros: the driver gets what was counted
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], ["block", "counts"])
 
     blocks = docs.select(text).mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
     out = np.zeros(layout.length, np.int64)
     for r in blocks.toLocalIterator():
-        out[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(bytes(r.counts), np.int64)
+        out[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64)
     return out
 
 
