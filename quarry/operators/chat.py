@@ -114,18 +114,18 @@ def resolve_prompt(df: DataFrame, eos: str = EOS_TOKEN) -> DataFrame:
     src = F.when(has_json, F.col("conversation_json")).otherwise(F.col("conversation_file"))
     from quarry.sources.io import parse_conversations
 
-    d = df.withColumn("conversations", parse_conversations(src))
+    d = df.withColumn("conversations", parse_conversations(src)).withColumn("_bad", F.col("conversations").isNull())
     g = generation_prompt(d.withColumnRenamed("prompt", "_raw_prompt"), eos)
     reason = (
         F.when(has_json & has_file, F.lit("both_json_and_path"))
         .when(has_json | has_file,
-              F.when(F.col("conversations").isNull(), F.lit("bad_json")).otherwise(F.col("invalid_reason")))
+              F.when(F.col("_bad"), F.lit("bad_json")).otherwise(F.col("invalid_reason")))
         .when(F.length(py_strip(F.coalesce(F.col("_raw_prompt"), F.lit("")))) == 0, F.lit("empty_prompt"))
     )
     resolved = F.when(has_json | has_file, F.col("prompt")).otherwise(F.col("_raw_prompt"))
     return g.withColumn("resolve_reason", reason).withColumn(
         "resolved", F.when(F.col("resolve_reason").isNull(), resolved)
-    ).drop("prompt").withColumnRenamed("_raw_prompt", "prompt")
+    ).drop("prompt", "_bad").withColumnRenamed("_raw_prompt", "prompt")
 
 
 def clean_reply(c: Column, eos: str = EOS_TOKEN) -> Column:

@@ -108,17 +108,15 @@ def prefix_sums(df: DataFrame, order: str, value: str, bucket_width: int | None
     density of the keys (the width comes from their range and number unless it
     is given), and buckets into groups of as many.  Each level sums inside its
     own partitions; one row for ``BUCKET_ROWS`` squared rows meets in one place."""
-    key = F.col(order)
     if bucket_width is None:
         low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
-        bucket_width = max(1, -(-(int(high) - int(low) + 1) * BUCKET_ROWS // int(n))) if n else 1
-        key = key - F.lit(int(low or 0))
+        bucket_width = min(2**62, max(1, -(-(int(high) - int(low) + 1) * BUCKET_ROWS // int(n)))) if n else 1
 
     def before(frame, by, keys, v, out):
         w = W.partitionBy(*keys).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
         return frame.withColumn(out, F.coalesce(F.sum(v).over(w), F.lit(0)))
 
-    x = df.withColumn("_b", F.floor(key / bucket_width))
+    x = df.withColumn("_b", F.floor(F.col(order) / bucket_width))
     fine = x.groupBy("_b").agg(F.sum(value).alias("_t")).withColumn("_c", F.floor(F.col("_b") / BUCKET_ROWS))
     coarse = before(fine.groupBy("_c").agg(F.sum("_t").alias("_ct")), "_c", [], "_ct", "_co").select("_c", "_co")
     fine = before(fine, "_b", ["_c"], "_t", "_bo").join(coarse, "_c").select("_b", (F.col("_bo") + F.col("_co")).alias("_bo"))
