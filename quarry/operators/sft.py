@@ -154,13 +154,21 @@ def pack_windows(docs: DataFrame, order: str, ids: str, length: int, bucket_widt
     return g.select("window", F.slice("_t", 1, L).alias("x"), F.slice("_t", 2, L).alias("y"))
 
 
+def last(values: Column, n: Column) -> Column:
+    """The last ``n`` entries of an array (left cut)."""
+    return F.slice(values, F.greatest(F.size(values) - n + 1, F.lit(1)), n)
+
+
 def truncate_history(turn_tokens: Column, system_tokens: Column, fixed_tokens: int, budget: int) -> Column:
     """Number of dialogue turns kept: the longest suffix whose tokens plus the
     system prompt and the fixed generation marker fit ``budget`` (per-turn
-    counts add up because a rendered turn always ends with a newline)."""
-    n = F.size(turn_tokens)
-    suffix = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                         lambda i: F.aggregate(F.slice(turn_tokens, i, F.greatest(n - i + 1, F.lit(1))), F.lit(0), lambda a, x: a + x))
-    fits = F.filter(F.transform(suffix, lambda s, i: F.struct((n - i).alias("keep"), s.alias("s"))),
-                    lambda z: z["s"] + system_tokens + fixed_tokens <= budget)
-    return F.when(n == 0, F.lit(0)).otherwise(F.coalesce(F.array_max(F.transform(fits, lambda z: z["keep"])), F.lit(0)))
+    counts add up because a rendered turn always ends with a newline).  One
+    fold from the end, which stops counting at the first turn that is too much."""
+    start = F.struct(system_tokens.cast("long").alias("used"), F.lit(0).alias("kept"), F.lit(True).alias("open"))
+
+    def step(acc, t):
+        used = acc["used"] + t
+        fits = acc["open"] & (used + fixed_tokens <= budget)
+        return F.struct(used.alias("used"), F.when(fits, acc["kept"] + 1).otherwise(acc["kept"]).alias("kept"), fits.alias("open"))
+
+    return F.aggregate(F.reverse(F.transform(turn_tokens, lambda t: t.cast("long"))), start, step, lambda acc: acc["kept"])

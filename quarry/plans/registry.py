@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpus", "ie", "derive", "chat", "scoring", "tokenize", "logs", "streams")
+MODULES = ("corpus", "ie", "derive", "chat", "scoring", "tokenize", "logs", "streams", "files")
 
 
 def _collect(attr: str) -> dict:
@@ -35,6 +35,8 @@ ROUNDED = {
     "loss_weighted": ["weighted_loss"],
     "baseline_compare": ["value", "baseline", "delta"],
     "stream_train_summary": ["weighted_loss"],
+    "bench_csv": ["time_mean_s", "time_min_s", "time_max_s", "tok_s_mean", "tok_s_min", "tok_s_max", "ttft_mean_s"],
+    "stability_csv": ["avg_latency_s"],
 }
 
 

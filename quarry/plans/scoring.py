@@ -13,7 +13,7 @@ from quarry.plans.corpus import WS_SQL
 from quarry.plans.derive import RELJSON
 from quarry.session import cut_lineage
 from quarry.sources.adapters import (
-    EVAL_ALIASES, EVAL_ENUM_FIELD, EVAL_GROUPS, EVAL_INSTRUCTIONS, EVAL_MODELS, EVAL_RENAMES, EVAL_UNKNOWN_FIELD,
+    EVAL_ALIASES, EVAL_ENUM_FIELD, EVAL_GROUPS, EVAL_INSTRUCTIONS, EVAL_MODELS, EVAL_RENAMES, EVAL_UNKNOWN_FIELD, EVAL_UNKNOWN_HEAD,
     eval_outputs, eval_prompts,
 )
 
@@ -132,7 +132,7 @@ QUERIES = {
 
 
 def rel_json_sql(expr: str) -> str:
-    return re.sub(r"(?<![.\w'])relation\b(?!')", expr, RELJSON)
+    return "coalesce(" + re.sub(r"(?<![.\w'])relation\b(?!')", expr, RELJSON) + ", '{}')"
 
 
 def _alias_case(x: str) -> str:
@@ -151,7 +151,7 @@ for _o, _n in EVAL_RENAMES:
     RENAMED = f"replace({RENAMED}, '\"{_o}\": ', '\"{_n}\": ')"
 KEY = "(model || ':' || id)"
 FENCE = sc.FENCE_RE
-EXTRA_REL = f"list_concat(rel, [{{'head': rel[1].head, 'relation': '{EVAL_UNKNOWN_FIELD[0]}', 'tail': '{EVAL_UNKNOWN_FIELD[1]}'}}])"
+EXTRA_REL = f"list_concat(rel, [{{'head': coalesce(rel[1].head, '{EVAL_UNKNOWN_HEAD}'), 'relation': '{EVAL_UNKNOWN_FIELD[0]}', 'tail': '{EVAL_UNKNOWN_FIELD[1]}'}}])"
 DROP_REL = "list_filter(rel, lambda r: r.relation <> required[1])"
 
 EVAL_SQL = f"""rel0 AS (

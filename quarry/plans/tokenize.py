@@ -169,17 +169,17 @@ def q_history_truncate(spark, sf_dir):
     dialogue = F.when(has_sys, F.slice(conv, 2, F.greatest(F.size(conv) - 1, F.lit(1)))).otherwise(conv)
     pieces = F.concat(F.array(ch.render_chat(system)), F.transform(dialogue, lambda t: ch.render_chat(F.array(t))),
                       F.array(F.lit(ch.ROLE_MARKERS["assistant"])))
-    d = n.select("conv_id", bpe.token_counts_column(spark, pieces, vocab, merges, SPECIALS).alias("c"))
+    d = n.select("conv_id", system.alias("system"), dialogue.alias("dialogue"), bpe.token_counts_column(spark, pieces, vocab, merges, SPECIALS).alias("c"))
     m = F.size("c")
     fixed = F.element_at("c", 1) + F.element_at("c", -1)
     turns = F.slice("c", 2, F.greatest(m - 2, F.lit(0)))
     budget = CONTEXT - MAX_NEW - 16
-    d = d.select("conv_id", turns.alias("t"), fixed.alias("fixed"))
-    d = d.withColumn("kept_turns", sft.truncate_history(F.col("t"), F.col("fixed"), 0, budget))
-    kept = F.slice("t", F.size("t") - F.col("kept_turns") + 1, F.col("kept_turns"))
-    tokens = F.col("fixed") + F.aggregate(kept, F.lit(0), lambda a, x: a + x)
-    return d.select("conv_id", F.size("t").alias("n_turns"), "kept_turns",
-                    F.least(tokens, F.lit(CONTEXT - MAX_NEW)).alias("prompt_tokens"))
+    d = d.withColumn("kept_turns", sft.truncate_history(turns, fixed, 0, budget))
+    kept = F.concat("system", sft.last(F.col("dialogue"), F.col("kept_turns")))
+    d = d.withColumn("kept", kept).withColumn("ids", bpe.encode_column(spark, ch.render_chat(F.col("kept"), generation=True), vocab, merges, SPECIALS))
+    prompt = sft.last(F.col("ids"), F.least(F.size("ids"), F.lit(CONTEXT - MAX_NEW)))
+    return d.select("conv_id", F.size("dialogue").alias("n_turns"), "kept_turns", F.size(prompt).alias("prompt_tokens"), id_hash(prompt).alias("ids_hash"),
+                    F.sha2(F.array_join(F.transform("kept", lambda t: F.concat(t["role"], F.lit(":"), t["content"])), "\n"), 256).alias("kept_hash"))
 
 
 QUERIES = {

@@ -162,6 +162,7 @@ EVAL_ENUM_FIELD = "ECONOMY"
 EVAL_ALIASES = {"LARGE": ["BIG", "HUGE"], "SMALL": ["TINY", "BIG"]}
 EVAL_RENAMES = [("LARGE", "BIG"), ("SMALL", "TINY")]
 EVAL_UNKNOWN_FIELD = ("COLOR", "red")
+EVAL_UNKNOWN_HEAD = "Brand#0"  # the entity that gets it when there is no relation
 EVAL_INSTRUCTIONS = {
     "extraction": "Extract every entity and its relations from the text as JSON.",
     "schema_constraint": "Use only the fields of the given schema; answer in JSON.",
@@ -221,7 +222,7 @@ def eval_outputs(spark: SparkSession, sf_dir: str, seed: int = 42, prompts: Data
         renamed = F.replace(renamed, F.lit(f'"{old}": '), F.lit(f'"{new}": '))
     dropped = relations_json(F.filter(rel, lambda r: r["relation"] != F.try_element_at(F.col("required_fields"), F.lit(1))))
     extra = relations_json(F.concat(rel, F.array(F.struct(
-        F.try_element_at(rel, F.lit(1))["head"].alias("head"), F.lit(EVAL_UNKNOWN_FIELD[0]).alias("relation"),
+        F.coalesce(F.try_element_at(rel, F.lit(1))["head"], F.lit(EVAL_UNKNOWN_HEAD)).alias("head"), F.lit(EVAL_UNKNOWN_FIELD[0]).alias("relation"),
         F.lit(EVAL_UNKNOWN_FIELD[1]).alias("tail")))))
     out = (
         F.when(cls == 0, gold)

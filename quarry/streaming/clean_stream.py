@@ -73,11 +73,14 @@ def stream_train_summary(spark: SparkSession, log_stream: DataFrame, name: str =
     return r.select("run", (F.col("wsum") / F.nullif("wtot", F.lit(0))).alias("weighted_loss"), "best_val_loss", "evals")
 
 
-def append_log(stream: DataFrame, path: str, checkpoint: str, stamp: str = "logged_at"):
-    """Append-only log sink (chat turns, training records): every micro-batch
-    is appended with a UTC timestamp through ``foreachBatch``; returns the
-    started query."""
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.withColumn(stamp, F.current_timestamp()).write.mode("append").parquet(path)
+def iso_now():
+    """The current UTC time in ISO 8601 with microseconds."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+def append_log(stream: DataFrame, path: str, checkpoint: str, stamp: str = "timestamp"):
+    """Append-only JSONL log sink (chat turns, training records): every
+    micro-batch of what is there is appended with its UTC time; returns the
+    started query.  The file sink's own log makes a replayed batch count once."""
+    return (stream.withColumn(stamp, iso_now()).writeStream.format("json").outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
