@@ -21,7 +21,7 @@ from quarry.session import cut_lineage
 
 EOS = ch.EOS_TOKEN
 SPECIALS = [EOS]
-VOCAB_SIZE = 256 + 24 + len(SPECIALS)
+VOCAB_SIZE = 256 + 256 + len(SPECIALS)  # a parameter; see README for the pace of larger ones
 MAX_LENGTH = 512
 WINDOW = 64
 CONTEXT, MAX_NEW = 256, 64
