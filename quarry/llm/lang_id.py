@@ -26,7 +26,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.ragged import Hashes, byte_class, flat, slices, word_hashes, words
+from quarry.llm.ragged import Hashes, byte_class, flat, slices, span_hashes, word_hashes, words
 from quarry.session import cut_lineage
 
 #: Bytes of a word: a-z and every non-ASCII byte, after lower-casing.
@@ -156,7 +156,7 @@ def word_counts(docs: DataFrame, label: str, text: str) -> DataFrame:
             if not len(starts):
                 continue
             marks = part.column(label).dictionary_encode()
-            key = Hashes(data).of(starts, ends) ^ (marks.indices.to_numpy()[owner].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            key = span_hashes(data, starts, ends) ^ (marks.indices.to_numpy()[owner].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             _, first, n = np.unique(key, return_index=True, return_counts=True)
             raw = data.tobytes()
             said = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
@@ -249,7 +249,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
             starts, ends, text_of = cut_long(starts, ends, text_of)
             total = np.tile(model.prior, (part.num_rows, 1))
             if len(starts) and model.langs:
-                hashes, first, back = np.unique(Hashes(data).of(starts, ends), return_index=True, return_inverse=True)
+                hashes, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
                 rows = known.of(hashes, data.tobytes(), starts[first], ends[first])
                 for k in range(rows.shape[1]):
                     total[:, k] += np.bincount(text_of, rows[back, k], part.num_rows)

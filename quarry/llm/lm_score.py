@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.bpe_arrays import Vocabulary
 from quarry.llm.lang_id import sampled
-from quarry.llm.ragged import NOT_BLANK, Hashes, flat, mix, ranges, slices, words
+from quarry.llm.ragged import NOT_BLANK, flat, mix, ranges, slices, span_hashes, words
 
 #: Hashed bigram counters, and how many of them a row of the shuffle holds.
 SLOTS, BLOCK = 1 << 22, 1 << 12
@@ -58,7 +58,7 @@ class Tokens:
         starts, ends, _, bounds = words(data, offsets, NOT_BLANK)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
-        hashes, at, back = np.unique(Hashes(data).of(starts, ends), return_index=True, return_inverse=True)
+        hashes, at, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         place = np.searchsorted(self.hashes, hashes)
         new = np.ones(len(hashes), bool)
         inside = place < len(self.hashes)

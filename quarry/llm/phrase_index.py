@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.ragged import ALNUM, LOWER, Hashes, flat, ranges, slices, word_hashes, words
+from quarry.llm.ragged import ALNUM, LOWER, flat, ranges, slices, span_hashes, word_hashes, words
 
 #: Words of the test set in one broadcast block.
 BLOCK_WORDS = 2_000_000
@@ -78,7 +78,7 @@ class Shard:
         self.data = LOWER[data]
         self.starts, self.ends, self.text, self.bounds = words(self.data, offsets, ALNUM)
         known = phrases.hashes
-        got = Hashes(self.data).of(self.starts, self.ends)
+        got = span_hashes(self.data, self.starts, self.ends)
         at = np.searchsorted(known, got)
         at[at == len(known)] = 0
         self.here = np.flatnonzero(known[at] == got) if len(known) else np.zeros(0, np.int64)

@@ -112,6 +112,20 @@ class Hashes:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 4 * SLICE_BYTES) -> np.ndarray:
+    """Hashes of ascending ranges, made block by block: a hash does not depend
+    on where its range lies, so a very long text needs no more memory."""
+    if len(data) <= block:
+        return Hashes(data).of(starts, ends)
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, low + block, side="right")))
+        out[i:j] = Hashes(data[low : int(ends[j - 1])]).of(starts[i:j] - low, ends[i:j] - low)
+        i = j
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread all bits over the word (a bijection)."""
     x = x ^ (x >> np.uint64(33))

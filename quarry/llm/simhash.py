@@ -36,6 +36,8 @@ from quarry.session import cut_lineage
 SEED = 42
 #: Reference fingerprints of the pivot table (fixed, pseudo-random).
 PIVOTS = np.array([xxhash.xxh64_intdigest(b"pivot %d" % i, 0) for i in range(24)], np.uint64)
+#: Shingles whose bits are counted at once.
+_SHINGLES = 1 << 17
 #: Rows of one bucket that a task compares at once.
 BLOCK = 8192
 
@@ -66,22 +68,22 @@ def simhash(data: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndarray:
     inside = NOT_BLANK[data]
     joined[np.repeat(to - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))] = data[inside]
     raw = joined.tobytes()
-    count = np.diff(bounds)
     last = np.minimum(np.arange(n) + shingle - 1, bounds[text + 1] - 1)
     whole = np.arange(n) + shingle <= bounds[text + 1]
     first = whole | (np.arange(n) == bounds[text])  # a short text is one shingle
-    at, stop = to[first].tolist(), (to + size)[last[first]].tolist()
+    at, stop, owner = to[first], (to + size)[last[first]], text[first]
+    number = np.bincount(owner, minlength=texts)
+    ones = np.zeros((texts, 64), np.int64)
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(raw[a:b], SEED) for a, b in zip(at, stop, strict=True)), np.uint64, len(at))
-    owner = text[first]
-    begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    number = np.diff(np.append(begin, len(owner)))
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
-    out = np.zeros(texts, np.uint64)
+    for i in range(0, len(at), _SHINGLES):
+        own = owner[i : i + _SHINGLES]
+        spans = zip(at[i : i + _SHINGLES].tolist(), stop[i : i + _SHINGLES].tolist(), strict=True)
+        h = np.fromiter((digest(raw[a:b], SEED) for a, b in spans), np.uint64, len(own))
+        begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones[own[begin]] += np.add.reduceat(bits, begin, axis=0, dtype=np.int64)
     major = np.packbits(2 * ones > number[:, None], axis=1, bitorder="little")
-    out[count > 0] = np.ascontiguousarray(major).view(np.uint64).ravel()
-    return out
+    return np.ascontiguousarray(major).view(np.uint64).ravel()
 
 
 def pivot_table(fp: np.ndarray) -> np.ndarray:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.lang_id import lower_words, sampled, word_counts
-from quarry.llm.ragged import Hashes, slices, word_hashes
+from quarry.llm.ragged import slices, span_hashes, word_hashes
 
 #: z-score from which a word belongs to the lexicon, and the least documents' count of it.
 MIN_Z, MIN_COUNT = 3.0, 3
@@ -85,7 +85,7 @@ class Lexicon:
         data, starts, ends, text, bounds = lower_words(column)
         found = np.zeros(0, np.int64)
         if len(starts) and len(self.hashes):
-            got = Hashes(data).of(starts, ends)
+            got = span_hashes(data, starts, ends)
             place = np.searchsorted(self.hashes, got)
             place[place == len(self.hashes)] = 0
             found = np.flatnonzero(self.hashes[place] == got)

@@ -34,3 +34,15 @@ def test_empty_tables(spark):
     docs = edge_docs(spark)
     assert all(not r.spans for r in phrase_index.find(docs, items(spark).limit(0)).collect())
     assert phrase_index.find(docs.limit(0), items(spark)).count() == 0
+
+
+def test_hashes_do_not_depend_on_blocks():
+    import numpy as np
+
+    from quarry.llm.ragged import NOT_BLANK, Hashes, flat, span_hashes, words
+
+    import pyarrow as pa
+
+    data, offsets = flat(pa.array([" ".join(f"w{i % 97}" for i in range(4000)), None, "x" * 3000, "a b"], pa.string()))
+    starts, ends, _, _ = words(data, offsets, NOT_BLANK)
+    assert np.array_equal(span_hashes(data, starts, ends, block=64), Hashes(data).of(starts, ends))
