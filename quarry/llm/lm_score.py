@@ -7,7 +7,8 @@ to the target's number of tokens, the same size; so a document's per-token
 loss difference (target minus background, lower is closer to the target)
 measures its text and not the sizes of the models.
 
-Counting is one narrow pass: every task adds its bigrams to a table of
+Texts are cut into tokens once, and the ids are written to the shared folder.
+Counting is one narrow pass over them: every task adds its bigrams to a table of
 ``SLOTS`` hashed counters and passes the table on in blocks, which are summed
 by block number.  What is gathered follows the number of tasks, so the input;
 the summed tables are bounded by ``SLOTS`` and the vocabulary, which is what
@@ -18,11 +19,12 @@ hash of the id); background counts cover every document.
 
 Defined cases: null text = empty text = no tokens, losses and score 0; no
 labelled rows: the target equals the background, all scores 0; repeated rows
-count and are scored each.
+count and are scored each; columns named like the results are replaced.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe_arrays import Vocabulary
 from quarry.llm.lang_id import sampled
 from quarry.llm.ragged import NOT_BLANK, flat, mix, ranges, slices, span_hashes, words
+from quarry.session import checkpoint_dir
 
 #: Hashed bigram counters, and how many of them a row of the shuffle holds.
 SLOTS, BLOCK = 1 << 22, 1 << 12
@@ -107,15 +110,50 @@ class Counts:
         return table[:a], table[a:b], table[b : b + self.size + 1]
 
 
-def gathered(docs: DataFrame, vocabulary, size: int, text: str) -> np.ndarray:
+def tokenized(docs: DataFrame, vocabulary_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)):
+    """(``keep`` columns and ``ids`` of every text as packed integers, size of
+    the vocabulary).  Written once to the shared folder: counting and scoring
+    read the ids, and no text is cut into tokens a second time."""
+    spark = docs.sparkSession
+    vocabulary = Vocabulary(vocabulary_path)
+    size = max(vocabulary.tokens) + 1
+    shared, kind = spark.sparkContext.broadcast(vocabulary), _kind(size)
+    chosen = docs.select(*[F.col(c) for c in keep], F.col(text).alias("__text"))
+    schema = chosen.select(*keep).withColumn("ids", F.lit(b"").cast("binary")).schema
+
+    def run(batches):
+        tokens = Tokens(shared.value)
+        for part in slices(batches, "__text"):
+            ids, bounds = tokens.of(part.column("__text"))
+            raw, at = ids.astype(kind).tobytes(), (bounds * kind.itemsize).tolist()
+            packed = [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(packed, pa.binary())], [*keep, "ids"])
+
+    path = f"{checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    chosen.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(schema).parquet(path), size
+
+
+def _kind(size: int) -> np.dtype:
+    return np.dtype("<u2" if size < 1 << 16 else "<u4")
+
+
+def _ids(column, size: int):
+    """(ids of all texts, bounds of each text) of packed ids."""
+    data, offsets = flat(column)
+    kind = _kind(size)
+    return np.frombuffer(data.tobytes(), kind).astype(np.int32), offsets // kind.itemsize
+
+
+def gathered(coded: DataFrame, size: int) -> np.ndarray:
     """Summed counts of all texts."""
     layout = Counts(size)
 
     def count(batches):
-        tokens, table = Tokens(vocabulary.value), np.zeros(layout.length, np.int32)
+        table = np.zeros(layout.length, np.int32)
         pairs, ones, contexts = layout.parts(table)
-        for part in slices(batches, text):
-            ids, bounds = tokens.of(part.column(text))
+        for part in slices(batches, "ids"):
+            ids, bounds = _ids(part.column("ids"), size)
             left = before(ids, bounds, size)
             at, n = np.unique(slot(left, ids), return_counts=True)
             pairs[at] += n.astype(np.int32)
@@ -138,7 +176,7 @@ def gathered(docs: DataFrame, vocabulary, size: int, text: str) -> np.ndarray:
         packed = [zlib.compress(v.tobytes(), 1) for v in sums.values()]  # mostly zeros: the driver gets what was counted
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], ["block", "counts"])
 
-    blocks = docs.select(text).mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
+    blocks = coded.select("ids").mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
     out = np.zeros(layout.length, np.int64)
     for r in blocks.toLocalIterator():
         out[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64)
@@ -160,41 +198,36 @@ class Ngrams:
         return -np.log((seen + SMOOTH * self.single[ids]) / (self.contexts[left] + SMOOTH))
 
 
-def fit(docs: DataFrame, target_ids: DataFrame, vocabulary_path: str, text: str = "text", max_docs: int = 20_000):
-    """(shared vocabulary, target model, background model); ``target_ids``:
-    the doc_id of the documents that the target model counts."""
-    spark = docs.sparkSession
-    vocabulary = Vocabulary(vocabulary_path)
-    size = max(vocabulary.tokens) + 1
-    shared = spark.sparkContext.broadcast(vocabulary)
+def fit(coded: DataFrame, target_ids: DataFrame, size: int, max_docs: int = 20_000):
+    """(target model, background model, size) of :func:`tokenized` rows;
+    ``target_ids``: the doc_id of the documents that the target model counts."""
     ids = target_ids.where(F.col("doc_id").isNotNull()).distinct()
-    chosen = docs.join(F.broadcast(sampled(ids, max_docs)), "doc_id", "left_semi")
-    background = gathered(docs, shared, size, text)
-    target = gathered(chosen, shared, size, text)
+    chosen = coded.join(F.broadcast(sampled(ids, max_docs)), "doc_id", "left_semi")
+    background, target = gathered(coded, size), gathered(chosen, size)
     layout = Counts(size)
     n_target, n_all = layout.parts(target)[1].sum(), layout.parts(background)[1].sum()
     if not n_target:
         target, n_target = background, n_all
     # the background counts at the target's size
-    return shared, Ngrams(target, size), Ngrams(background, size, n_target / max(1, n_all)), size
+    return Ngrams(target, size), Ngrams(background, size, n_target / max(1, n_all)), size
 
 
-def score(docs: DataFrame, models, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``n_tokens``, ``target_loss``, ``background_loss``
-    (nats a token) and ``score``, their difference."""
-    vocabulary, target, background, size = models
-    shared = docs.sparkSession.sparkContext.broadcast((target, background))
-    chosen = docs.select(*[F.col(c) for c in keep], F.col(text).alias("__text"))
-    schema = chosen.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "target_loss": F.lit(0.0), "background_loss": F.lit(0.0), "score": F.lit(0.0)}).schema
+def score(coded: DataFrame, models) -> DataFrame:
+    """The columns of ``coded`` without the ids, ``n_tokens``, ``target_loss``,
+    ``background_loss`` (nats a token) and ``score``, their difference."""
+    target, background, size = models
+    shared = coded.sparkSession.sparkContext.broadcast((target, background))
+    keep = [c for c in coded.columns if c not in ("ids", "n_tokens", "target_loss", "background_loss", "score")]
+    schema = coded.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "target_loss": F.lit(0.0), "background_loss": F.lit(0.0), "score": F.lit(0.0)}).schema
 
     def run(batches):
-        tokens, (target, background) = Tokens(vocabulary.value), shared.value
-        for part in slices(batches, "__text"):
-            ids, bounds = tokens.of(part.column("__text"))
+        target, background = shared.value
+        for part in slices(batches, "ids"):
+            ids, bounds = _ids(part.column("ids"), size)
             left = before(ids, bounds, size)
             at, n = slot(left, ids), np.diff(bounds)
             text_of = np.repeat(np.arange(part.num_rows), n)
             a, b = (np.bincount(text_of, m.loss(left, ids, at), part.num_rows) / np.maximum(n, 1) for m in (target, background))
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(n), pa.array(a), pa.array(b), pa.array(a - b)], [*keep, "n_tokens", "target_loss", "background_loss", "score"])
 
-    return chosen.mapInArrow(run, schema)
+    return coded.mapInArrow(run, schema)

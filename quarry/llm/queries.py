@@ -57,9 +57,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    coded, size = lm_score.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_score.score(docs, lm_score.fit(docs, good, public_tokenizers.path("byte_bpe_50k.json")))
+    return lm_score.score(coded, lm_score.fit(coded, good, size))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import public_tokenizers as P
 import pytest
 
 from quarry.llm import lang_id, lm_score, queries, toxicity
+from quarry.llm.bpe_arrays import Vocabulary
 
 from .helpers import SCHEMA, clashing, edge_docs
 
@@ -143,9 +144,10 @@ def test_cross_entropy_difference(spark, truth):
 def test_counts_equal_a_plain_model(spark):
     docs = clashing(edge_docs(spark)).where("length(text) < 3000 or text is null")
     path = P.path("byte_bpe_50k.json")
-    models = lm_score.fit(docs, docs.where("doc_id in (6, 7)").select("doc_id"), path)
-    target, background, size = models[1:]
-    tokens = lm_score.Tokens(models[0].value)
+    coded_docs, size = lm_score.tokenized(docs, path, keep=("doc_id", "text", "score"))
+    models = lm_score.fit(coded_docs.drop("score"), docs.where("doc_id in (6, 7)").select("doc_id"), size)
+    target, background, size = models
+    tokens = lm_score.Tokens(Vocabulary(path))
     import pyarrow as pa
 
     rows = docs.collect()
@@ -161,11 +163,13 @@ def test_counts_equal_a_plain_model(spark):
     assert math.isclose(background.ones.sum(), n_target, rel_tol=1e-9) and math.isclose(target.ones.sum(), n_target)
     (a, b), most = max(pairs.items(), key=lambda x: x[1])
     assert background.pairs[lm_score.slot(np.array([a]), np.array([b]))[0]] * n / n_target >= most - 1e-3
-    got = {(r.doc_id, r.text): r for r in lm_score.score(docs, models, keep=("doc_id", "text")).collect()}
+    got = {(r.doc_id, r.text): r for r in lm_score.score(coded_docs.drop("score"), models).collect()}
     for r, (left, ids) in zip(rows, coded, strict=True):
         said = got[r.doc_id, r.text]
         assert said.n_tokens == len(ids)
         want = target.loss(left, ids, lm_score.slot(left, ids)).mean() if len(ids) else 0.0
         assert math.isclose(said.target_loss, want, rel_tol=1e-6) and math.isclose(said.score, said.target_loss - said.background_loss, abs_tol=1e-9)
-    none = lm_score.fit(docs, docs.limit(0).select("doc_id"), path)
-    assert {round(r.score, 9) for r in lm_score.score(docs, none).collect()} == {0.0}
+    none = lm_score.fit(coded_docs, docs.limit(0).select("doc_id"), size)
+    assert {round(r.score, 9) for r in lm_score.score(coded_docs.drop("score"), none).collect()} == {0.0}
+    empty, size = lm_score.tokenized(docs.limit(0), path)
+    assert lm_score.score(empty, lm_score.fit(empty, docs.select("doc_id"), size)).count() == 0
