@@ -20,8 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fold(parts: int):
-    """A fold number that depends on the id only."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+    """A fold number that depends on the id only (no id: -1, never held out)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts, F.lit(-1))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
