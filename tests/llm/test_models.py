@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -173,3 +174,34 @@ def test_counts_equal_a_plain_model(spark):
     assert {round(r.score, 9) for r in lm_score.score(coded_docs.drop("score"), none).collect()} == {0.0}
     empty, size = lm_score.tokenized(docs.limit(0), path)
     assert lm_score.score(empty, lm_score.fit(empty, docs.select("doc_id"), size)).count() == 0
+
+
+def packed_docs(spark, docs, size):
+    rows = [(i, np.asarray(ids).astype(lm_score._kind(size)).tobytes()) for i, ids in enumerate(docs)]
+    return spark.createDataFrame(rows, "doc_id long, ids binary").repartition(3)
+
+
+def test_bigram_counts_share_nothing(spark):
+    size, r = 50_000, np.random.default_rng(5)
+    docs = [r.integers(0, size, 20_000) for _ in range(20)]
+    coded = packed_docs(spark, docs, size)
+    models = lm_score.fit(coded, coded.where("doc_id < 5").select("doc_id"), size)
+    got = {x.doc_id: x for x in lm_score.score(coded, models).collect()}
+    pairs = [Counter(), Counter()]
+    for i, d in enumerate(docs):
+        own = list(zip([size, *d[:-1].tolist()], d.tolist(), strict=True))
+        pairs[1].update(own)
+        pairs[0].update(own if i < 5 else [])
+    for i, d in enumerate(docs):
+        left, own = np.array([size, *d[:-1]]), list(zip([size, *d[:-1].tolist()], d.tolist(), strict=True))
+        for m, table, said in zip(models[:2], pairs, (got[i].target_loss, got[i].background_loss), strict=True):
+            scale = models[0].ones.sum() / 400_000 if table is pairs[1] else 1
+            want = -np.log((np.array([table[p] * scale for p in own]) + lm_score.SMOOTH * m.single[d]) / (m.contexts[left] + lm_score.SMOOTH))
+            assert math.isclose(said, want.mean(), rel_tol=1e-9)
+
+
+def test_every_labelled_row_is_counted(spark):
+    coded = spark.range(20_050).selectExpr("id as doc_id", "unhex('01000200') as ids")
+    target, background, _ = lm_score.fit(coded, coded.select("doc_id"), 10)
+    assert target.ones.sum() == background.ones.sum() == 40_100
+    assert target.pairs[lm_score.slot(np.array([1, 2]), np.array([2, 1]))].tolist() == [20_050, 0]
