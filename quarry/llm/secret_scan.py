@@ -33,7 +33,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # a whole run, so the same as longer matches
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
 #: Runs that may be random keys, and what is known not to be one.
-KEY_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+=*+")
+KEY_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.I)
 UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
 WHOLE = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)")

@@ -53,6 +53,17 @@ def test_random_strings(spark):
     assert [(s.start, s.end) for s in got[0]] == [(4, 24)]
 
 
+def random_spans(*texts):
+    enc = secret_scan.encoding(P.PATTERN, secret_scan.ranks(P.path("byte_bpe_50k.tiktoken")))
+    return [[t[a:b] for a, k, b in secret_scan.spans(t, enc) if secret_scan.KINDS[k] == "random"] for t in texts]
+
+
+def test_random_strings_after_an_equals_sign():
+    key, other = "Zx9fQ2mK7vTp3LwR8nYb5cHd", "q7Xz9KfL2mPw8RtYv3Bn"
+    got = random_spans(f"AWS_SECRET_ACCESS_KEY={key}", f"url?sig={key}&x=1", f"SIG={key}==", f"{key}=={other}=", f"see {key}= here")
+    assert got[0][-1] == key and got[1:] == [[key], [f"{key}=="], [f"{key}==", f"{other}="], [f"{key}="]]
+
+
 def test_redaction():
     assert secret_scan.masked("ab12cd34ef", [(2, 0, 4), (3, 2, 6), (8, 2, 10)], "*") == "ab*34*"
 
