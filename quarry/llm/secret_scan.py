@@ -70,12 +70,57 @@ def is_random(run: str, enc: tiktoken.Encoding) -> bool:
     return len(run) < MAX_RATIO * len(enc.encode_ordinary(run))
 
 
+#: Pieces of a run: identifiers and digests stay whole and end a stretch.
+PIECE = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+", re.I)
+LEAST = 20
+
+
+def maximal(values: list[float]) -> list[tuple[int, int]]:
+    """(first, end) of all maximal stretches with a positive sum, in linear time."""
+    found: list[tuple[int, float, float, int]] = []  # first, sum before, sum after, an earlier one with a lower sum before
+    ends, total = [], 0.0
+    for i, v in enumerate(values):
+        total += v
+        if v <= 0:
+            continue
+        first, low = i, total - v
+        while True:
+            j = len(found) - 1
+            while j >= 0 and found[j][1] >= low:
+                j = found[j][3]
+            if j < 0 or found[j][2] >= total:
+                break
+            first, low = found[j][:2]
+            del found[j:], ends[j:]
+        found.append((first, low, total, j))
+        ends.append(i + 1)
+    return [(f[0], e) for f, e in zip(found, ends, strict=True)]
+
+
+def random_stretches(run: str, enc: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """(start, end) of what is random in a run: all of it, or stretches of pieces."""
+    if is_random(run, enc):
+        return [(0, len(run))]
+    pieces = list(PIECE.finditer(run))
+    if len(pieces) < 2:
+        return []
+    barrier = -float(2 * MAX_RATIO * len(run))
+    tokens = enc.encode_ordinary_batch([p[0] for p in pieces], num_threads=1)
+    values = [barrier if DIGEST.fullmatch(p[0]) or UUID.fullmatch(p[0]) else MAX_RATIO * len(t) - len(p[0]) for p, t in zip(pieces, tokens, strict=True)]
+    out = []
+    for first, end in maximal(values):
+        a, b = pieces[first].start(), pieces[end - 1].end()
+        if b - a >= LEAST and is_random(run[a:b], enc):
+            out.append((a, len(run) if not run[b:].strip("=") else b))
+    return out
+
+
 def spans(s: str, enc: tiktoken.Encoding) -> list[tuple[int, int, int]]:
     """(start, kind number, end), in order."""
     out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(s) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
     out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(s) if m.end() - m.start() >= ACCESS_LEAST]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(s)]
-    out += [(m.start(), 3, m.end()) for m in KEY_RUN.finditer(s) if is_random(m[0], enc)]
+    out += [(m.start() + a, 3, m.start() + b) for m in KEY_RUN.finditer(s) for a, b in random_stretches(m[0], enc)]
     return sorted(out)
 
 

@@ -1,4 +1,6 @@
+import random
 import re
+import string
 from collections import Counter
 
 import public_tokenizers as P
@@ -64,6 +66,37 @@ def test_random_strings_after_an_equals_sign():
     assert got[0][-1] == key and got[1:] == [[key], [f"{key}=="], [f"{key}==", f"{other}="], [f"{key}="]]
 
 
+def test_random_strings_after_words():
+    r = random.Random(11)
+    keys = ["".join(r.choices(string.ascii_letters + string.digits, k=32)) for _ in range(200)]
+    alone = {k for k, got in zip(keys, random_spans(*keys), strict=True) if got}
+    assert len(alone) > 195
+    for before, after in (("/home/user/documents/projects/website/assets/images/", ""), ("/download/attachments/reports/", "/summary"), ("downloads/archive/2024/customer/invoice/", "=="), ("some-very-long-natural-slug-about-nothing-" * 9, "")):
+        got = random_spans(*(f"{before}{k}{after}" for k in keys))
+        assert all(any(k in s for s in own) for k, own in zip(keys, got, strict=True) if k in alone)
+    path = "/home/user/documents/projects/website/assets/images/"
+    key, other = "q7Xz9KfL2mPw8RtYv3Bn", "Zk3vQ9xW7pL1sT5uR8yB2nM4"
+    got = random_spans(f"see {path * 3}{key}{path * 3}{other}== here", f"{path}d41d8cd98f00b204e9800998ecf8427e/info", f"{path}123e4567-e89b-12d3-a456-426614174000/thumb", f"{path}IMG_2024_x1/v2", "x" * 5 + path * 9)
+    assert got == [[key, f"{other}=="], [], [], [], []]
+
+
+def test_maximal_stretches():
+    r = random.Random(4)
+    for _ in range(300):
+        v = [r.randrange(-4, 5) for _ in range(r.randrange(12))]
+        want = []
+
+        def go(a, b, v=v, want=want):
+            best = max(((sum(v[i:j]), i - j, -i, i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0,))
+            if best[0] > 0:
+                go(a, best[3])
+                want.append(best[0])
+                go(best[4], b)
+
+        go(0, len(v))
+        assert [sum(v[a:b]) for a, b in secret_scan.maximal(v)] == want
+
+
 def test_redaction():
     assert secret_scan.masked("ab12cd34ef", [(2, 0, 4), (3, 2, 6), (8, 2, 10)], "*") == "ab*34*"
 
