@@ -6,7 +6,10 @@ posting is ever shuffled and a frequent term stays spread over all tasks.  A
 test phrase starts from the postings of its rarest term in the shard; the
 offset-adjusted lists of its other terms are intersected in order of rarity.
 Matches on hashes are confirmed on the words themselves.  Proximity matches
-ask only that the rarest distinct terms of a phrase lie close together.
+ask only that the rarest distinct terms of a phrase lie close together; rarity
+is counted over all documents in a pass of its own, so a match does not depend
+on the other documents of a shard, and words that no document holds (replaced
+ones) are not asked for.
 
 The test set is a stated query set: it is handled in blocks of a fixed number
 of words, each broadcast to one narrow pass over all documents, so neither the
@@ -31,6 +34,8 @@ from quarry.llm.ragged import ALNUM, LOWER, flat, ranges, slices, span_hashes, w
 
 #: Words of the test set in one broadcast block.
 BLOCK_WORDS = 2_000_000
+#: Counted words in a row of gathered counts.
+BLOCK = 1 << 12
 #: Terms of a phrase that a proximity match asks for, and the span they share.
 NEAR_TERMS, NEAR_SPAN = 4, 24
 
@@ -70,6 +75,20 @@ class Phrases:
         for i, p in enumerate(seen):
             self.terms[i, : len(p)] = p
 
+    def rank(self, frequency: np.ndarray, terms: int):
+        """``asked``: the ``terms`` rarest distinct terms of each phrase that
+        occur at all (all of a shorter phrase), rarest first, -1 where there are
+        fewer; a phrase with too few asks for none and matches nothing."""
+        never = np.iinfo(np.int64).max
+        often = np.where(self.terms >= 0, np.append(frequency, 0)[self.terms], 0)
+        distinct = self.terms >= 0
+        for k in range(1, self.terms.shape[1]):
+            distinct[:, k] &= (self.terms[:, :k] != self.terms[:, k : k + 1]).all(axis=1)
+        often = np.where(distinct & (often > 0), often, never)
+        order = np.argsort(often, axis=1, kind="stable")[:, :terms]
+        self.asked = np.where(np.take_along_axis(often, order, 1) < never, np.take_along_axis(self.terms, order, 1), -1)
+        self.asked[(often < never).sum(axis=1) < np.minimum(terms, distinct.sum(axis=1))] = -1
+
 
 class Shard:
     """Positional postings of one slice of documents."""
@@ -132,28 +151,27 @@ class Shard:
         n = int(phrases.length[phrase])
         return all(self.data[self.starts[start + k] : self.ends[start + k]].tobytes() == phrases.words[phrases.terms[phrase, k]] for k in range(n))
 
-    def near(self, phrases: Phrases, terms: int, span: int):
-        """(phrase, text): the ``terms`` rarest terms of the phrase lie within
-        ``span`` words on either side of the rarest, in one document."""
+    def near(self, phrases: Phrases, span: int):
+        """(phrase, text): the asked terms of the phrase lie within ``span``
+        words on either side of the rarest, in one document."""
         none = np.zeros(0, np.int64)
         if not len(self.keys) or not len(phrases.length):
             return none, none
-        order, often = self.rarest_first(phrases)
-        live = np.flatnonzero(often.min(axis=1) > 0)
-        live = live[phrases.length[live] >= terms]
+        asked = phrases.asked
+        live = np.flatnonzero((asked[:, 0] >= 0) & ((asked < 0) | (self.frequency[asked] > 0)).all(axis=1))
         if not len(live):
             return none, none
-        rare = order[live, 0]
-        counts = often[live, rare]
+        rare = asked[live, 0]
+        counts = self.frequency[rare]
         phrase = np.repeat(live, counts)
-        centre = self.postings[ranges(self.first[phrases.terms[live, rare]], counts)]
-        for k in range(1, terms):
-            term = phrases.terms[phrase, order[phrase, k]]
+        centre = self.postings[ranges(self.first[rare], counts)]
+        for k in range(1, asked.shape[1]):
+            term = asked[phrase, k]
             text = self.text[centre]
             low = np.maximum(centre - span, self.bounds[text])
             high = np.minimum(centre + span, self.bounds[text + 1] - 1)
             at = np.searchsorted(self.keys, term * self.span + low)
-            ok = (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] <= term * self.span + high)
+            ok = (term < 0) | (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] <= term * self.span + high)
             phrase, centre = phrase[ok], centre[ok]
         return phrase, self.text[centre]
 
@@ -161,6 +179,40 @@ class Shard:
 SCHEMA = "n_words long, spans array<struct<start:long,end:long>>, items array<long>, near_items array<long>"
 
 
+def frequencies(docs: DataFrame, text: str, hashes: np.ndarray) -> np.ndarray:
+    """How often the words with these sorted hashes occur in all documents."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(hashes)
+    length = -(-len(hashes) // BLOCK) * BLOCK
+
+    def count(batches):
+        known, sums = shared.value, np.zeros(length, np.int64)
+        for part in slices(batches, "__text"):
+            data, offsets = flat(part.column("__text"))
+            data = LOWER[data]
+            starts, ends, _, _ = words(data, offsets, ALNUM)
+            got = span_hashes(data, starts, ends)
+            at = np.searchsorted(known, got)
+            at[at == len(known)] = 0
+            sums += np.bincount(at[known[at] == got], minlength=length)
+        cells = sums.reshape(-1, BLOCK)
+        some = np.flatnonzero(cells.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([cells[k].tobytes() for k in some.tolist()], pa.binary())], ["block", "counts"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                sums[k] = sums.get(k, 0) + np.frombuffer(raw, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "counts"])
+
+    row, out = "block int, counts binary", np.zeros(length, np.int64)
+    for r in docs.select(F.col(text).alias("__text")).mapInArrow(count, row).repartition("block").mapInArrow(add, row).toLocalIterator():
+        out[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(bytes(r.counts), np.int64)
+    return out[: len(hashes)]
+
+
 def find(docs: DataFrame, items: DataFrame, size: int = 13, text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: tuple[str, ...] = ("doc_id",), block_words: int = BLOCK_WORDS) -> DataFrame:
     """``keep`` columns of every document, ``n_words``, ``spans`` (maximal runs
     of hit words, end exclusive), ``items`` (ids with an exact phrase match)
@@ -172,7 +224,12 @@ def find(docs: DataFrame, items: DataFrame, size: int = 13, text: str = "text",
     out = docs.select(*[F.col(c) for c in keep], F.col(text).alias("__text"))
     out = out.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<struct<start:long,end:long>>"), "items": F.array().cast("array<long>"), "near_items": F.array().cast("array<long>")})
     parts = [items] if blocks == 1 else [items.where(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == b) for b in range(blocks)]
-    held = [spark.sparkContext.broadcast(Phrases([tuple(r) for r in part.toLocalIterator()], size)) for part in parts]
+    blocks_of = [Phrases([tuple(r) for r in part.toLocalIterator()], size) for part in parts]
+    every = np.unique(np.concatenate([b.hashes for b in blocks_of]))
+    often = frequencies(docs, text, every)
+    for b in blocks_of:
+        b.rank(often[np.searchsorted(every, b.hashes)], NEAR_TERMS)
+    held = [spark.sparkContext.broadcast(b) for b in blocks_of]
     out = reduce(lambda df, block: df.mapInArrow(_one_pass(block, df.columns), df.schema), held, out)
     return out.drop("__text")
 
@@ -195,7 +252,7 @@ def _one_pass(block, names):
                     hit[shard.bounds[i] + s["end"]] -= 1
             covered = np.cumsum(hit)[:-1] > 0
             spans = _spans(covered, shard)
-            near, near_text = shard.near(phrases, NEAR_TERMS, NEAR_SPAN)
+            near, near_text = shard.near(phrases, NEAR_SPAN)
             n = part.num_rows
             cols = {"n_words": pa.array(np.diff(shard.bounds)), "spans": spans}
             cols["items"] = _owners(phrases, phrase, shard.text[start], part.column("items"), n)

@@ -81,12 +81,22 @@ def op9_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
+def joined_ids(column: str):
+    return F.array_join(F.array_sort(F.transform(column, lambda i: i.cast("string"))), ",")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    ids = joined_ids("items")
     return found.select("doc_id", "n_words", phrase_index.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), phrase_index.contaminated(phrase_index.n_hit(), F.col("n_words")).alias("contaminated"))
 
 
+def op10_near_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity matches; beside op10_decontamination, whose SQL has only exact ones."""
+    found = phrase_index.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.size("near_items").cast("long").alias("n_near_items"), F.sha2(joined_ids("near_items").cast("binary"), 256).alias("near_items_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -98,6 +108,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_bpe_coding": op9_bpe_coding,
     "op10_decontamination": op10_decontamination,
+    "op10_near_items": op10_near_items,
 }
 
 

@@ -30,6 +30,18 @@ def test_near_matches(spark):
     assert got == {1: ([], [9]), 2: ([], []), 3: ([], [])}
 
 
+def test_near_matches_do_not_depend_on_the_shard(spark):
+    said = [f"term{i}" for i in range(40)]
+    altered = " ".join(f"swap{i}" if i % 6 == 5 else w for i, w in enumerate(said))
+    rows = [(1, altered), (2, "blue sky"), (3, "blue then a few words later sky"), (4, "blue " + "far " * 40 + "sky"), (5, "nothing of it"), (6, "echo echo echo echo and more")]
+    rows += [(100 + i, f"{said[i]} term{i} other") for i in range(0, 40, 3)]
+    test = spark.createDataFrame([(7, " ".join(said)), (8, "Blue sky"), (9, "echo echo echo mountain river")], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [{r.doc_id: (r["items"], r.near_items) for r in phrase_index.find(docs.repartition(n, "doc_id"), test, block_words=w).collect()} for n, w in ((1, 10_000), (len(rows), 10_000), (3, 20))]
+    assert got[0] == got[1] == got[2]
+    assert {k: v for k, v in got[0].items() if any(v)} == {1: ([], [7]), 2: ([8], [8]), 3: ([], [8])}
+
+
 def test_empty_tables(spark):
     docs = edge_docs(spark)
     assert all(not r.spans for r in phrase_index.find(docs, items(spark).limit(0)).collect())
