@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import lang_id, lm_score, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, toxicity, word_bpe
+from quarry.llm import centroids, lang_id, lm_score, merkle, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, toxicity, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -97,6 +97,22 @@ def op10_near_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("near_items").cast("long").alias("n_near_items"), F.sha2(joined_ids("near_items").cast("binary"), 256).alias("near_items_sha256"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, ends = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    said = F.array(*[F.lit(",".join(map(str, c))) for c in ends or [[]]])
+    return found.withColumn("centroid_sha256", F.sha2(F.element_at(said, F.col("cluster") + 1).cast("binary"), 256))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # tampering deletes the line ends of every row with an even hash
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    claims = {"text": F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    found = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], "doc_id", "source", claims)
+    proof = F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -109,6 +125,8 @@ QUERIES = {
     "op9_bpe_coding": op9_bpe_coding,
     "op10_decontamination": op10_decontamination,
     "op10_near_items": op10_near_items,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 
@@ -124,6 +142,78 @@ def _rules_sql() -> str:
 _BLANK = r"[\x20\x09-\x0D]"
 _STOPS = ", ".join(f"'{w}'" for w in quality_rules.counted_forms())
 
+def _clustering_sql(k: int = 16, rounds: int = 3, size: int = 64) -> str:
+    far = "SELECT v.id, c.c, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS far FROM long_v AS v JOIN c{} AS c ON c.d = v.d GROUP BY v.id, c.c"
+    own = "a{0} AS (SELECT id, c, far FROM ({1}) AS q QUALIFY row_number() OVER (PARTITION BY id ORDER BY far, c) = 1)"
+    steps = []
+    for r in range(rounds):
+        mean = "CASE WHEN s % n < 0 THEN (s - (s % n + n)) // n ELSE (s - s % n) // n END"
+        steps += [own.format(r, far.format(r)), f"""c{r + 1} AS (
+  SELECT c.c, c.d, coalesce(m.x, c.x) AS x FROM c{r} AS c LEFT JOIN (
+    SELECT c, d, {mean} AS x FROM (SELECT a.c, v.d, sum(v.x)::BIGINT AS s, count(*) AS n FROM a{r} AS a JOIN long_v AS v ON v.id = a.id GROUP BY a.c, v.d) AS q) AS m
+  ON m.c = c.c AND m.d = c.d)"""]
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: isfinite(x))) = {size}),
+long_v AS (SELECT id, unnest(range(1, {size + 1})) AS d, unnest(v) AS x FROM kept),
+first AS (SELECT id, row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, v) - 1 AS c FROM kept QUALIFY c < {k}),
+c0 AS (SELECT first.c, v.d, v.x FROM first JOIN long_v AS v ON v.id = first.id),
+{", ".join(steps)}, {own.format(rounds, far.format(rounds))},
+ends AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT kept.vec_id, a.c::INTEGER AS cluster, a.far AS distance, (sum(a.far) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.far) OVER ())::BIGINT AS inertia, ends.centroid_sha256
+FROM a{rounds} AS a JOIN kept ON kept.id = a.id JOIN ends ON ends.c = a.c"""
+
+
+def _manifest_sql() -> str:
+    # CRC-32 bit by bit: a byte joins the register, which then moves eight times
+    bits = "flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: [ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    crc = f"xor(list_reduce({bits}, lambda c, x: xor(xor(c, x) >> 1, {0xEDB88320} * (xor(c, x) & 1)), {0xFFFFFFFF}::BIGINT), {0xFFFFFFFF}::BIGINT)"
+
+    def said(value: str) -> str:
+        return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(said, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+    def tree(name: str, nodes: str) -> str:
+        """Nodes of all levels, and the siblings left and right of each."""
+        run = "(PARTITION BY level, g, p // 3 ORDER BY p ROWS BETWEEN {})"
+        left, right = run.format("UNBOUNDED PRECEDING AND 1 PRECEDING"), run.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")
+        return f"""{name}_tree AS (
+  SELECT 0 AS level, g, p, n, h FROM {nodes}
+  UNION ALL
+  SELECT level + 1, g, p // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY p)) FROM {name}_tree WHERE n > 1 GROUP BY level, g, p // 3, n),
+{name}_side AS (
+  SELECT level, g, p, n, coalesce(string_agg(h, '') OVER {left}, '') AS l, coalesce(string_agg(h, '') OVER {right}, '') AS r FROM {name}_tree),
+{name}_root AS (SELECT g, h FROM {name}_tree WHERE n = 1)"""
+
+    return f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS id, doc_id, source AS g, {leaf("text")} AS h,
+         CASE WHEN {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS claim FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+{tree("group", "placed")},
+names AS (SELECT '' AS g, g AS name, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS p, count(*) OVER () AS n, h FROM group_root),
+{tree("top", "names")},
+steps AS (
+  SELECT id, 0 AS part, s.level, s.l, s.r FROM placed JOIN group_side AS s ON s.g IS NOT DISTINCT FROM placed.g AND s.p = placed.p // (3 ** s.level)::BIGINT AND s.n > 1
+  UNION ALL
+  SELECT id, 1, s.level, s.l, s.r FROM placed JOIN names ON names.name IS NOT DISTINCT FROM placed.g JOIN top_side AS s ON s.p = names.p // (3 ** s.level)::BIGINT AND s.n > 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY part, level) AS k FROM steps),
+proof AS (SELECT id, string_agg(l || r, '' ORDER BY k) AS proof, count(*) AS k FROM numbered GROUP BY id),
+fold AS (
+  SELECT id, 0 AS k, claim AS h FROM leaves
+  UNION ALL
+  SELECT fold.id, fold.k + 1, sha256(numbered.l || fold.h || numbered.r) FROM fold JOIN numbered ON numbered.id = fold.id AND numbered.k = fold.k + 1)
+SELECT placed.doc_id, placed.h AS leaf, group_root.h AS subroot, top_root.h AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+       fold.h AS folded_root, fold.h = top_root.h AS verified
+FROM placed JOIN group_root ON group_root.g IS NOT DISTINCT FROM placed.g CROSS JOIN top_root
+LEFT JOIN proof ON proof.id = placed.id JOIN fold ON fold.id = placed.id AND fold.k = coalesce(proof.k, 0)"""
+
+
 ORACLE: dict[str, str] = {
     "op7_quality_rules": rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -174,4 +264,6 @@ covered AS (
 SELECT dw.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN found ON found.doc_id = dw.doc_id LEFT JOIN covered ON covered.doc_id = dw.doc_id""",
+    "op12_centroid_clustering": _clustering_sql(),
+    "op13_merkle_manifest": _manifest_sql(),
 }
