@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import centroids, lang_id, lm_score, merkle, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, toxicity, word_bpe
+from quarry.llm import centroids, lang_id, lm_score, merkle, packing, phrase_index, quality_rules, repeats, secret_scan, simhash, token_counts, toxicity, word_bpe
 from quarry.session import ship_package
 
 #: Tokens above which a text does not fit one training window.
@@ -97,6 +97,11 @@ def op10_near_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("near_items").cast("long").alias("n_near_items"), F.sha2(joined_ids("near_items").cast("binary"), 256).alias("near_items_sha256"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, TOKEN_LIMIT)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, ends = centroids.cluster(table(spark, sf_dir, "embeddings"))
     said = F.array(*[F.lit(",".join(map(str, c))) for c in ends or [[]]])
@@ -125,6 +130,7 @@ QUERIES = {
     "op9_bpe_coding": op9_bpe_coding,
     "op10_decontamination": op10_decontamination,
     "op10_near_items": op10_near_items,
+    "op11_packing": op11_packing,
     "op12_centroid_clustering": op12_centroid_clustering,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
