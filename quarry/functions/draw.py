@@ -30,7 +30,8 @@ def uniform(seed: int, key, salt: str = "") -> Column:
     return draw(seed, key, salt) / F.lit(TWO_60)
 
 
-def bucket(seed: int, key, k: int, salt: str = "") -> Column:
+def bucket(seed: int, key, k, salt: str = "") -> Column:
+    """A draw from 0 to ``k`` - 1 (a number or a column)."""
     return F.pmod(draw(seed, key, salt), F.lit(k))
 
 

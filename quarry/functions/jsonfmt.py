@@ -1,31 +1,76 @@
-"""Python-``json.dumps``-compatible rendering of relation lists, natively.
+"""Relation lists as records, and records as Python-``json.dumps`` text, natively.
 
-``relations_json`` groups ``(head, relation, tail)`` triples into
-``{entity: {relation: tail | [tails]}}`` with entities and relation keys in
-first-seen order, repeated tails kept and single values unwrapped, and prints
-it with Python's default separators (``", "`` and ``": "``).  It is row-local
-higher-order-function work (no shuffle, no Python).
+``grouped`` turns ``(head, relation, tail)`` triples into a record: entities
+and their fields in first-seen order, each field with all its tails.  It sorts
+the triples of a row once by entity and field instead of filtering them for
+each entity and field, so a record of n triples costs n log n.  ``record_json``
+prints a record with Python's default separators (``", "`` and ``": "``);
+single tails are unwrapped.  All of it is row-local (no shuffle, no Python).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quarry.functions.text import json_quote, json_string_list
 
+#: Type of a record.
+RECORD = "array<struct<entity:string,members:array<struct<field:string,tails:array<string>>>>>"
 
-def relations_json(rel: Column) -> Column:
-    def entity_obj(e):
-        of_e = F.filter(rel, lambda r: r["head"] == e)
-        keys = F.array_distinct(F.transform(of_e, lambda r: r["relation"]))
 
-        def member(k):
-            tails = F.transform(F.filter(of_e, lambda r: r["relation"] == k), lambda r: r["tail"])
-            val = F.when(F.size(tails) == 1, json_quote(F.try_element_at(tails, F.lit(1)))).otherwise(json_string_list(tails))
-            return F.concat(json_quote(k), F.lit(": "), val)
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once: an expression repeated
+    inside a lambda would be computed again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _runs(rows: Column, same: Callable[[Column, Column], Column], make: Callable[[Column], Column]) -> Column:
+    """``make`` of every run of neighbouring rows that are the ``same``."""
+
+    def cut(rows):
+        n = F.size(rows)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ~same(F.get(rows, i - 1), F.get(rows, i)))
+        return let(starts, lambda s: F.transform(s, lambda b, j: make(F.slice(rows, b + 1, F.coalesce(F.get(s, j + 1), n) - b))))
+
+    # an empty array takes the branch that never builds a sequence
+    return let(rows, lambda r: F.when(F.size(r) > 0, cut(r)))
+
 
-        return F.concat(json_quote(e), F.lit(": {"), F.array_join(F.transform(keys, member), ", "), F.lit("}"))
+def grouped(rel: Column) -> Column:
+    """The record of an array of ``struct(head, relation, tail)``."""
+    triples = F.array_sort(F.transform(rel, lambda r, i: F.struct(r["head"].alias("head"), r["relation"].alias("relation"), i.alias("i"), r["tail"].alias("tail"))))
+    fields = _runs(
+        triples,
+        lambda a, b: a["head"].eqNullSafe(b["head"]) & a["relation"].eqNullSafe(b["relation"]),
+        lambda run: F.struct(F.get(run, F.lit(0))["head"].alias("head"), F.get(run, F.lit(0))["i"].alias("i"), F.get(run, F.lit(0))["relation"].alias("field"),
+                             F.transform(run, lambda r: r["tail"]).alias("tails")),
+    )
+    entities = _runs(
+        F.array_sort(fields),
+        lambda a, b: a["head"].eqNullSafe(b["head"]),
+        lambda run: F.struct(F.get(run, F.lit(0))["i"].alias("i"), F.get(run, F.lit(0))["head"].alias("entity"),
+                             F.transform(run, lambda m: F.struct(m["field"].alias("field"), m["tails"].alias("tails"))).alias("members")),
+    )
+    in_order = F.transform(F.array_sort(entities), lambda e: F.struct(e["entity"].alias("entity"), e["members"].alias("members")))
+    return F.when(F.size(rel) > 0, in_order).when(F.size(rel) == 0, F.array().cast(RECORD))
 
-    entities = F.array_distinct(F.transform(rel, lambda r: r["head"]))
-    return F.concat(F.lit("{"), F.array_join(F.transform(entities, entity_obj), ", "), F.lit("}"))
+
+def record_json(record: Column) -> Column:
+    """The JSON text of a record; null for null."""
+
+    def member(m):
+        single = json_quote(F.get(m["tails"], F.lit(0)))
+        return F.concat(json_quote(m["field"]), F.lit(": "), F.when(F.size(m["tails"]) == 1, single).otherwise(json_string_list(m["tails"])))
+
+    def entity(e):
+        return F.concat(json_quote(e["entity"]), F.lit(": {"), F.array_join(F.transform(e["members"], member), ", "), F.lit("}"))
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(record, entity), ", "), F.lit("}"))
+
+
+def relations_json(rel: Column) -> Column:
+    """``{entity: {relation: tail | [tails]}}`` of a relation list."""
+    return record_json(grouped(rel))

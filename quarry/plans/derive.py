@@ -175,6 +175,45 @@ RELJSON = (
 
 fc = ", ".join("'" + c + "'" for c in dv.FORMAT_CONSTRAINTS)
 T2J_RULES_SQL = dv.T2J_RULES.replace("\n", "")
+
+
+def _said_sql(template: str, **values: str) -> str:
+    return "'" + template.format(**{k: f"' || {v} || '" for k, v in values.items()}) + "'"
+
+
+REPAIR_SQL = f"""rep AS (SELECT id, input, relation, fields FROM src WHERE quality_tier = 'high' AND relation_count >= 3),
+tri AS (SELECT id, r.head AS head, r.relation AS field, r.tail AS tail, i FROM (SELECT id, unnest(relation) AS r, generate_subscripts(relation, 1) AS i FROM rep)),
+mem AS (SELECT *, min(ford) OVER (PARTITION BY id, head) AS eord FROM (SELECT id, head, field, list(tail ORDER BY i) AS tails, min(i) AS ford FROM tri GROUP BY ALL)),
+single AS (SELECT id, head AS one_head, field AS one_field FROM mem WHERE len(tails) = 1 QUALIFY row_number() OVER (PARTITION BY id ORDER BY eord, ford) = 1),
+names AS (
+  SELECT rep.*, list_sort(list_filter(fields, lambda f: list_contains(names, f))) AS used, list_sort(list_filter(fields, lambda f: NOT list_contains(names, f))) AS spare, heads
+  FROM rep JOIN (SELECT id, list(DISTINCT field) AS names FROM mem GROUP BY id) USING (id)
+  JOIN (SELECT id, list(head ORDER BY eord) AS heads FROM (SELECT DISTINCT id, head, eord FROM mem) GROUP BY id) USING (id)),
+pick AS (
+  SELECT names.*, one_head, one_field, CASE WHEN len(used) > 0 THEN 'misspell' WHEN len(spare) > 0 THEN 'extra' WHEN one_field IS NOT NULL THEN 'to_list' END AS kind,
+    used[({draw_sql(SEED, 'id', 'field')}) % greatest(len(used), 1) + 1] AS target, spare[({draw_sql(SEED, 'id', 'fake')}) % greatest(len(spare), 1) + 1] AS fake,
+    heads[({draw_sql(SEED, 'id', 'host')}) % len(heads) + 1] AS host
+  FROM names LEFT JOIN single USING (id)),
+bad AS (
+  SELECT *, CASE WHEN length(target) > 1 THEN substr(target, 1, spot) || chr(unicode(substr(target, spot + 1, 1)) + {dv.MISSPELL_SHIFTS}[({draw_sql(SEED, 'id', 'shift')}) % 3 + 1]) || substr(target, spot + 2)
+    ELSE target END AS bad
+  FROM (SELECT *, (({draw_sql(SEED, 'id', 'place')}) % greatest(length(target), 1))::BIGINT AS spot FROM pick)),
+edits AS (
+  SELECT mem.id, head, eord, kind = 'misspell' AND field = target AND eord = min(CASE WHEN field = target THEN eord END) OVER (PARTITION BY mem.id) AS hit, bad, field, ford,
+    CASE WHEN kind = 'to_list' AND head = one_head AND field = one_field THEN list_append(tails, '{dv.LIST_FILLER}') ELSE tails END AS tails
+  FROM mem JOIN bad USING (id)
+  UNION ALL
+  SELECT id, host, (SELECT min(eord) FROM mem WHERE mem.id = bad.id AND head = host), false, NULL, fake, 1000000, ['{dv.EXTRA_VALUE}'] FROM bad WHERE kind = 'extra'),
+wrong AS (
+  SELECT id, '{{' || string_agg(to_json(head) || ': {{' || members || '}}', ', ' ORDER BY eord) || '}}' AS wrong
+  FROM (SELECT id, head, eord, string_agg(to_json(CASE WHEN hit THEN bad ELSE field END) || ': ' || CASE WHEN len(tails) = 1 THEN to_json(tails[1]) ELSE {_jlist('tails')} END, ', '
+                 ORDER BY CASE WHEN hit THEN 1000000 ELSE ford END) AS members FROM edits GROUP BY ALL)
+  GROUP BY id),
+repair AS (
+  SELECT id, kind, said, '{dv.REPAIR_PROMPT_HEAD.rstrip(chr(10))}' || {NL} || 'Schema: ' || {_jlist('fields')} || {NL} || '原文: ' || input || {NL} || '有错误的抽取结果: ' || wrong || {NL}
+    || '错误类型: ' || said || {NL} || '{dv.REPAIR_PROMPT_TAIL}' AS prompt
+  FROM (SELECT *, CASE kind WHEN 'misspell' THEN {_said_sql(dv.DESC_MISSPELL.replace("'", "''"), old='target', new='bad')} WHEN 'extra' THEN {_said_sql(dv.DESC_EXTRA.replace("'", "''"), entity='host', field='fake')}
+          ELSE {_said_sql(dv.DESC_TO_LIST.replace("'", "''"), field='one_field')} END AS said FROM bad JOIN wrong USING (id)) WHERE kind IS NOT NULL)"""
 DERIVE_SQL = f"""{IE_SQL},
 schema AS (
   SELECT c.c_mktsegment AS topic, list_sort(list(DISTINCT p.p_type)) || ['{IE_UNUSED_FIELD}'] AS fields
@@ -189,20 +228,20 @@ src AS (
     len(list_filter(list_transform(relation, lambda r: r.relation), lambda x: list_contains(fields, x))) > 0 AS has_used,
     len(list_filter(fields, lambda f: NOT list_contains(list_transform(relation, lambda r: r.relation), f))) > 0 AS has_unused
   FROM looked WHERE len(coalesce(fields, [])) > 0),
+{REPAIR_SQL},
 tasks AS (
-  SELECT 'ie_extraction' AS task_type, *, NULL::VARCHAR AS perturbation_kind,
+  SELECT 'ie_extraction' AS task_type, *, NULL::VARCHAR AS perturbation_kind, NULL::VARCHAR AS perturbation,
     '{dv.IE_PROMPT_HEAD.rstrip(chr(10))}' || {NL} || 'Schema: ' || {_jlist('fields')} || {NL} || '文本: ' || input AS prompt FROM src
   UNION ALL
-  SELECT 'text_to_json', *, NULL, '{dv.T2J_PROMPT_HEAD.rstrip(chr(10))}' || {NL} || 'Schema 字段: ' || {_jlist('fields')} || {NL}
+  SELECT 'text_to_json', *, NULL, NULL, '{dv.T2J_PROMPT_HEAD.rstrip(chr(10))}' || {NL} || 'Schema 字段: ' || {_jlist('fields')} || {NL}
     || '{T2J_RULES_SQL}' || {NL} || '文本: ' || input FROM src WHERE quality_tier IN ('high', 'medium')
   UNION ALL
-  SELECT 'format_following', *, NULL, [{fc}][({draw_sql(SEED, 'id', 'format')}) % 4 + 1] || {NL} || 'Schema: ' || {_jlist('fields')}
+  SELECT 'format_following', *, NULL, NULL, [{fc}][({draw_sql(SEED, 'id', 'format')}) % 4 + 1] || {NL} || 'Schema: ' || {_jlist('fields')}
     || {NL} || '从文本中抽取信息并输出 JSON: ' || input FROM src WHERE quality_tier = 'high'
   UNION ALL
-  SELECT 'schema_repair', *, CASE WHEN has_used THEN 'misspell' WHEN has_unused THEN 'extra' ELSE 'to_list' END, NULL
-  FROM src WHERE quality_tier = 'high' AND relation_count >= 3 AND (has_used OR has_unused OR relation_count > 0)),
+  SELECT 'schema_repair', src.*, repair.kind, repair.said, repair.prompt FROM src JOIN repair USING (id)),
 derived AS (SELECT task_type, id AS original_id, cate, quality_tier, relation_count AS n_relations, input_len, output,
-  perturbation_kind, prompt FROM tasks)"""
+  perturbation_kind, perturbation, prompt FROM tasks)"""
 
 TARGETS_SQL = "(VALUES " + ", ".join(f"('{t}', {n}, {i})" for i, (t, n) in enumerate(sp.task_targets(SAMPLE_TARGET, sp.TASK_RATIO).items())) + ") AS tg(task_type, target, t_ord)"
 KEY = "(original_id || ':' || task_type)"
@@ -263,7 +302,9 @@ ORACLE = {
     "sample_distribution": f"""WITH {SAMPLE_SQL}
 SELECT task_type, cate, quality_tier, CASE c_rank WHEN 0 THEN 'medium' WHEN 1 THEN 'simple' ELSE 'complex' END AS complexity,
   count(*) AS count FROM sampled GROUP BY ALL""",
-    # chat_rows has no oracle: schema_repair prompts embed the Python perturbation
+    "perturb": f"WITH {DERIVE_SQL} SELECT original_id, perturbation_kind, perturbation, sha256(prompt) AS prompt_hash FROM derived WHERE task_type = 'schema_repair'",
+    "chat_rows": f"""WITH {SAMPLE_SQL}
+SELECT id, task_type, topic_schema, quality_tier, split, sha256(prompt) AS user_hash, sha256(output) AS assistant_hash FROM chat_split""",
     "chat_records": f"""WITH {SAMPLE_SQL}
 SELECT id, task_type, topic_schema, quality_tier, split, 2 AS n_messages, sha256(output) AS assistant_hash FROM chat_split""",
     "exact_split": f"WITH {SAMPLE_SQL} SELECT split, task_type, count(*) AS count FROM chat_split GROUP BY ALL",

@@ -1,10 +1,11 @@
 import json
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from quarry.functions.jsonfmt import relations_json
-from quarry.operators.derive import perturb_one
+from quarry.functions.jsonfmt import grouped, relations_json
+from quarry.operators.derive import PERTURB_KINDS, perturb
 from quarry.operators.sample import global_index
 
 REL = "array<struct<head:string,relation:string,tail:string>>"
@@ -30,18 +31,73 @@ def test_relations_json_order_and_unwrap(spark):
     assert got == [_py_relations_json(c) for c in cases]
 
 
-def test_perturb_kinds_and_determinism():
-    out = _py_relations_json([("E", "MEDIUM", "a"), ("E", "LARGE", "b"), ("F", "MEDIUM", "c")])
-    a = perturb_one(out, ["LARGE", "MEDIUM", "WARRANTY"], 7)
-    b = perturb_one(out, ["LARGE", "MEDIUM", "WARRANTY"], 7)
-    assert a == b and a[2] == "misspell"
-    assert json.loads(a[0]) != json.loads(out)
-    extra = perturb_one(out, ["WARRANTY"], 3, kinds=("misspell", "drop", "extra", "to_list"))
-    assert extra[2] == "extra" and "WARRANTY" in extra[0]
-    to_list = perturb_one(out, [], 3)
-    assert to_list[2] == "to_list"
-    assert perturb_one("not json", ["x"], 1) == (None, None, None)
-    assert perturb_one("{}", [], 1) == (None, None, None)
+def _perturbed(spark, rels, fields, keys=("k",), seed=7, kinds=PERTURB_KINDS):
+    rel = [{"head": h, "relation": r, "tail": t} for h, r, t in rels]
+    df = spark.createDataFrame([(rel, fields, k) for k in keys], f"rel {REL}, fields array<string>, key string")
+    rows = df.select("key", perturb(grouped(F.col("rel")), F.col("fields"), F.col("key"), seed, kinds).alias("p")).collect()
+    found = {r["key"]: r["p"] and tuple(r["p"]) for r in rows}
+    return found if len(keys) > 1 else found[keys[0]]
+
+
+TRIPLES = [("E", "MEDIUM", "a"), ("F", "LARGE", "b"), ("E", "LARGE", "c"), ("E", "LARGE", "d"), ("F", "MEDIUM", "e")]
+SCHEMA = ["LARGE", "MEDIUM", "WARRANTY"]
+
+
+def test_perturb_misspells_a_used_field_of_the_first_entity(spark):
+    seen = set()
+    keys = [f"k{k}" for k in range(12)]
+    found = _perturbed(spark, TRIPLES, SCHEMA, keys)
+    assert _perturbed(spark, TRIPLES, SCHEMA, keys[3:4]) == found["k3"]  # nothing but seed and key decides
+    for wrong, desc, kind in found.values():
+        before, after = json.loads(_py_relations_json(TRIPLES)), json.loads(wrong)
+        assert kind == "misspell" and list(after) == ["E", "F"] and after["F"] == before["F"]
+        old = next(f for f in before["E"] if f not in after["E"])
+        new = list(after["E"])[-1]  # goes to the end
+        assert after["E"][new] == before["E"][old] and len(new) == len(old)
+        [(x, y)] = [(a, b) for a, b in zip(old, new, strict=True) if a != b]
+        assert ord(y) - ord(x) in (1, -1, 2)
+        assert desc == f"字段名 '{old}' 被错误写成了 '{new}'"
+        seen.add((old, ord(y) - ord(x)))
+    assert len(seen) > 3
+
+
+def test_perturb_other_kinds(spark):
+    before = json.loads(_py_relations_json(TRIPLES))
+    wrong, desc, kind = _perturbed(spark, TRIPLES, SCHEMA, kinds=("drop", "extra"))
+    [gone] = set(before["E"]) - set(json.loads(wrong)["E"])
+    assert kind == "drop" and desc == f"缺少字段 '{gone}'" and not any(gone in v for v in json.loads(wrong).values())
+    wrong, desc, kind = _perturbed(spark, TRIPLES, ["WARRANTY"])
+    [host] = [e for e, v in json.loads(wrong).items() if "WARRANTY" in v]
+    assert kind == "extra" and f"'{host}'" in desc and json.loads(wrong)[host]["WARRANTY"] == "这是一个不正确的值"
+    wrong, desc, kind = _perturbed(spark, TRIPLES, [])
+    assert kind == "to_list" and json.loads(wrong)["E"]["MEDIUM"] == ["a", "多余值"] and json.loads(wrong)["F"] == before["F"]
+    assert _perturbed(spark, [("E", "r", "a"), ("E", "r", "b")], []) is None  # no single value
+    assert _perturbed(spark, [], ["x"]) is None
+    assert _perturbed(spark, TRIPLES, None)[2] == "to_list"
+    assert _perturbed(spark, TRIPLES, SCHEMA, kinds=()) is None
+
+
+def test_perturb_edge_names(spark):
+    # one character: the name stays and moves to the end
+    assert json.loads(_perturbed(spark, [("E", "r", "a"), ("E", "zz", "b")], ["r"])[0]) == {"E": {"zz": "b", "r": "a"}}
+    for name in ("关系", "😀😁", "a\"b", "\ud7ff\ud7ff"):  # code points of any width; past the surrogates
+        wrong, _, kind = _perturbed(spark, [("E", name, "a")], [name])
+        [new] = json.loads(wrong)["E"]
+        assert kind == "misspell" and len(new) == len(name) and new != name and new.encode()
+    # the wrong name is there already: it takes the value, in its place
+    taken = [("E", "bb", "a"), *[("E", c, c) for c in ("ab", "cb", "db", "ba", "bc", "bd")]]
+    wrong, desc, _ = _perturbed(spark, taken, ["bb"])
+    new = desc.split("'")[3]
+    want = {c: c for c in ("ab", "cb", "db", "ba", "bc", "bd")} | {new: "a"}
+    assert json.loads(wrong)["E"] == want and list(json.loads(wrong)["E"]) == list(want)
+
+
+def test_a_record_of_many_fields_stays_cheap(spark):
+    rels = [(f"e{i % 50}", f"f{i % 5000}", f"t{i}") for i in range(10_000)]
+    df = spark.createDataFrame([([{"head": h, "relation": r, "tail": t} for h, r, t in rels],)], f"rel {REL}")
+    start = time.time()
+    assert df.select(relations_json(F.col("rel"))).first()[0] == _py_relations_json(rels)
+    assert time.time() - start < 20  # filters for each entity and field took minutes
 
 
 def test_global_index_is_dense_and_partition_invariant(spark):
