@@ -1,8 +1,9 @@
 """Tokenizer and token-level training-data queries.
 
-These are not expressible in DuckDB (the GPT-2 pre-tokenizer needs
-look-ahead, BPE training is iterative), so they are checked by golden unit
-tests against brute-force implementations and registered without oracle SQL.
+Pre-tokens, pair counts and the round trip have oracle SQL.  Training has none:
+a recursive query would count all pairs of all words anew for each of 6,143
+merges.  What rests on the merges is checked by unit tests against brute-force
+implementations.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ from quarry.operators.sample import global_index
 from quarry.plans.chat import normalized as conv_normalized
 from quarry.plans.corpus import annotated
 from quarry.session import cut_lineage
+from quarry.sources.tables import read_table
 
 EOS = ch.EOS_TOKEN
 SPECIALS = [EOS]
-VOCAB_SIZE = 256 + 256 + len(SPECIALS)  # a parameter; see README for the pace of larger ones
+VOCAB_SIZE = 6400  # 256 bytes, 6,143 merges and the special token
 MAX_LENGTH = 512
 WINDOW = 64
 CONTEXT, MAX_NEW = 256, 64
@@ -38,8 +40,11 @@ def corpus(spark, sf_dir):
 
 
 def model(spark, sf_dir):
-    """Trained (vocab, merges) for this table set, memoised per session."""
-    key = (id(spark), sf_dir, VOCAB_SIZE)
+    """Trained (vocab, merges) for this table set, kept while the application
+    runs and the files of the table stay the same."""
+    files = read_table(spark, sf_dir, "documents").select("_metadata.*")
+    state = files.agg(F.max("file_modification_time"), F.max("file_size"), F.count(F.lit(1))).first()
+    key = (spark.sparkContext.applicationId, sf_dir, VOCAB_SIZE, tuple(state))
     if key not in _MODELS:
         counts = bpe.pretoken_counts(corpus(spark, sf_dir), "text", SPECIALS)
         _MODELS[key] = bpe.train_bpe(counts, VOCAB_SIZE, SPECIALS)
@@ -71,9 +76,10 @@ def q_bpe_vocab(spark, sf_dir):
 
 
 def encoded(spark, sf_dir):
+    """Documents with their ids, by the table of distinct pre-tokens."""
     vocab, merges = model(spark, sf_dir)
-    c = corpus(spark, sf_dir)
-    return c.withColumn("ids", bpe.encode_column(spark, F.col("text"), vocab, merges, SPECIALS))
+    c = cut_lineage(corpus(spark, sf_dir).withColumn("row", F.xxhash64("text")))
+    return bpe.encode_texts(c, "text", ["doc_id", "row"], vocab, merges, SPECIALS)
 
 
 def q_corpus_encode(spark, sf_dir):
@@ -82,12 +88,14 @@ def q_corpus_encode(spark, sf_dir):
 
 
 def q_token_stats(spark, sf_dir):
-    e = encoded(spark, sf_dir)
-    return e.groupBy("split").agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.sum(F.size("ids")).cast("bigint").alias("num_tokens"),
-        F.max(F.array_max("ids")).alias("max_token_id"),
-    ).withColumn("vocab_size", F.lit(VOCAB_SIZE))
+    """Needs no ids per document: the distinct pre-tokens of a split, their
+    numbers and their ids say it all."""
+    vocab, merges = model(spark, sf_dir)
+    c = corpus(spark, sf_dir)
+    counts = c.select("split", F.explode(bpe.pretoken_array(F.col("text"), SPECIALS)).alias("token")).groupBy("split", "token").agg(F.count(F.lit(1)).alias("count"))
+    t = bpe.coded_tokens(counts, vocab, merges, SPECIALS).groupBy("split").agg(
+        F.sum(F.col("count") * F.size("ids")).alias("num_tokens"), F.max(F.array_max("ids")).alias("max_token_id"))
+    return c.groupBy("split").agg(F.count(F.lit(1)).alias("documents")).join(t, "split", "left").withColumn("vocab_size", F.lit(VOCAB_SIZE))
 
 
 def q_roundtrip(spark, sf_dir):

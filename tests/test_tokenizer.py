@@ -114,3 +114,26 @@ def test_pack_windows_shift(spark):
     assert sft.pack_windows(docs8, "doc_id", "ids", L).count() == 1  # 8 tokens: the second y would need a 9th
     docs2 = spark.createDataFrame([(0, list(range(L + 1)))], "doc_id long, ids array<int>")
     assert sft.pack_windows(docs2, "doc_id", "ids", L).count() == 1
+
+
+def test_encoding_by_distinct_tokens_equals_the_row_wise_encoder(spark):
+    texts = [*TEXT, *TEXT, "", None, "   \n\n x  ", "<|endoftext|>", "!!<|endoftext|><|endoftext|> a", "the " * 500, "日本語。" * 30, "it's 'll  it's"]
+    df = spark.createDataFrame([(i, i % 2, t) for i, t in enumerate(texts)], "a long, b long, text string").repartition(3)
+    vocab, merges = bpe.train_bpe(bpe.pretoken_counts(df, "text", SPECIALS), 256 + 40 + 1, SPECIALS)
+    plain = bpe.Encoder(vocab, merges, SPECIALS)
+    for share in (1, 20, 10**9):  # no, some and all pre-tokens are frequent
+        got = {r["a"]: r["ids"] for r in bpe.encode_texts(df, "text", ["a", "b"], vocab, merges, SPECIALS, hot_share=share).collect()}
+        assert got == {i: plain.encode(t) for i, t in enumerate(texts)}, share
+    assert bpe.encode_texts(df.limit(0), "text", ["a"], vocab, merges, SPECIALS).count() == 0
+
+
+def test_pair_index_serves_merges_of_merges(spark):
+    """The index is made once for all merges, so later ones are looked up by
+    the stretch they stand for."""
+    texts = ["abcdefgh abcdefgh abcdefg abcdef abcde abcd abc ab\\n", "bcdefgh xabcdefghx aabbaabb aaaaaaaa ababababab\\n", *TEXT]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = bpe.pretoken_counts(df, "text")
+    want = brute_bpe(texts, 256 + 70, [])
+    for every in (1, 10_000):
+        _, merges = bpe.train_bpe(counts, 256 + 70, (), checkpoint_every=every)
+        assert merges == want
