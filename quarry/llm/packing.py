@@ -74,17 +74,24 @@ def coder_of(key: str, spec: str, pattern: str) -> Coder:
     return _CODERS[key]
 
 
-def tokenized(docs: DataFrame, vocabulary: str, pattern: str, size: int, end: int, key: str, text: str) -> DataFrame:
-    """Ids (little-endian unsigned 32-bit, with the end token), the task, and
-    how many rows of the same left-over length, and whole sequences of such
-    rows, the task had before."""
-    with open(vocabulary, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: bounded
-    name = uuid.uuid4().hex
+def width(spec: str, end: int) -> str:
+    """The narrowest stored kind of id: two bytes where the vocabulary allows."""
+    said = json.loads(spec)
+    largest = max([end, *said["model"]["vocab"].values(), *(t["id"] for t in said.get("added_tokens", []))])
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
+def tokenized(docs: DataFrame, spec: str, pattern: str, size: int, end: int, key: str, text: str) -> DataFrame:
+    """Ids (little-endian, as wide as :func:`width` says, with the end token),
+    the task, and how many rows of the same left-over length, and whole
+    sequences of such rows, the task had before."""
+    shared = docs.sparkSession.sparkContext.broadcast(spec)  # a vocabulary file: bounded
+    name, kind = uuid.uuid4().hex, width(spec, end)
+    each = int(kind[2])
     chosen = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     zero = F.lit(0).cast("long")
     schema = chosen.select("key", F.lit(0).alias("part"), F.lit(0).alias("rest"), zero.alias("nth"), zero.alias("whole"), zero.alias("doc_tokens"), F.lit(b"").cast("binary").alias("ids")).schema
-    tail = int(end).to_bytes(4, "little")
+    tail = int(end).to_bytes(each, "little")
 
     def run(batches):
         from quarry.llm.packing import coder_of  # the worker's module, whose coder stays
@@ -92,8 +99,8 @@ def tokenized(docs: DataFrame, vocabulary: str, pattern: str, size: int, end: in
         code, part = coder_of(name, shared.value, pattern), TaskContext.get().partitionId()
         rows_of, whole_of = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in slices(batches, "text"):
-            ids = [np.array(code(s) if s else [], "<u4").tobytes() + tail for s in batch.column("text").to_pylist()]
-            tokens = np.array([len(b) // 4 for b in ids], np.int64)
+            ids = [np.array(code(s) if s else [], kind).tobytes() + tail for s in batch.column("text").to_pylist()]
+            tokens = np.array([len(b) // each for b in ids], np.int64)
             rest, nth, whole = tokens % size, np.empty(len(ids), np.int64), np.empty(len(ids), np.int64)
             for i, (r, n) in enumerate(zip(rest.tolist(), (tokens // size).tolist(), strict=True)):
                 nth[i], whole[i] = rows_of[r], whole_of[r]
@@ -161,7 +168,10 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, size: int = 1024, end:
     tokens before it), ``length``, ``ids`` (little-endian unsigned 32-bit),
     ``doc_tokens``, ``sequence_id`` and ``offset``."""
     scratch = Scratch(docs.sparkSession, "packing")
-    coded = scratch.write(tokenized(docs, vocabulary, pattern, size, end, key, text), "tokens")
+    with open(vocabulary, encoding="utf-8") as f:
+        spec = f.read()
+    kind = width(spec, end)
+    coded = scratch.write(tokenized(docs, spec, pattern, size, end, key, text), "tokens")
     counts = coded.groupBy("part", "rest").agg(F.count(F.lit(1)).alias("n"), F.sum(F.call_function("div", "doc_tokens", F.lit(size))).alias("w"))
     before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("part", "rest", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_first") for c in ("n", "w")])
@@ -184,18 +194,19 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, size: int = 1024, end:
             whole = own[rest] + batch.column("whole").to_numpy() + batch.column("w_first").to_numpy()
             row, made = [], []
             for i, (b, r, fits, s, p, w) in enumerate(zip(batch.column("ids").to_pylist(), rest.tolist(), inside.tolist(), sequence.tolist(), place.tolist(), whole.tolist(), strict=True)):
-                full = len(b) // 4 - r
+                ids = np.frombuffer(b, kind).astype("<u4")
+                full = len(ids) - r
                 pieces = [(w + k, 0, size) for k in range(full // size)]
                 if r:
                     pieces += [(s, p, r)] if fits else places.cuts(p, r)
                 start = 0
                 for sequence_id, offset, length in pieces:
                     row.append(i)
-                    made.append((start, length, b[4 * start : 4 * (start + length)], sequence_id, offset))
+                    made.append((start, length, ids[start : start + length].tobytes(), sequence_id, offset))
                     start += length
-            starts, lengths, ids, sequences, offsets = zip(*made, strict=True)
+            starts, lengths, pieces_ids, sequences, offsets = zip(*made, strict=True)
             keep = pa.array(row, pa.int64())
-            columns = [batch.column("key").take(keep), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()), batch.column("doc_tokens").take(keep), pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64())]
+            columns = [batch.column("key").take(keep), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(pieces_ids, pa.binary()), batch.column("doc_tokens").take(keep), pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     placed = coded.join(firsts, ["part", "rest"]).select("key", "rest", "nth", "whole", "n_first", "w_first", "doc_tokens", "ids")
