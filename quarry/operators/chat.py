@@ -4,6 +4,9 @@ the per-conversation turn array (a conversation is one row)."""
 
 from __future__ import annotations
 
+import random
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,15 +69,42 @@ def normalize_conversations(df: DataFrame, col: str = "conversations") -> DataFr
     )
 
 
+def replayed_choice(index: Column, ratio: float, prompts: list, seed: int) -> Column:
+    """The system prompt that Python's generator, seeded with ``seed`` + line
+    index, draws for a sample; null if it draws none.  An Arrow UDF over the
+    index alone: Spark has no Mersenne Twister."""
+
+    @F.pandas_udf("string")
+    def choose(at: pd.Series) -> pd.Series:
+        def one(i):
+            if pd.isna(i):
+                return None
+            rng = random.Random(seed + int(i))
+            return rng.choice(prompts) if rng.random() < ratio else None
+
+        return at.map(one).astype(object)
+
+    return choose(index)
+
+
 def inject_system(df: DataFrame, ratio: float, prompts=None, seed: int = 42, key: str = "conv_id",
-                  col: str = "conversations") -> DataFrame:
+                  col: str = "conversations", compat: bool = False) -> DataFrame:
     """With probability ``ratio`` (a hash draw of seed and key) prepend a
-    system turn chosen by another draw, unless the first turn is system."""
+    system turn chosen by another draw, unless the first turn is system.
+
+    ``compat``: draw as a generator seeded with ``seed`` + ``key`` does, where
+    ``key`` is the line index of the sample (``io.sft_index``)."""
     prompts = list(DEFAULT_SYSTEM_PROMPTS if prompts is None else prompts)
     conv = F.col(col)
     if ratio <= 0 or not prompts:
         return df.withColumn("system_injected", F.lit(False))
     first_is_system = F.try_element_at(conv, F.lit(1))["role"] == "system"
+    if compat:
+        may = conv.isNotNull() & (F.size(conv) > 0) & ~F.coalesce(first_is_system, F.lit(False))
+        d = df.withColumn("_prompt", replayed_choice(F.when(may, F.col(key).cast("long")), ratio, prompts, seed))
+        turn = F.struct(F.lit("system").alias("role"), F.col("_prompt").alias("content"))
+        return d.withColumn("system_injected", F.col("_prompt").isNotNull()).withColumn(
+            col, F.when(F.col("system_injected"), F.concat(F.array(turn), conv)).otherwise(conv)).drop("_prompt")
     do = conv.isNotNull() & (F.size(conv) > 0) & ~first_is_system & (uniform(seed, F.col(key), "system") < F.lit(ratio))
     choice = F.element_at(F.array(*[F.lit(p) for p in prompts]), (bucket(seed, F.col(key), len(prompts), "system_pick") + 1).cast("int"))
     turn = F.struct(F.lit("system").alias("role"), choice.alias("content"))

@@ -3,63 +3,72 @@ labels, batch padding, packed next-token windows, history truncation."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from quarry.functions.draw import draw
+from quarry.functions.jsonfmt import let
 
 IGNORE = -100
 
 
-def occurrences(ids: np.ndarray, pattern: np.ndarray) -> np.ndarray:
-    """Every place where ``pattern`` starts in ``ids``."""
-    n = len(ids) - len(pattern) + 1
-    if n < 1:
-        return np.zeros(0, np.int64)
-    hit = np.ones(n, bool)
-    for k, value in enumerate(pattern.tolist()):
-        hit &= ids[k : k + n] == value
-    return np.flatnonzero(hit)
+def occurrences(ids: Column, n: Column, pattern: list) -> Column:
+    """Every place (from 0) where ``pattern`` starts in ``ids`` of ``n`` entries."""
+    here = lambda i: reduce(and_, (F.get(ids, i + k) == F.lit(int(v)) for k, v in enumerate(pattern)))
+    some = F.filter(F.sequence(F.lit(0), F.greatest(n - len(pattern), F.lit(0))), here)
+    return F.when(n >= len(pattern), some).otherwise(F.array().cast("array<int>"))
 
 
-def target_spans(ids: np.ndarray, header: np.ndarray, boundary: np.ndarray, max_length: int):
+def answer_spans(ids: Column, n: Column, header: list, boundary: list, max_length: int) -> Column:
     """(start, end) of each assistant answer: from after a header through the
-    next boundary, or to the end; a header inside an answer opens none."""
-    heads, ends, free = occurrences(ids, header), occurrences(ids, boundary), 0
-    for start in (heads + len(header)).tolist():
-        if start - len(header) < free:
-            continue
-        k = int(np.searchsorted(ends, start))
-        free = len(ids) if k == len(ends) else max(start, min(int(ends[k]) + len(boundary), max_length))
-        yield start, free
+    next boundary, or to the end; a header inside an answer opens none.
 
+    One fold from the right gives every header its next boundary, one from the
+    left keeps the headers outside answers."""
+    # a header counts by the place after it; of ties the boundary comes first from the right
+    heads = F.transform(occurrences(ids, n, header), lambda i: F.struct((i + len(header)).alias("at"), F.lit(0).alias("end")))
+    ends = F.transform(occurrences(ids, n, boundary), lambda i: F.struct(i.alias("at"), F.lit(1).alias("end")))
+    none = F.array().cast("array<struct<start:int,end:int>>")
 
-def loss_labels(ids, header, boundary, max_length, pad_id, label_eos=False):
-    """Labels are the ids inside the answers, else -100.  Pad positions (pad =
-    EOS id) are never targets unless ``label_eos``."""
-    if not len(header) or not len(boundary):
-        raise ValueError("header and boundary must not be empty")
-    ids, header, boundary = (np.asarray(x, np.int64) for x in (ids, header, boundary))
-    chosen = np.zeros(len(ids), bool)
-    for start, end in target_spans(ids, header, boundary, max_length):
-        chosen[start:end] = True
-    if not label_eos:
-        chosen &= ids != pad_id
-    return np.where(chosen, ids, IGNORE).tolist()
+    def next_end(acc, e):
+        met = F.array(F.struct(e["at"].alias("start"), acc["next"].alias("end")))
+        return F.when(e["end"] == 1, F.struct(e["at"].alias("next"), acc["heads"].alias("heads"))).otherwise(F.struct(acc["next"].alias("next"), F.concat(met, acc["heads"]).alias("heads")))
+
+    def outside(acc, h):
+        end = F.when(h["end"].isNull(), F.greatest(n, h["start"])).otherwise(F.greatest(h["start"], F.least(h["end"] + len(boundary), F.lit(max_length))))
+        opened = F.struct(end.alias("free"), F.concat(acc["spans"], F.array(F.struct(h["start"].alias("start"), end.alias("end")))).alias("spans"))
+        return F.when(h["start"] - len(header) >= acc["free"], opened).otherwise(acc)
+
+    from_right = F.aggregate(F.reverse(F.array_sort(F.concat(ends, heads))), F.struct(F.lit(None).cast("int").alias("next"), none.alias("heads")), next_end, lambda acc: acc["heads"])
+    return F.aggregate(from_right, F.struct(F.lit(0).alias("free"), none.alias("spans")), outside, lambda acc: acc["spans"])
 
 
 def labels_column(ids: Column, header: list, boundary: list, max_length: int, pad_id: int, label_eos: bool = False) -> Column:
+    """Labels are the ids inside the answers, else -100.  Pad positions (pad =
+    EOS id) are never targets unless ``label_eos``.  Native: the answers become
+    one array of flags as long as the ids."""
     header, boundary = list(header), list(boundary)
     if not header or not boundary:
         raise ValueError("header and boundary must not be empty")
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _lab(s: pd.Series) -> pd.Series:
-        return s.map(lambda a: None if a is None else loss_labels(a, header, boundary, max_length, pad_id, label_eos))
+    def flags(spans, n):
+        def stretch(s, j):
+            before = F.coalesce(F.get(spans, j - 1)["end"], F.lit(0))
+            return F.concat(F.array_repeat(F.lit(False), s["start"] - before), F.array_repeat(F.lit(True), F.least(s["end"], n) - F.least(s["start"], n)))
+
+        end = F.coalesce(F.get(spans, F.size(spans) - 1)["end"], F.lit(0))
+        return F.concat(F.flatten(F.transform(spans, stretch)), F.array_repeat(F.lit(False), n - end))
 
-    return _lab.asNondeterministic()(ids)
+    def labelled(a):
+        n = F.size(a)
+        chosen = let(answer_spans(a, n, header, boundary, max_length), lambda spans: flags(spans, n))
+        return F.zip_with(a, chosen, lambda x, inside: F.when(inside & (F.lit(label_eos) | (x != pad_id)), x).otherwise(F.lit(IGNORE)))
+
+    return F.when(ids.isNotNull(), let(ids, labelled))
 
 
 def pad_truncate(ids: Column, max_length: int, pad_id: int) -> Column:
@@ -133,25 +142,49 @@ def pack_windows(docs: DataFrame, order: str, ids: str, length: int, bucket_widt
     rows, not one row per token); the regrouping by window is the only
     data-sized shuffle and every group holds at most L + 1 tokens."""
     L = length
+    g = token_blocks(docs, order, ids, L, 1, bucket_width).filter(F.size("tokens") == L + 1)
+    return g.select(F.col("block").alias("window"), F.slice("tokens", 1, L).alias("x"), F.slice("tokens", 2, L).alias("y"))
+
+
+def token_blocks(docs: DataFrame, order: str, ids: str, width: int, more: int = 0, bucket_width: int | None = None) -> DataFrame:
+    """All token ids in ``order``, cut into blocks of ``width``: ``(block,
+    tokens)``, each with up to ``more`` tokens of the next block."""
     d = docs.withColumn("_n", F.size(ids))
     d = prefix_sums(d, order, "_n", bucket_width, "_off").filter(F.col("_n") > 0)
-    first_w = F.greatest(F.floor((F.col("_off") - 1) / L), F.lit(0))
-    last_w = F.floor((F.col("_off") + F.col("_n") - 1) / L)
     off, n = F.col("_off"), F.col("_n")
+    first = F.greatest(F.floor((off - more) / width), F.lit(0))
+    last_one = F.floor((off + n - 1) / width)
 
     def piece(w):
-        lo = F.greatest(w * L, off)
-        hi = F.least(w * L + L, off + n - 1)
-        return F.struct(w.alias("window"), lo.alias("start"),
+        lo = F.greatest(w * width, off)
+        hi = F.least(w * width + width + more - 1, off + n - 1)
+        return F.struct(w.alias("block"), lo.alias("start"),
                         F.slice(F.col(ids), (lo - off + 1).cast("int"), F.greatest(hi - lo + 1, F.lit(0)).cast("int")).alias("piece"))
 
     # slices are cut inside the array, so exploded rows carry only their slice
-    pieces = d.select(F.explode(F.transform(F.sequence(first_w, last_w), piece)).alias("p")).select("p.*")
+    pieces = d.select(F.explode(F.transform(F.sequence(first, last_one), piece)).alias("p")).select("p.*")
     pieces = pieces.filter(F.size("piece") > 0)
-    g = pieces.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("start", "piece"))).alias("_p"))
-    toks = F.flatten(F.transform("_p", lambda s: s["piece"]))
-    g = g.select("window", toks.alias("_t")).filter(F.size("_t") == L + 1)
-    return g.select("window", F.slice("_t", 1, L).alias("x"), F.slice("_t", 2, L).alias("y"))
+    g = pieces.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("start", "piece"))).alias("_p"))
+    return g.select("block", F.flatten(F.transform("_p", lambda s: s["piece"])).alias("tokens"))
+
+
+def sampled_windows(docs: DataFrame, order: str, ids: str, length: int, samples: DataFrame, seed: int, bucket_width: int | None = None) -> DataFrame:
+    """Next-token windows at random starts: for each row of ``samples`` (column
+    ``sample``) a start i drawn uniformly from [0, n - L - 1] of all n tokens in
+    ``order``, ``x = t[i : i+L]`` and ``y = t[i+1 : i+L+1]``.  None if there are
+    fewer than L + 1 tokens.
+
+    The tokens are cut into blocks of L + 1 that also hold the next block's
+    first L, so a window lies in the block of its start and meets it by an
+    equi-join on the block number, however many windows are drawn."""
+    L = length
+    total = docs.agg(F.sum(F.size(ids)).cast("long").alias("n")).scalar()
+    starts = samples.select("sample", F.pmod(draw(seed, F.col("sample"), "window"), F.nullif(F.greatest(total - L, F.lit(0)), F.lit(0))).alias("start"))
+    starts = starts.filter(F.col("start").isNotNull()).withColumn("block", F.floor(F.col("start") / (L + 1)))
+    blocks = token_blocks(docs, order, ids, L + 1, L, bucket_width)  # start + L is at most L + L places on
+    at = (F.col("start") - F.col("block") * (L + 1) + 1).cast("int")
+    met = starts.join(blocks, "block")
+    return met.select("sample", "start", F.slice("tokens", at, L).alias("x"), F.slice("tokens", at + 1, L).alias("y"))
 
 
 def last(values: Column, n: Column) -> Column:

@@ -8,9 +8,11 @@ implementations.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
-from quarry.functions.draw import draw
+from quarry.functions.draw import draw, draw_sql
 from quarry.operators import bpe
 from quarry.operators import chat as ch
 from quarry.operators import sft
@@ -51,6 +53,13 @@ def model(spark, sf_dir):
     return _MODELS[key]
 
 
+def byte_model(spark, sf_dir):
+    """The vocabulary before any merge: 256 bytes and the special token.  With
+    it every token-level result has SQL."""
+    vocab = {b: bytes([b]) for b in range(256)} | {256 + i: s.encode() for i, s in enumerate(SPECIALS)}
+    return vocab, []
+
+
 def id_hash(ids):
     """A digest of an id array, so that results show the ids themselves."""
     return F.sha2(F.array_join(ids, ","), 256)
@@ -75,43 +84,43 @@ def q_bpe_vocab(spark, sf_dir):
     return bpe.vocab_frame(spark, vocab, SPECIALS).select("id", "text", "is_special")
 
 
-def encoded(spark, sf_dir):
+def encoded(spark, sf_dir, trained=model):
     """Documents with their ids, by the table of distinct pre-tokens."""
-    vocab, merges = model(spark, sf_dir)
+    vocab, merges = trained(spark, sf_dir)
     c = cut_lineage(corpus(spark, sf_dir).withColumn("row", F.xxhash64("text")))
     return bpe.encode_texts(c, "text", ["doc_id", "row"], vocab, merges, SPECIALS)
 
 
-def q_corpus_encode(spark, sf_dir):
-    e = encoded(spark, sf_dir)
+def q_corpus_encode(spark, sf_dir, trained=model):
+    e = encoded(spark, sf_dir, trained)
     return e.select("doc_id", "split", F.size("ids").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_hash"))
 
 
-def q_token_stats(spark, sf_dir):
+def q_token_stats(spark, sf_dir, trained=model):
     """Needs no ids per document: the distinct pre-tokens of a split, their
     numbers and their ids say it all."""
-    vocab, merges = model(spark, sf_dir)
+    vocab, merges = trained(spark, sf_dir)
     c = corpus(spark, sf_dir)
     counts = c.select("split", F.explode(bpe.pretoken_array(F.col("text"), SPECIALS)).alias("token")).groupBy("split", "token").agg(F.count(F.lit(1)).alias("count"))
     t = bpe.coded_tokens(counts, vocab, merges, SPECIALS).groupBy("split").agg(
         F.sum(F.col("count") * F.size("ids")).alias("num_tokens"), F.max(F.array_max("ids")).alias("max_token_id"))
-    return c.groupBy("split").agg(F.count(F.lit(1)).alias("documents")).join(t, "split", "left").withColumn("vocab_size", F.lit(VOCAB_SIZE))
+    return c.groupBy("split").agg(F.count(F.lit(1)).alias("documents")).join(t, "split", "left").withColumn("vocab_size", F.lit(len(vocab)))
 
 
-def q_roundtrip(spark, sf_dir):
-    vocab, _ = model(spark, sf_dir)
-    e = encoded(spark, sf_dir).withColumn("decoded", bpe.decode_column(spark, F.col("ids"), vocab))
+def q_roundtrip(spark, sf_dir, trained=model):
+    vocab, _ = trained(spark, sf_dir)
+    e = encoded(spark, sf_dir, trained).withColumn("decoded", bpe.decode_column(spark, F.col("ids"), vocab))
     return e.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("decoded") != F.col("text")).alias("mismatches"))
 
 
-def q_clip_ids(spark, sf_dir):
-    e = encoded(spark, sf_dir)
-    limit = VOCAB_SIZE - len(SPECIALS)  # model embedding without the special slot
-    return e.select("doc_id", F.size("ids").alias("n_tokens"), F.size(ch.clip_ids(F.col("ids"), limit)).alias("n_kept"))
+def q_clip_ids(spark, sf_dir, trained=model):
+    e = encoded(spark, sf_dir, trained)
+    limit = len(trained(spark, sf_dir)[0]) * 3 // 4  # a model with fewer embeddings
+    return e.select("doc_id", F.size("ids").alias("n_tokens"), F.size(ch.clip_ids(F.col("ids"), limit)).alias("n_kept"), id_hash(ch.clip_ids(F.col("ids"), limit)).alias("ids_hash"))
 
 
-def sft_samples(spark, sf_dir):
-    vocab, merges = model(spark, sf_dir)
+def sft_samples(spark, sf_dir, trained=model):
+    vocab, merges = trained(spark, sf_dir)
     enc = bpe.Encoder(vocab, merges, SPECIALS)
     header = enc.encode(ch.ROLE_MARKERS["assistant"])
     boundary = enc.encode(EOS + "\n")
@@ -123,15 +132,15 @@ def sft_samples(spark, sf_dir):
     return r.withColumn("labels", sft.labels_column(F.col("input_ids"), header, boundary, MAX_LENGTH, pad)), pad
 
 
-def q_sft_labels(spark, sf_dir):
-    s, _ = sft_samples(spark, sf_dir)
+def q_sft_labels(spark, sf_dir, trained=model):
+    s, _ = sft_samples(spark, sf_dir, trained)
     return s.select("conv_id", F.size("_ids").alias("n_tokens"), F.size("input_ids").alias("length"), id_hash("labels").alias("labels_hash"),
                     F.size(F.filter("labels", lambda x: x != sft.IGNORE)).alias("n_labelled"),
                     sft.target_weight(F.col("labels")).alias("target_weight"))
 
 
-def q_prefix_labels(spark, sf_dir):
-    vocab, merges = model(spark, sf_dir)
+def q_prefix_labels(spark, sf_dir, trained=model):
+    vocab, merges = trained(spark, sf_dir)
     n = conv_normalized(spark, sf_dir).filter(F.col("invalid_reason").isNull())
     n = n.filter(F.try_element_at("conversations", F.lit(-1))["role"] == "assistant")
     conv = F.col("conversations")
@@ -144,8 +153,8 @@ def q_prefix_labels(spark, sf_dir):
     return d.select("conv_id", F.size(F.slice("full", 1, MAX_LENGTH)).alias("n_input"), F.size(F.filter(lab, lambda x: x != sft.IGNORE)).alias("n_labelled"))
 
 
-def q_pad_batches(spark, sf_dir):
-    s, pad = sft_samples(spark, sf_dir)
+def q_pad_batches(spark, sf_dir, trained=model):
+    s, pad = sft_samples(spark, sf_dir, trained)
     s = s.select("conv_id", F.slice("_ids", 1, MAX_LENGTH).alias("input_ids"), F.slice("labels", 1, F.least(F.size("_ids"), F.lit(MAX_LENGTH))).alias("labels"))
     s = s.withColumn("_d", draw(SEED, F.col("conv_id"), "batch"))
     idx = global_index(s, [], "_d", [F.col("conv_id")], "idx")
@@ -154,9 +163,9 @@ def q_pad_batches(spark, sf_dir):
                     id_hash("padded_labels").alias("labels_hash"), F.size(F.filter("attention_mask", lambda x: x)).alias("n_real"))
 
 
-def q_packed_windows(spark, sf_dir):
+def q_packed_windows(spark, sf_dir, trained=model):
     # encoded once; offsets and slices both read the written ids, of both splits
-    e = cut_lineage(encoded(spark, sf_dir).select("doc_id", "split", "ids"))
+    e = cut_lineage(encoded(spark, sf_dir, trained).select("doc_id", "split", "ids"))
     parts = [sft.pack_windows(e.filter(F.col("split") == s), "doc_id", "ids", WINDOW).withColumn("split", F.lit(s)) for s in ("train", "valid")]
     w = parts[0].union(parts[1])
     return w.select("split", "window", id_hash("x").alias("x_hash"), id_hash("y").alias("y_hash"), F.size("x").alias("n"), F.try_element_at("x", F.lit(1)).alias("x_first"),
@@ -165,11 +174,23 @@ def q_packed_windows(spark, sf_dir):
                              lambda z: z["a"] == z["b"]).alias("shift_ok"))
 
 
-def q_history_truncate(spark, sf_dir):
+def q_sampled_windows(spark, sf_dir, trained=model):
+    """As many windows as a split has documents, at random starts."""
+    e = cut_lineage(encoded(spark, sf_dir, trained).select("doc_id", "split", "ids"))
+    out = []
+    for s in ("train", "valid"):
+        own = e.filter(F.col("split") == s)
+        samples = own.select(F.col("doc_id").alias("sample"))
+        w = sft.sampled_windows(own.select("doc_id", "ids"), "doc_id", "ids", WINDOW, samples, SEED)
+        out.append(w.select(F.lit(s).alias("split"), "sample", "start", id_hash("x").alias("x_hash"), id_hash("y").alias("y_hash")))
+    return out[0].union(out[1])
+
+
+def q_history_truncate(spark, sf_dir, trained=model):
     """Chat-history truncation: keep the system turn, then the longest suffix
     of dialogue turns whose tokens fit ``context - max_new - 16``; hard cut of
     the prompt to ``context - max_new`` tokens."""
-    vocab, merges = model(spark, sf_dir)
+    vocab, merges = trained(spark, sf_dir)
     n = conv_normalized(spark, sf_dir).filter(F.col("invalid_reason").isNull())
     conv = F.col("conversations")
     has_sys = F.try_element_at(conv, F.lit(1))["role"] == "system"
@@ -203,8 +224,12 @@ QUERIES = {
     "prefix_labels": q_prefix_labels,
     "pad_batches": q_pad_batches,
     "packed_windows": q_packed_windows,
+    "sampled_windows": q_sampled_windows,
     "history_truncate": q_history_truncate,
 }
+#: The same queries over the vocabulary without merges.
+BYTES = ("corpus_encode", "token_stats", "clip_ids", "sft_labels", "prefix_labels", "pad_batches", "packed_windows", "sampled_windows", "history_truncate")
+QUERIES |= {f"byte_{name}": partial(QUERIES[name], trained=byte_model) for name in BYTES}
 
 
 def _pretokens_sql() -> str:
@@ -223,6 +248,81 @@ token AS (SELECT unnest(regexp_extract_all(s, '{cut}')) AS token FROM seg),
 words AS (SELECT token, count(*) AS count FROM token WHERE length(token) > 0 GROUP BY token)"""
 
 
+def _byte_sql() -> dict:
+    """Token-level results over the vocabulary of bytes (EOS: id 256)."""
+    from quarry.plans.chat import CONV_SQL, MARKER_SQL
+    from quarry.plans.corpus import annotated_sql
+
+    def ids(text: str) -> str:
+        one = "list_transform(regexp_extract_all(hex(encode(p)), '..'), lambda h: ('0x' || h)::INTEGER)"
+        return f"list_reduce(list_transform(string_split({text}, '{EOS}'), lambda p: {one}), lambda a, b: a || [256] || b)"
+
+    def hashed(x: str) -> str:
+        return f"sha256(array_to_string({x}, ','))"
+
+    def rendered(turns: str) -> str:
+        return f"array_to_string(list_transform({turns}, lambda x: {MARKER_SQL} || x.content || chr(10) || CASE WHEN x.role = 'assistant' THEN '{EOS}' || chr(10) ELSE '' END), '')"
+
+    head = ch.ROLE_MARKERS["assistant"].encode()
+    marker = f"'{ch.ROLE_MARKERS['assistant'].rstrip(chr(10))}' || chr(10)"
+    docs = f"""{annotated_sql()},
+e AS (SELECT doc_id, split, {ids("text_clean || chr(10)")} AS ids FROM kept)"""
+    # a place is labelled if a header ends before it and the next boundary after
+    # that header has not ended: headers of a rendered chat never lie in answers
+    samples = f"""{CONV_SQL},
+s0 AS (SELECT conv_id, {ids('body')} AS all_ids FROM rendered WHERE invalid_reason IS NULL),
+s AS (SELECT *, list_resize(all_ids[1:{MAX_LENGTH}], {MAX_LENGTH}, 256) AS input_ids FROM s0),
+places AS (SELECT conv_id, unnest(range(1, {MAX_LENGTH} + 1)) AS i, unnest(input_ids) AS id, input_ids FROM s),
+heads AS (SELECT conv_id, i + {len(head)} AS a FROM places WHERE id = {head[0]} AND input_ids[i:i + {len(head) - 1}] = {list(head)}),
+ends AS (SELECT conv_id, i AS e FROM places WHERE id = 256 AND input_ids[i + 1] = 10),
+spans AS (SELECT h.conv_id, a, coalesce(min(e) + 2, {MAX_LENGTH} + 1) AS z FROM heads AS h LEFT JOIN ends ON ends.conv_id = h.conv_id AND e >= a GROUP BY h.conv_id, a),
+flags AS (SELECT p.conv_id, p.i, any_value(p.id) AS id, count(a) > 0 AS inside FROM places AS p LEFT JOIN spans ON spans.conv_id = p.conv_id AND p.i >= a AND p.i < z GROUP BY p.conv_id, p.i),
+labelled AS (SELECT conv_id, list(CASE WHEN inside AND id <> 256 THEN id ELSE -100 END ORDER BY i) AS labels FROM flags GROUP BY conv_id),
+samples AS (SELECT s.*, labels FROM s JOIN labelled USING (conv_id))"""
+    used = CONTEXT - MAX_NEW - 16
+    return {
+        "corpus_encode": f"WITH {docs} SELECT doc_id, split, len(ids)::INTEGER AS n_tokens, {hashed('ids')} AS ids_hash FROM e",
+        "token_stats": f"WITH {docs} SELECT split, count(*) AS documents, sum(len(ids))::BIGINT AS num_tokens, max(list_max(ids)) AS max_token_id, 257 AS vocab_size FROM e GROUP BY split",
+        "clip_ids": f"""WITH {docs}, c AS (SELECT doc_id, ids, list_filter(ids, lambda x: x < {257 * 3 // 4}) AS k FROM e)
+SELECT doc_id, len(ids)::INTEGER AS n_tokens, len(k)::INTEGER AS n_kept, {hashed('k')} AS ids_hash FROM c""",
+        "sft_labels": f"""WITH {samples}
+SELECT conv_id, len(all_ids)::INTEGER AS n_tokens, len(input_ids)::INTEGER AS length, {hashed('labels')} AS labels_hash,
+  len(list_filter(labels, lambda x: x <> -100))::INTEGER AS n_labelled, len(list_filter(labels[2:], lambda x: x <> -100))::INTEGER AS target_weight FROM samples""",
+        "prefix_labels": f"""WITH {CONV_SQL}, f AS (
+  SELECT conv_id, {ids('body')} AS f, {ids(rendered('kept[1:len(kept) - 1]') + ' || ' + marker)} AS p FROM rendered WHERE invalid_reason IS NULL AND kept[-1].role = 'assistant')
+SELECT conv_id, least(len(f), {MAX_LENGTH})::INTEGER AS n_input, greatest(least(len(f), {MAX_LENGTH}) - len(p), 0)::INTEGER AS n_labelled FROM f WHERE len(f) >= 2""",
+        "pad_batches": f"""WITH {samples}, o AS (
+  SELECT conv_id, all_ids[1:{MAX_LENGTH}] AS ids, labels[1:least(len(all_ids), {MAX_LENGTH})] AS labels,
+    (row_number() OVER (ORDER BY {draw_sql(SEED, 'conv_id', 'batch')}, conv_id) - 1) // 4 AS batch_id FROM samples),
+m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS n FROM o)
+SELECT conv_id, batch_id, n::INTEGER AS padded_len, {hashed('list_resize(ids, n, 256)')} AS ids_hash, {hashed('list_resize(labels, n, -100)')} AS labels_hash, len(ids)::INTEGER AS n_real FROM m""",
+        "packed_windows": f"""WITH {docs}, t AS (
+  SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY doc_id, i) - 1 AS p FROM (SELECT split, doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM e)),
+w AS (
+  SELECT split, p // {WINDOW} AS "window", list(id ORDER BY p) AS x, list(y ORDER BY p) AS y
+  FROM (SELECT *, lead(id) OVER (PARTITION BY split ORDER BY p) AS y FROM t) WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) = {WINDOW})
+SELECT split, "window", {hashed('x')} AS x_hash, {hashed('y')} AS y_hash, len(x)::INTEGER AS n, x[1] AS x_first, y[1] AS y_first, x[2:] = y[1:{WINDOW - 1}] AS shift_ok FROM w""",
+        "sampled_windows": f"""WITH {docs}, t AS (
+  SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY doc_id, i) - 1 AS p FROM (SELECT split, doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM e)),
+n AS (SELECT split, count(*) AS n FROM t GROUP BY split),
+k AS (SELECT split, doc_id AS sample, ({draw_sql(SEED, 'doc_id', 'window')} % (n - {WINDOW}))::BIGINT AS start FROM e JOIN n USING (split) WHERE n > {WINDOW}),
+m AS (SELECT k.split, sample, start, list(id ORDER BY t.p) AS t FROM (SELECT *, unnest(range(start, start + {WINDOW} + 1)) AS p FROM k) AS k JOIN t ON t.split = k.split AND t.p = k.p GROUP BY k.split, sample, start)
+SELECT split, sample, start, {hashed(f't[1:{WINDOW}]')} AS x_hash, {hashed('t[2:]')} AS y_hash FROM m""",
+        "history_truncate": f"""WITH {CONV_SQL}, h AS (
+  SELECT conv_id, CASE WHEN kept[1].role = 'system' THEN kept[1:1] ELSE [] END AS system, CASE WHEN kept[1].role = 'system' THEN kept[2:] ELSE kept END AS dialogue FROM normalized WHERE invalid_reason IS NULL),
+c AS (
+  SELECT conv_id, i, sum(len({ids(rendered('[t]'))})) OVER (PARTITION BY conv_id ORDER BY i DESC) AS after
+  FROM (SELECT conv_id, unnest(dialogue) AS t, generate_subscripts(dialogue, 1) AS i FROM h)),
+k AS (
+  SELECT h.*, (SELECT count(*) FROM c WHERE c.conv_id = h.conv_id AND after + len({ids(rendered('system'))}) + {len(head)} <= {used}) AS n FROM h),
+q AS (SELECT *, system || dialogue[len(dialogue) - n + 1:] AS kept FROM k),
+r AS (SELECT *, {ids(rendered('kept') + ' || ' + marker)} AS ids FROM q),
+p AS (SELECT *, ids[greatest(len(ids) - {CONTEXT - MAX_NEW}, 0) + 1:] AS prompt FROM r)
+SELECT conv_id, len(dialogue)::INTEGER AS n_turns, n::INTEGER AS kept_turns, len(prompt)::INTEGER AS prompt_tokens, {hashed('prompt')} AS ids_hash,
+  sha256(array_to_string(list_transform(kept, lambda t: t.role || ':' || t.content), chr(10))) AS kept_hash FROM p""",
+    }
+
+
 def _oracle() -> dict:
     from quarry.plans.corpus import annotated_sql
 
@@ -233,7 +333,7 @@ h AS (SELECT hex(encode(token)) AS h, count FROM words),
 pairs AS (SELECT h, count, unnest(range(1, length(h) - 2, 2)) AS i FROM h WHERE length(h) >= 4)
 SELECT substr(h, i, 2) AS "left", substr(h, i + 2, 2) AS "right", CAST(sum(count) AS BIGINT) AS freq FROM pairs GROUP BY ALL""",
         "roundtrip": f"WITH {annotated_sql()} SELECT count(*) AS documents, 0::BIGINT AS mismatches FROM kept",
-    }
+    } | {f"byte_{name}": sql for name, sql in _byte_sql().items()}
 
 
 ORACLE = _oracle()

@@ -19,10 +19,10 @@ from quarry.sources import io
 def test_empty_patterns_are_refused():
     for header, boundary in (([], [1]), ([1], []), ([], [])):
         with pytest.raises(ValueError):
-            sft.loss_labels([1, 2, 3], header, boundary, 8, 0)
+            sft.labels_column(F.col("ids"), header, boundary, 8, 0)
 
 
-def test_labels_equal_a_plain_scan():
+def test_labels_equal_a_plain_scan(spark):
     r = random.Random(4)
 
     def plain(ids, header, boundary, limit, pad):
@@ -39,10 +39,12 @@ def test_labels_equal_a_plain_scan():
             at = b
         return out
 
-    for _ in range(300):
-        ids = [r.randrange(4) for _ in range(r.randrange(25))]
+    cases = [[r.randrange(4) for _ in range(r.randrange(25))] for _ in range(120)]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)] + [(-1, None)], "i int, ids array<int>")
+    for _ in range(10):
         args = ([r.randrange(4) for _ in range(r.randrange(1, 3))], [r.randrange(4) for _ in range(r.randrange(1, 3))], r.randrange(3, 30), 3)
-        assert sft.loss_labels(ids, *args) == plain(ids, *args)
+        got = {x["i"]: x["labels"] for x in df.withColumn("labels", sft.labels_column(F.col("ids"), *args)).collect()}
+        assert got == {i: plain(c, *args) for i, c in enumerate(cases)} | {-1: None}, args
 
 
 def test_encoder_equals_lowest_rank_first():

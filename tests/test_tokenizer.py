@@ -94,13 +94,20 @@ def test_decode_invalid_utf8_replaces(spark):
     assert out == bytes([0xE4, 0xB8]).decode("utf-8", errors="replace")
 
 
-def test_loss_labels_cases():
+def test_loss_labels_cases(spark):
     H, B, PAD = [9, 8], [7, 1], 7
+
+    def labels(ids, limit, label_eos=False):
+        df = spark.createDataFrame([(ids,)], "ids array<int>")
+        return df.select(sft.labels_column(F.col("ids"), H, B, limit, PAD, label_eos)).first()[0]
+
     ids = [5, 9, 8, 3, 4, 7, 1, 9, 8, 6]  # two assistant turns, second without a boundary
-    lab = sft.loss_labels(ids, H, B, 64, PAD)
+    lab = labels(ids, 64)
     assert lab == [-100, -100, -100, 3, 4, -100, 1, -100, -100, 6]
-    assert sft.loss_labels([1, 2, 3], H, B, 64, PAD) == [-100] * 3  # no header
-    assert sft.loss_labels([9, 8, 3, 7, 1], H, B, 4, PAD) == [-100, -100, 3, -100, -100]  # cut by max_length
+    assert labels(ids, 64, True) == [-100, -100, -100, 3, 4, 7, 1, -100, -100, 6]
+    assert labels([], 64) == []
+    assert labels([1, 2, 3], 64) == [-100] * 3  # no header
+    assert labels([9, 8, 3, 7, 1], 4) == [-100, -100, 3, -100, -100]  # cut by max_length
 
 
 def test_pack_windows_shift(spark):
@@ -137,3 +144,16 @@ def test_pair_index_serves_merges_of_merges(spark):
     for every in (1, 10_000):
         _, merges = bpe.train_bpe(counts, 256 + 70, (), checkpoint_every=every)
         assert merges == want
+
+
+def test_sampled_windows_equal_slices_of_the_whole(spark):
+    docs = spark.createDataFrame([(i, list(range(i * 100, i * 100 + n))) for i, n in enumerate([3, 0, 50, 1, 7, 0, 120, 2])], "doc_id long, ids array<int>")
+    whole = [x for r in docs.orderBy("doc_id").collect() for x in r["ids"]]
+    samples = spark.range(400).withColumnRenamed("id", "sample")
+    for L in (1, 4, 30, len(whole) - 1):
+        rows = sft.sampled_windows(docs, "doc_id", "ids", L, samples, 5).collect()
+        assert sorted(r["sample"] for r in rows) == list(range(400))
+        assert all(0 <= r["start"] <= len(whole) - L - 1 for r in rows)
+        assert all(r["x"] == whole[r["start"] : r["start"] + L] and r["y"] == whole[r["start"] + 1 : r["start"] + L + 1] for r in rows)
+        assert len({r["start"] for r in rows}) > min(100, (len(whole) - L) // 2)
+    assert sft.sampled_windows(docs, "doc_id", "ids", len(whole), samples, 5).count() == 0
