@@ -2,14 +2,16 @@
 
 Base kinds are leftmost non-overlapping pattern matches.  The method adds the
 kind ``random``: a run of key characters whose characters-per-token ratio
-under a public byte-level vocabulary is low, which natural words and names
-never are, after known digests (hex of a digest's length) and identifiers
-(UUIDs; paths, versions and names made of whole words or numbers) are left
-out.  One narrow pass; offsets are code points, ends exclusive.
+under a public byte-level vocabulary is low, which it hardly ever is for
+natural words and names, after known digests (hex of a digest's length) and
+identifiers (UUIDs; alphabets; paths, versions and names made of whole words or
+numbers) are left out.  One narrow pass; offsets are code points, ends exclusive.
 
 Defined cases: null text = empty text = no spans; overlapping spans of
 different kinds are all reported and redacted as one; repeated rows give
-repeated results; other columns pass through ``redact`` untouched.
+repeated results; an empty table gives an empty result; a very long text is
+read whole, and a long run costs no more than its length; other columns pass
+through ``redact`` untouched.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm import scan as segments
 from quarry.llm.ragged import slices
 
 KINDS = ("assign", "access", "hex", "random")
@@ -37,6 +40,8 @@ KEY_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.I)
 UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
 WHOLE = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)")
+#: Alphabets, from any letter on, once or again.
+ORDERED = re.compile(rf"(?:{'|'.join(''.join(chr(97 + (k + i) % 26) for i in range(26)) for k in range(26))})+[a-z]*", re.I)
 #: Characters per token below which a run counts as random.
 MAX_RATIO = 2.0
 
@@ -65,9 +70,14 @@ def known(run: str) -> bool:
 
 
 def is_random(run: str, enc: tiktoken.Encoding) -> bool:
-    if run.isalpha() and (run.islower() or run.isupper() or run.istitle()) or run.isdigit() or known(run):
+    """Few characters a token, and nothing known.  Letters of one case are no
+    exception; capitals are judged in lower case too, as the vocabulary has
+    most words in lower case."""
+    if run.isdigit() or known(run) or ORDERED.fullmatch(run):
         return False
-    return len(run) < MAX_RATIO * len(enc.encode_ordinary(run))
+    if len(run) >= MAX_RATIO * len(enc.encode_ordinary(run)):
+        return False
+    return not (run.isalpha() and run.isupper()) or len(run) < MAX_RATIO * len(enc.encode_ordinary(run.lower()))
 
 
 #: Pieces of a run: identifiers and digests stay whole and end a stretch.
@@ -77,28 +87,19 @@ LEAST = 20
 
 def maximal(values: list[float]) -> list[tuple[int, int]]:
     """(first, end) of all maximal stretches with a positive sum, in linear time."""
-    found: list[tuple[int, float, float, int]] = []  # first, sum before, sum after, an earlier one with a lower sum before
-    ends, total = [], 0.0
+    steps, lost = [], 0.0
     for i, v in enumerate(values):
-        total += v
-        if v <= 0:
-            continue
-        first, low = i, total - v
-        while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][1] >= low:
-                j = found[j][3]
-            if j < 0 or found[j][2] >= total:
-                break
-            first, low = found[j][:2]
-            del found[j:], ends[j:]
-        found.append((first, low, total, j))
-        ends.append(i + 1)
-    return [(f[0], e) for f, e in zip(found, ends, strict=True)]
+        if v > 0:
+            steps.append((i, i + 1, lost, v))
+            lost = 0.0
+        else:
+            lost -= v
+    return [(a, b) for a, b, _ in segments.maximal(steps)]
 
 
 def random_stretches(run: str, enc: tiktoken.Encoding) -> list[tuple[int, int]]:
-    """(start, end) of what is random in a run: all of it, or stretches of pieces."""
+    """(start, end) of what is random in a run: all of it, or stretches of
+    pieces, or, where a stretch is known, single pieces of it."""
     if is_random(run, enc):
         return [(0, len(run))]
     pieces = list(PIECE.finditer(run))
@@ -112,6 +113,8 @@ def random_stretches(run: str, enc: tiktoken.Encoding) -> list[tuple[int, int]]:
         a, b = pieces[first].start(), pieces[end - 1].end()
         if b - a >= LEAST and is_random(run[a:b], enc):
             out.append((a, len(run) if not run[b:].strip("=") else b))
+        else:
+            out += [p.span() for p in pieces[first:end] if len(p[0]) >= LEAST and is_random(p[0], enc)]
     return out
 
 

@@ -7,7 +7,7 @@ import public_tokenizers as P
 
 from quarry.llm import quality_rules, queries, secret_scan
 
-from .helpers import BLANKS, clashing, edge_docs
+from .helpers import BLANKS, SCHEMA, clashing, edge_docs
 
 
 def test_quality_counts(spark):
@@ -80,6 +80,32 @@ def test_random_strings_after_words():
     assert got == [[key, f"{other}=="], [], [], [], []]
 
 
+def test_random_strings_of_one_case():
+    r = random.Random(12)
+    for letters in (string.ascii_lowercase, string.ascii_uppercase):
+        for n, least in ((20, 0.85), (24, 0.9), (32, 0.95), (40, 0.95)):
+            keys = ["".join(r.choices(letters, k=n)) for _ in range(200)]
+            assert sum(bool(got) for got in random_spans(*keys)) >= least * len(keys)
+            glued = random_spans(*(f"/download/attachments/{k}/summary-of-it" for k in keys))
+            assert sum(any(k in s for s in own) for k, own in zip(keys, glued, strict=True)) >= least * len(keys)
+    natural = """Donaudampfschifffahrtsgesellschaft Geschwindigkeitsbegrenzung Rechtsschutzversicherungsgesellschaften
+        Kraftfahrzeughaftpflichtversicherung internationalization antidisestablishmentarianism otorhinolaryngological
+        anticonstitutionnellement precipitevolissimevolmente electroencefalografista desproporcionadamente INTERNATIONALIZATION
+        SUPERCALIFRAGILISTIC thequickbrownfoxjumpsoverthelazydog abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ
+        nopqrstuvwxyzabcdefghijklm aaaaaaaaaaaaaaaaaaaaaaaaa 12345678901234567890""".split()
+    assert random_spans(*natural) == [[]] * len(natural)
+
+
+def test_scan_of_an_empty_table_and_of_long_texts(spark):
+    path = P.path("byte_bpe_50k.tiktoken")
+    docs = clashing(edge_docs(spark))
+    assert secret_scan.scan(docs.limit(0), path, P.PATTERN).count() == 0
+    key = "Zx9fQ2mK7vTp3LwR8nYb5cHd"
+    long = spark.createDataFrame([(1, "word " * 200_000 + key + " a-b_c/" * 100_000, None, None, 0), (2, "ab/" * 300_000, None, None, 0)], SCHEMA)
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secret_scan.scan(long, path, P.PATTERN).collect()}
+    assert got == {1: [("random", 1_000_000, 1_000_000 + len(key))], 2: []}
+
+
 def test_maximal_stretches():
     r = random.Random(4)
     for _ in range(300):
@@ -102,4 +128,4 @@ def test_redaction():
 
 
 def test_every_query_is_registered():
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES} == set(range(1, 14))
