@@ -7,8 +7,8 @@ expectation-maximisation (forward-backward expected counts) on word counts.
 A text's score for a language is its words' log probabilities plus the
 language's prior; the answer is the most likely language.
 
-Learning reads a bounded sample of labelled rows (``max_docs``, in order of a
-hash of the id); scoring reads every row in one narrow pass.  Only piece
+Learning reads a bounded sample of each language's rows (about ``max_docs``, by
+a hash of the id), so a rare language is learnt too; scoring reads every row in one narrow pass.  Only piece
 counts (pieces x languages) come back to the driver.
 
 Defined cases: null text, or text without a letter: ``und`` with score 0; no
@@ -140,10 +140,13 @@ class Pieces:
         return out
 
 
-def sampled(docs: DataFrame, max_docs: int) -> DataFrame:
-    """At most ``max_docs`` ids of ``docs``, in order of a hash of the id; small
-    enough by this bound to be sent to every task."""
-    return docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
+def sampled(ids: DataFrame, label: str, per_class: int) -> DataFrame:
+    """About ``per_class`` rows of each class of ``ids`` (doc_id, ``label``),
+    all of a class that has no more: those whose hash of the id lies below the
+    class's share.  A rare class is learnt from as many rows as a frequent one."""
+    sizes = ids.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    unit = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    return ids.join(sizes, label).where(unit * F.col("__n") < per_class).drop("__n")
 
 
 def word_counts(docs: DataFrame, label: str, text: str) -> DataFrame:
@@ -172,12 +175,15 @@ class Model:
         self.langs, self.prior, self.table, self.pieces = langs, prior, table, pieces
 
 
-def fit(labelled: DataFrame, vocabulary: str, lang: str = "lang", text: str = "text", max_docs: int = 8_000) -> Model:
-    """Learn from ``labelled`` (doc_id, ``lang``, ``text``), of which at most
-    ``max_docs`` documents are read."""
+def fit(labelled: DataFrame, vocabulary: str, lang: str = "lang", text: str = "text", max_docs: int = 4_000) -> Model:
+    """Learn from ``labelled`` (doc_id, ``lang``, ``text``): about ``max_docs``
+    documents of each language, one text for an id and language."""
     spark = labelled.sparkSession
-    some = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    chosen = some.join(F.broadcast(sampled(some, max_docs)), "doc_id", "left_semi").select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    some = labelled.select("doc_id", F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
+    ids = sampled(some.select("doc_id", "lang").dropDuplicates(), "lang", max_docs)
+    met = some.join(ids, (some.doc_id.eqNullSafe(ids.doc_id)) & (some.lang == ids.lang), "left_semi")
+    chosen = met.groupBy("doc_id", "lang").agg(F.max_by("text", F.xxhash64("text")).alias("text")).select("lang", "text")
+    frequent = {r.lang: r.n for r in some.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # the model has a column for each language
     counts = cut_lineage(word_counts(chosen, "lang", "text"))
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
@@ -204,7 +210,7 @@ def fit(labelled: DataFrame, vocabulary: str, lang: str = "lang", text: str = "t
         np.add.at(table, (gathered.piece.to_numpy(), gathered.lang.to_numpy()), gathered.n.to_numpy())
         table /= table.sum(axis=0)
         table[-1] = FALLBACK
-    prior = np.log(np.array([totals[x] for x in langs], float) / max(1, sum(totals.values()))) if langs else np.zeros(1)
+    prior = np.log(np.array([frequent[x] for x in langs], float) / sum(frequent[x] for x in langs)) if langs else np.zeros(1)
     return Model(langs, prior, table, pieces)
 
 

@@ -1,27 +1,31 @@
 """Toxic passages by maximum-scoring segments.
 
 1. From a bounded sample of labelled documents, words get log-odds of the two
-   classes under an informative Dirichlet prior (the pooled counts); words
-   whose z-score is large on the toxic side form the lexicon.
-2. Every token scores its log-odds, any other token a fixed penalty, chosen so
-   that ordinary text drifts down.  One linear scan finds all maximal scoring
-   segments of a text.
+   classes under an informative Dirichlet prior (the pooled counts), shrunk
+   towards zero by their own uncertainty: all of it at half of ``MIN_Z``
+   standard errors, a quarter at ``MIN_Z``.
+2. Every token scores its log-odds less a drift, which words that the sample
+   lacks lose too; the drift makes ordinary text fall by as much as its gains.
+   One linear scan finds all maximal scoring segments of a text.
 3. Segment scores follow an extreme-value law on clean text: lambda solves
    E[exp(lambda s)] = 1 over the clean token scores, K is fitted on the best
    segments of clean documents.  A segment counts when its expected number by
    chance, K n exp(-lambda S), is small.
 4. The document score is a logistic function of its calibrated best segment
    and of the share and number of its significant ones, fitted on the part of
-   the sample that the lexicon did not see.
+   the sample that the lexicon did not see.  Each class is dealt to both parts;
+   a class of fewer than ``PARTS`` documents is in both with all of them.
 
 The lexicon part, the calibration part and the scored rows are handled in
-narrow passes; only word counts meet in a shuffle.  The bound on labelled rows
-is ``max_docs``; the lexicon and the calibration rows are bounded by it.
+narrow passes; only word counts meet in a shuffle.  The sample has about
+``max_docs`` documents, half of them of each class where there are as many,
+one text for an id; the lexicon and the calibration rows are bounded by it.
 
 Defined cases: null text = empty text = no segment, the score of a text
 without passages; no labelled rows, or one class only: score 0 for all;
 several labels of one document: toxic if any is; repeated rows give repeated
-results.
+results; an empty table gives an empty result; a very long text is scanned
+whole in linear time; other columns are read only when named in ``keep``.
 """
 
 from __future__ import annotations
@@ -30,13 +34,15 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.lang_id import lower_words, sampled, word_counts
 from quarry.llm.ragged import slices, span_hashes, word_hashes
+from quarry.llm.scan import maximal
+from quarry.session import cut_lineage
 
-#: z-score from which a word belongs to the lexicon, and the least documents' count of it.
+#: z-score at which a word's log-odds count by three quarters, and the least count of a word.
 MIN_Z, MIN_COUNT = 3.0, 3
 #: Expected number by chance below which a segment is significant.
 MAX_EXPECTED = 0.05
@@ -48,29 +54,18 @@ PARTS = 4
 
 def segments(scores: np.ndarray, at: np.ndarray, penalty: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first token, end, score) of a text whose
-    tokens ``at`` (ascending) score ``scores`` > 0 and all others -penalty.
-
-    Candidates are kept with the running totals before and after them; a new
-    one absorbs an earlier candidate whose start lies lower and whose end lies
-    lower still, else it stands alone.  Every candidate is absorbed once."""
-    out: list[list] = []  # first, end, total before, total after
-    total, last = 0.0, -1
+    tokens ``at`` (ascending) score ``scores``, of either sign, and all others
+    -penalty."""
+    steps, lost, last = [], 0.0, -1
     for i, s in zip(at.tolist(), scores.tolist(), strict=True):
-        total -= penalty * (i - last - 1)
-        first, low = i, total
-        total += s
-        high, last = total, i
-        end = i + 1
-        while out:
-            k = len(out) - 1
-            while k >= 0 and out[k][2] >= low:
-                k -= 1
-            if k < 0 or out[k][3] >= high:
-                break
-            first, low = out[k][0], out[k][2]
-            del out[k:]
-        out.append([first, end, low, high])
-    return [(a, b, high - low) for a, b, low, high in out]
+        lost += penalty * (i - last - 1)
+        last = i
+        if s > 0:
+            steps.append((i, i + 1, lost, s))
+            lost = 0.0
+        else:
+            lost -= s
+    return maximal(steps)
 
 
 class Lexicon:
@@ -159,27 +154,34 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 40)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", max_docs: int = 30_000) -> Model:
-    """Learn from ``labels`` (doc_id, ``label`` 0/1), at most ``max_docs``."""
+    """Learn from ``labels`` (doc_id, ``label`` 0/1), about ``max_docs`` of them."""
     spark = docs.sparkSession
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
-    chosen = known.join(F.broadcast(sampled(known, max_docs)), "doc_id", "left_semi")
-    rows = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").withColumn("part", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(PARTS)))
-    rows = rows.select(F.col("label").cast("long").alias("label"), "part", "text").persist()
-    counts = word_counts(rows.where("part > 0"), "label", "text").groupBy("word").agg(F.sum(F.when(F.col("label") > 0, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("label") > 0, 0).otherwise(F.col("n"))).alias("clean")).persist()
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max(label) > 0).cast("long").alias("label"))
+    known = docs.select("doc_id").where("doc_id is not null").join(known, "doc_id").dropDuplicates(["doc_id"])
+    chosen = sampled(known, "label", max_docs // 2)
+    # dealt by rank within a class, so both parts get both classes
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit("part")), "doc_id")) - 1
+    few = F.count(F.lit(1)).over(Window.partitionBy("label")) < PARTS
+    chosen = cut_lineage(chosen.select("doc_id", "label", (rank % PARTS == 0).alias("tunes"), few.alias("few")))
+    found = docs.select("doc_id", F.col(text).alias("text")).join(chosen, "doc_id").groupBy("doc_id", "label", "tunes", "few").agg(F.max_by("text", F.xxhash64("text")).alias("text"))
+    rows = found.select("label", (F.col("few") | F.col("tunes")).alias("tunes"), (F.col("few") | ~F.col("tunes")).alias("teaches"), "text").persist()
+    counts = word_counts(rows.where("teaches"), "label", "text").groupBy("word").agg(F.sum(F.when(F.col("label") > 0, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("label") > 0, 0).otherwise(F.col("n"))).alias("clean")).persist()
     n = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     n_toxic, n_clean = float(n[0] or 0), float(n[1] or 0)
     if not n_toxic or not n_clean:
         return Model(Lexicon([], np.zeros(0), 1.0), None)
-    # rarer words than the overall share of toxic tokens cannot reach the z-score
-    likely = counts.where((F.col("toxic") >= MIN_COUNT) & (F.col("toxic") * n_clean > F.col("clean") * n_toxic)).toPandas()
+    likely = counts.where(F.col("toxic") + F.col("clean") >= MIN_COUNT).toPandas()  # words of the bounded sample
     toxic, clean = likely.toxic.to_numpy(float), likely.clean.to_numpy(float)
     odds, z = log_odds(toxic, clean, n_toxic, n_clean)
-    keep = z >= MIN_Z
+    odds = odds * np.maximum(0.0, 1 - (MIN_Z / 2) ** 2 / np.maximum(z * z, 1e-12))
+    keep = odds != 0
     odds, share = odds[keep], (clean[keep] + 0.5) / (n_clean + 1)
-    # ordinary text loses twice what chance lexicon words gain
-    penalty = max(0.02, 2 * float((odds * share).sum()))
-    lexicon = Lexicon([bytes(w) for w in likely.word[keep]], odds, penalty)
-    lexicon.rate = _rate(odds, share, penalty) if keep.any() else 1.0
+    # ordinary text loses twice what chance words gain
+    gains = np.maximum(odds, 0.0)
+    penalty = max(0.02, 2 * float((gains * share).sum()))
+    scores = np.where(odds > 0, odds, odds - penalty)  # a gain is not lessened: the drift already weighs it
+    lexicon = Lexicon([bytes(w) for w in likely.word[keep]], scores, penalty)
+    lexicon.rate = _rate(scores, share, penalty) if (odds > 0).any() else 1.0
     held = spark.sparkContext.broadcast(lexicon)
 
     def best(batches):
@@ -189,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
             top = [max((s for _, _, s in found), default=0.0) for _, found in said]
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.int64()), pa.array([k for k, _ in said], pa.int64()), pa.array(top, pa.float64())], ["label", "n", "top"])
 
-    other = rows.where("part = 0")
+    other = rows.where("tunes")
     tops = other.mapInArrow(best, "label long, n long, top double").toPandas()  # at most max_docs rows
     ordinary = tops[(tops.label == 0) & (tops.n > 0)]
     if len(ordinary):  # K from the mean of K n exp(-lambda S), which is 1 for the best segment

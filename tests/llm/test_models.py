@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -116,6 +117,47 @@ def test_maximal_segments():
         assert np.allclose([x[2] for x in got], [x[2] for x in want])
 
 
+def test_segments_of_a_long_falling_text_are_linear():
+    n = 200_000
+    rng = np.random.default_rng(1)
+    at, scores = np.arange(0, 3 * n, 3), rng.random(n)
+    start = time.time()
+    assert len(toxicity.segments(scores, at, 5.0)) == n and len(toxicity.segments(scores, at, 0.26)) > 100
+    assert len(toxicity.segments(np.where(rng.random(n) < 0.5, scores, -scores), at, 0.01)) > 100
+    assert time.time() - start < 4
+
+
+def test_scores_of_either_sign():
+    r = random.Random(8)
+    for _ in range(200):
+        v = [r.choice((-0.3, 0.4)) if r.random() < 0.4 else r.uniform(-2, 2) for _ in range(r.randrange(1, 25))]
+        at = [i for i, x in enumerate(v) if x != -0.3]
+        got = toxicity.segments(np.array([v[i] for i in at]), np.array(at, int), 0.3)
+        assert [x[:2] for x in got] == [x[:2] for x in plain_segments(v)]
+
+
+def test_a_rare_class_is_learnt(spark):
+    """Three toxic rows of 400, whatever their ids; repeated ids count once."""
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(200)]
+    for trial in range(3):
+        toxic = set(r.sample(range(400), 3))
+        text = {i: " ".join(r.choices(words, k=60)) + (" vile scum vile filth scum vile" if i in toxic else "") for i in range(400)}
+        docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in text.items()] + [(1, text[1], None, None, 0)] * 50, SCHEMA)
+        labels = spark.createDataFrame([(i, int(i in toxic)) for i in range(400)], "doc_id long, toxic int")
+        got = {x.doc_id: x.score for x in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+        assert min(got[i] for i in toxic) > max(got[i] for i in text if i not in toxic), trial
+
+
+def test_a_rare_language_is_learnt(spark):
+    common = [(i, "the cat and the dog went over the hill " * 3, "en", None, 0) for i in range(3000)]
+    train = spark.createDataFrame([*common, (10_000, "der Hund und die Katze gingen über den Berg " * 3, "de", None, 0)], SCHEMA)
+    model = lang_id.fit(train, P.path("piece_bpe_32k.model"), max_docs=50)
+    assert model.langs == ["de", "en"]
+    test = spark.createDataFrame([(1, "die Katze und der Hund über dem Berg", None, None, 0), (2, "the dog and the cat", None, None, 0)], SCHEMA)
+    assert {r.doc_id: r.lang_pred for r in lang_id.identify(test, model).collect()} == {1: "de", 2: "en"}
+
+
 def test_toxicity_of_held_out_rows(spark, truth):
     got = queries.op3_toxicity(spark, "/root/testdata/sf0.1").collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
