@@ -2,8 +2,8 @@
 
 1. From a bounded sample of labelled documents, words get log-odds of the two
    classes under an informative Dirichlet prior (the pooled counts), shrunk
-   towards zero by their own uncertainty: all of it at half of ``MIN_Z``
-   standard errors, a quarter at ``MIN_Z``.
+   towards zero by their own uncertainty: all of it within ``MIN_Z`` standard
+   errors of zero, a quarter at twice that.
 2. Every token scores its log-odds less a drift, which words that the sample
    lacks lose too; the drift makes ordinary text fall by as much as its gains.
    One linear scan finds all maximal scoring segments of a text.
@@ -42,8 +42,8 @@ from quarry.llm.ragged import slices, span_hashes, word_hashes
 from quarry.llm.scan import maximal
 from quarry.session import cut_lineage
 
-#: z-score at which a word's log-odds count by three quarters, and the least count of a word.
-MIN_Z, MIN_COUNT = 3.0, 3
+#: z-score from which a word's log-odds count (more, the further above), and the least count of a word.
+MIN_Z, MIN_COUNT = 1.5, 3
 #: Expected number by chance below which a segment is significant.
 MAX_EXPECTED = 0.05
 #: Mass of the Dirichlet prior, as a share of the counted tokens.
@@ -124,6 +124,11 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: floa
     return odds, odds / np.sqrt(1 / a + 1 / b)
 
 
+def weight(z: np.ndarray) -> np.ndarray:
+    """How much of a word's log-odds counts: none within its noise."""
+    return np.maximum(0.0, 1 - MIN_Z**2 / np.maximum(z * z, 1e-12))
+
+
 def _rate(odds: np.ndarray, share: np.ndarray, penalty: float) -> float:
     """lambda > 0 with E[exp(lambda s)] = 1 over clean tokens."""
     rest = 1 - share.sum()
@@ -173,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     likely = counts.where(F.col("toxic") + F.col("clean") >= MIN_COUNT).toPandas()  # words of the bounded sample
     toxic, clean = likely.toxic.to_numpy(float), likely.clean.to_numpy(float)
     odds, z = log_odds(toxic, clean, n_toxic, n_clean)
-    odds = odds * np.maximum(0.0, 1 - (MIN_Z / 2) ** 2 / np.maximum(z * z, 1e-12))
+    odds = odds * weight(z)
     keep = odds != 0
     odds, share = odds[keep], (clean[keep] + 0.5) / (n_clean + 1)
     # ordinary text loses twice what chance words gain
