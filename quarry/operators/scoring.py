@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.jsonfmt import let
 from quarry.functions.text import py_strip
 
 # ---- fixed values ------------------------------------------------------------
@@ -237,15 +238,28 @@ def _enum_violations(p: Column, enums: Column, name_fn=lambda n: n) -> Column:
 
 
 def _last_per_key(arr: Column, key: str) -> Column:
-    """Keep the last element for each key (dict overwrite semantics)."""
-    return F.filter(arr, lambda x, i: ~F.exists(F.slice(arr, i + 2, F.greatest(F.size(arr), F.lit(1))), lambda y: y[key] == x[key]))
+    """Keep the last element for each key (dict overwrite semantics), in order
+    of their places; found by sorting."""
+    placed = F.array_sort(F.transform(arr, lambda x, i: F.struct(x[key].alias("key"), i.alias("i"), x.alias("x"))))
 
+    def last(rows):
+        kept = F.filter(rows, lambda t, at: ~F.coalesce(F.get(rows, at + 1)["key"] == t["key"], F.lit(False)))
+        return F.transform(F.array_sort(F.transform(kept, lambda t: F.struct(t["i"].alias("i"), t["x"].alias("x")))), lambda t: t["x"])
 
-def score(df: DataFrame, aliases: dict | None = None, with_value_match: bool = True) -> DataFrame:
+    return let(placed, last)
+
+
+def with_gold(prompts: DataFrame) -> DataFrame:
+    """Prompts with their gold output parsed, once for all models."""
+    return prompts.withColumn("gold_parsed", parse_output(F.col("gold_output")))
+
+
+def score(df: DataFrame, aliases: dict | None = None, with_value_match: bool = True, keep_parsed: bool = False) -> DataFrame:
     """Score ``outputs ⋈ prompts`` rows.  Needs columns ``output`` and
     ``required_fields``, ``allowed_fields`` (arrays), ``enum_constraints``
-    (map<string, array<string>>), optional ``gold_output``.  Adds the strict,
-    alias and stability results."""
+    (map<string, array<string>>), optional ``gold_output``, or ``gold_parsed``
+    of :func:`with_gold`.  Adds the strict, alias and stability results, and
+    ``parsed_output`` if it is to be kept for :func:`structural_quality`."""
     aliases = FIELD_ALIASES if aliases is None else aliases
     d = df.withColumn("clean_output", clean_output(F.col("output"))).withColumn("_p", parse_output(F.col("clean_output")))
     p = F.col("_p")
@@ -294,34 +308,51 @@ def score(df: DataFrame, aliases: dict | None = None, with_value_match: bool = T
         .withColumn("schema_strict_stab", ~unparsed & (F.size(miss_s) == 0) & (F.size(extra_s) == 0) & enum_ok)
         .withColumn("schema_strict_stab_alias", ~unparsed & (F.size(miss_sa) == 0) & (F.size(extra_sa) == 0) & enum_ok)
     )
-    if with_value_match and "gold_output" in df.columns:
-        d = d.withColumn("_g", parse_output(F.col("gold_output")))
-        d = d.withColumn("value_match", F.when(~unparsed & is_dict & (F.size("_g.entries") > 0), value_match(p, F.col("_g")))).drop("_g")
-    return d.drop("_p")
+    if with_value_match and ("gold_parsed" in df.columns or "gold_output" in df.columns):
+        d = d if "gold_parsed" in df.columns else with_gold(d)
+        gold = F.col("gold_parsed")
+        d = d.withColumn("value_match", F.when(~unparsed & is_dict & (F.size(gold["entries"]) > 0), value_match(p, gold))).drop("gold_parsed")
+    return d.withColumnRenamed("_p", "parsed_output") if keep_parsed else d.drop("_p")
+
+
+def paired(left: Column, right: Column, key: str, make) -> Column:
+    """``make(l, r)`` for every element of ``left``, in order, with the element
+    of ``right`` that has the same ``key`` (null: none).  Keys are unique in
+    each array.  Both are sorted into one array, where partners are neighbours."""
+    def tagged(side, values):
+        return F.transform(values, lambda x, i: F.struct(x[key].alias("key"), F.lit(side).alias("side"), i.alias("i"), x.alias("x")))
+
+    lefts = F.transform(tagged(0, left), lambda t: F.struct(t["key"].alias("key"), t["side"].alias("side"), t["i"].alias("i"), t["x"].alias("l"), F.lit(None).alias("r")))
+    rights = F.transform(tagged(1, right), lambda t: F.struct(t["key"].alias("key"), t["side"].alias("side"), t["i"].alias("i"), F.lit(None).alias("l"), t["x"].alias("r")))
+
+    def met(rows):
+        def one(t, at):
+            nxt = F.get(rows, at + 1)
+            return F.struct(t["side"].alias("side"), t["i"].alias("i"), make(t["l"], F.when((nxt["side"] == 1) & (nxt["key"] == t["key"]), nxt["r"])).alias("made"))
+
+        return F.transform(F.array_sort(F.filter(F.transform(rows, one), lambda t: t["side"] == 0)), lambda t: t["made"])
+
+    return let(F.array_sort(F.concat(lefts, rights)), met)
 
 
 def value_match(p: Column, gold: Column) -> Column:
     """Per gold field: parsed value equals gold (``str()`` forms), or for list
     vs list, gold's string set is a subset.  Gold entities missing from the
-    output (or not objects there) add nothing; keyed by field, last wins."""
-    pe = _obj_entries(p)
-
-    def per_gold_entity(ge):
-        hit = F.filter(pe, lambda e: e["key"] == ge["key"])
-        pfields = F.try_element_at(hit, F.lit(1))["fields"]
+    output (or not objects there) add nothing; keyed by field, last wins.
+    Entities and fields meet by sorting, so a record of n fields costs n log n."""
+    none = F.array().cast("array<struct<field:string,match:boolean>>")
 
-        def per_field(gf):
-            pf = F.try_element_at(F.filter(pfields, lambda f: f["name"] == gf["name"]), F.lit(1))
-            listy = (gf["kind"] == "list") & (pf["kind"] == "list")
-            sub = F.size(F.array_except(F.transform(gf["vals"], lambda v: v["s"]), F.transform(pf["vals"], lambda v: v["s"]))) == 0
-            m = F.when(pf.isNull(), F.lit(False)).when(listy, sub).otherwise(pf["sval"] == gf["sval"])
-            return F.struct(gf["name"].alias("field"), m.alias("match"))
+    def field(g, f):
+        listy = (g["kind"] == "list") & (f["kind"] == "list")
+        sub = F.size(F.array_except(F.transform(g["vals"], lambda v: v["s"]), F.transform(f["vals"], lambda v: v["s"]))) == 0
+        same = F.when(f.isNull(), F.lit(False)).when(listy, sub).otherwise(f["sval"] == g["sval"])
+        return F.struct(g["name"].alias("field"), same.alias("match"))
 
-        return F.when(F.size(hit) > 0, F.transform(ge["fields"], per_field)).otherwise(
-            F.array().cast("array<struct<field:string,match:boolean>>"))
+    def entity(g, e):
+        return F.when(e.isNull(), none).otherwise(paired(g["fields"], e["fields"], "name", field))
 
-    pairs = F.flatten(F.transform(_obj_entries(gold), per_gold_entity))
-    return F.map_from_entries(_last_per_key(pairs, "field"))
+    found = F.flatten(paired(_obj_entries(gold), _obj_entries(p), "key", entity))
+    return F.map_from_entries(_last_per_key(found, "field"))
 
 
 # ---- summaries ---------------------------------------------------------------
@@ -379,16 +410,17 @@ def leaderboard(by_model_df: DataFrame, model_order: list) -> DataFrame:
 
 def round_summary(scored: DataFrame, by: str = "round") -> DataFrame:
     """Stability round summary: parse / strict / alias-strict rates, errors,
-    timing; request errors are rows with ``parsed = false`` and ``error``."""
+    timing.  A failed request is a row with an ``error`` message and neither
+    output nor latency: it counts in the total and in no rate."""
     n = F.count(F.lit(1))
     return scored.groupBy(by).agg(
         n.alias("total"),
-        F.count_if(F.coalesce(F.col("error"), F.lit(False))).alias("errors"),
+        F.count("error").alias("errors"),
         (F.count_if("parsed") / n).alias("parse_rate"),
         (F.count_if("schema_strict_stab") / n).alias("strict_rate"),
         (F.count_if("schema_strict_stab_alias") / n).alias("alias_strict_rate"),
-        F.sum(F.col("latency_s")).alias("total_time_s"),
-        (F.sum(F.col("latency_s")) / n).alias("avg_latency_s"),
+        F.coalesce(F.sum(F.col("latency_s")), F.lit(0.0)).alias("total_time_s"),
+        (F.coalesce(F.sum(F.col("latency_s")), F.lit(0.0)) / n).alias("avg_latency_s"),
     )
 
 
@@ -414,7 +446,7 @@ def structural_quality(scored: DataFrame, by=None) -> DataFrame:
     field names contain a Han character; field overlap = mean share of
     required fields present."""
     keys = [by] if isinstance(by, str) else list(by or [])
-    d = scored.withColumn("_p", parse_output(F.col("clean_output")))
+    d = scored.withColumnRenamed("parsed_output", "_p") if "parsed_output" in scored.columns else scored.withColumn("_p", parse_output(F.col("clean_output")))
     ent = F.coalesce(F.exists(F.coalesce(F.col("_p.entries"), F.array().cast(T.ArrayType(ENTRY))), lambda e: e["is_obj"]), F.lit(False))
     pool = field_pool(F.col("_p"))
     han = (F.size(pool) > 0) & F.forall(pool, lambda f: f.rlike(r"\p{IsHan}"))

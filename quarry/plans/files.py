@@ -14,7 +14,7 @@ from quarry.plans import scoring as ps
 from quarry.plans.logs import BENCH
 from quarry.session import checkpoint_dir
 from quarry.sources import io
-from quarry.sources.adapters import EVAL_GROUPS, bench_log
+from quarry.sources.adapters import EVAL_GROUPS, bench_log, eval_rounds
 from quarry.streaming import clean_stream as cs
 
 
@@ -35,7 +35,7 @@ def q_detailed_csv(spark, sf_dir):
 
 
 def q_stability_csv(spark, sf_dir):
-    wide = sc.round_wide(ps.scored(spark, sf_dir).withColumn("error", F.lit(False)), "model").withColumnRenamed("model", "round")
+    wide = sc.round_wide(ps.scored(spark, sf_dir, outputs=eval_rounds), "model").withColumnRenamed("model", "round")
     text = ("round", "mode")
     return _csv(spark, io.stability_rows(wide, "default"), "stability", ", ".join(f"{c} {'string' if c in text else 'long' if c == 'total' else 'double'}" for c in io.STABILITY))
 
@@ -74,10 +74,10 @@ ORACLE = {
 SELECT model, id, grp AS "group", CAST(parsed AS VARCHAR) AS parsed, array_to_string(missing, '; ') AS missing_fields,
   array_to_string(extra, '; ') AS extra_fields, CAST(schema_strict AS VARCHAR) AS schema_strict, CAST(schema_strict_alias AS VARCHAR) AS schema_strict_alias,
   sha256(substr(output, 1, 200)) AS raw_output FROM final""",
-    "stability_csv": f"""WITH {ps.EVAL_SQL}
+    "stability_csv": f"""WITH {ps.EVAL_SQL}, {ps.ROUNDS_SQL}
 SELECT model AS round, 'default' AS mode, count(*) AS total, count(*) FILTER (WHERE parsed) / count(*) AS parse_rate,
   count(*) FILTER (WHERE schema_strict_stab) / count(*) AS strict_rate, count(*) FILTER (WHERE schema_strict_stab_alias) / count(*) AS alias_strict_rate,
-  {_GROUP_RATES}, sum(latency_s) / count(*) AS avg_latency_s FROM final GROUP BY model""",
+  {_GROUP_RATES}, coalesce(sum(latency_s), 0.0) / count(*) AS avg_latency_s FROM rounds GROUP BY model""",
     "bench_csv": f"""WITH {BENCH}, r AS (SELECT config, run, max(time_total_s) AS batch_time, count(*) FILTER (WHERE status <> 'ok') AS n_errors FROM bl GROUP BY ALL),
 per AS (SELECT config, count(*) AS runs, avg(batch_time) AS a, min(batch_time) AS b, max(batch_time) AS c, CAST(sum(n_errors) AS BIGINT) AS errors FROM r GROUP BY config),
 tp AS (SELECT config, avg(v) AS d, min(v) AS e, max(v) AS f FROM (SELECT config, CASE WHEN time_total_s > 0 THEN tp ELSE 0 END AS v FROM ok) AS q GROUP BY config)

@@ -80,6 +80,7 @@ def score_outputs(spark: SparkSession, outputs: DataFrame, prompts: DataFrame, o
     ship_package(spark)
     from quarry.operators import scoring as sc
 
+    prompts = sc.with_gold(prompts) if "gold_output" in prompts.columns else prompts
     scored = sc.score(outputs.join(prompts, "id"), aliases=aliases)
     from quarry.session import cut_lineage
 

@@ -14,19 +14,20 @@ from quarry.plans.derive import RELJSON
 from quarry.session import cut_lineage
 from quarry.sources.adapters import (
     EVAL_ALIASES, EVAL_ENUM_FIELD, EVAL_GROUPS, EVAL_INSTRUCTIONS, EVAL_MODELS, EVAL_RENAMES, EVAL_UNKNOWN_FIELD, EVAL_UNKNOWN_HEAD,
-    eval_outputs, eval_prompts,
+    eval_outputs, eval_prompts, eval_rounds,
 )
 
 SEED = 42
 
 
-def scored(spark, sf_dir, value_match=False):
+def scored(spark, sf_dir, value_match=False, outputs=eval_outputs, keep_parsed=False):
     # the prompt table is both the outputs fixture's source and the join's
     # build side: materialise it once (reliable checkpoint)
     prompts = cut_lineage(eval_prompts(spark, sf_dir))
     p = prompts.select("id", "required_fields", "allowed_fields", "enum_constraints", "gold_output")
-    o = eval_outputs(spark, sf_dir, SEED, prompts=prompts)
-    return sc.score(o.join(p, "id"), aliases=EVAL_ALIASES, with_value_match=value_match)
+    o = outputs(spark, sf_dir, SEED, prompts=prompts)
+    p = sc.with_gold(p) if value_match else p
+    return sc.score(o.join(p, "id"), aliases=EVAL_ALIASES, with_value_match=value_match, keep_parsed=keep_parsed)
 
 
 def _j(c):
@@ -76,12 +77,12 @@ def q_leaderboard(spark, sf_dir):
 
 
 def q_round_wide(spark, sf_dir):
-    s = scored(spark, sf_dir).withColumn("round", F.col("model")).withColumn("error", F.lit(False))
+    s = scored(spark, sf_dir, outputs=eval_rounds).withColumn("round", F.col("model"))
     return sc.round_wide(s, "round")
 
 
 def q_structural_quality(spark, sf_dir):
-    return sc.structural_quality(scored(spark, sf_dir), ["model", "group"])
+    return sc.structural_quality(scored(spark, sf_dir, keep_parsed=True), ["model", "group"])
 
 
 def q_eval_totals(spark, sf_dir):
@@ -226,6 +227,11 @@ final AS (SELECT *,
     NOT unparsed AND len(missing_stab_alias) = 0 AND len(extra_stab_alias) = 0 AND len(viol) = 0 AS schema_strict_stab_alias
   FROM scored2)"""
 
+#: Rows of the rounds, of which failed requests have no output and no latency.
+ROUNDS_SQL = f"""rounds0 AS (SELECT *, CASE WHEN ({draw_sql(SEED, KEY, 'request')}) % 16 = 0 THEN 'timeout' END AS error FROM final),
+rounds AS (SELECT * REPLACE (parsed AND error IS NULL AS parsed, schema_strict_stab AND error IS NULL AS schema_strict_stab,
+  schema_strict_stab_alias AND error IS NULL AS schema_strict_stab_alias, CASE WHEN error IS NULL THEN latency_s END AS latency_s) FROM rounds0)"""
+
 N = "count(*)"
 RATES = ("schema_strict_rate", "schema_strict_alias_rate", "parseable_rate", "missing_rate", "hallucination_rate")
 ORACLE = {
@@ -266,16 +272,16 @@ bm4 AS (SELECT model, model_ord, """ + ", ".join(f"floor({c} * 10000 + 0.5) / 10
 SELECT row_number() OVER (ORDER BY schema_strict_rate DESC, parseable_rate DESC, model_ord) AS rank, model, schema_strict_rate,
   schema_strict_alias_rate, parseable_rate, missing_rate, hallucination_rate
 FROM bm4""",
-    "round_wide": f"""WITH {EVAL_SQL}
-SELECT model AS round, {N} AS total, 0::BIGINT AS errors, count(*) FILTER (WHERE parsed) / {N} AS parse_rate,
+    "round_wide": f"""WITH {EVAL_SQL}, {ROUNDS_SQL}
+SELECT model AS round, {N} AS total, count(error) AS errors, count(*) FILTER (WHERE parsed) / {N} AS parse_rate,
   count(*) FILTER (WHERE schema_strict_stab) / {N} AS strict_rate, count(*) FILTER (WHERE schema_strict_stab_alias) / {N} AS alias_strict_rate,
-  sum(latency_s) AS total_time_s, sum(latency_s) / {N} AS avg_latency_s,
+  coalesce(sum(latency_s), 0.0) AS total_time_s, coalesce(sum(latency_s), 0.0) / {N} AS avg_latency_s,
   """ + ",\n  ".join(
         f"count(*) FILTER (WHERE grp = '{g}' AND parsed) / count(*) FILTER (WHERE grp = '{g}') AS {g}_parse_rate, "
         f"count(*) FILTER (WHERE grp = '{g}' AND schema_strict_stab) / count(*) FILTER (WHERE grp = '{g}') AS {g}_strict_rate, "
         f"count(*) FILTER (WHERE grp = '{g}' AND schema_strict_stab_alias) / count(*) FILTER (WHERE grp = '{g}') AS {g}_alias_strict_rate, "
         f"count(*) FILTER (WHERE grp = '{g}') AS {g}_total"
-        for g in EVAL_GROUPS) + "\nFROM final GROUP BY model",
+        for g in EVAL_GROUPS) + "\nFROM rounds GROUP BY model",
     "structural_quality": f"""WITH {EVAL_SQL}
 SELECT model, grp AS "group", {N} AS total,
   count(*) FILTER (WHERE list_bool_or(list_transform(ents, lambda e: e.is_obj))) / {N} AS entity_key_rate,

@@ -238,6 +238,16 @@ def eval_outputs(spark: SparkSession, sf_dir: str, seed: int = 42, prompts: Data
     return x.select("model", "model_ord", "id", "group", out.alias("output"), lat.alias("latency_s"))
 
 
+def eval_rounds(spark: SparkSession, sf_dir: str, seed: int = 42, prompts: DataFrame | None = None) -> DataFrame:
+    """The same outputs as rounds of requests, one in sixteen of which failed:
+    it has an error message and neither output nor latency."""
+    from quarry.functions.draw import draw
+
+    o = eval_outputs(spark, sf_dir, seed, prompts)
+    failed = F.pmod(draw(seed, F.concat_ws(":", F.col("model"), F.col("id")), "request"), F.lit(16)) == 0
+    return o.withColumns({"error": F.when(failed, F.lit("timeout")), "output": F.when(~failed, F.col("output")), "latency_s": F.when(~failed, F.col("latency_s"))})
+
+
 # ---- benchmark and training logs from the events table ----------------------
 
 def bench_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from quarry.operators import scoring as sc
 from quarry.operators.scoring import alias_lookup_map, clean_output, parse_one, score
 
 PROMPT = "required_fields array<string>, allowed_fields array<string>, enum_constraints map<string,array<string>>, gold_output string"
@@ -47,3 +48,30 @@ def test_score_modes(spark):
     assert s[2]["enum_ok"] is False and s[2]["enum_violations"] == {"A": "got 'bad', expected one of ['ok']"}
     assert s[3]["parsed"] is True and s[3]["missing_fields"] == ["A"] and s[3]["schema_strict"] is False
     assert s[4]["missing_fields"] == ["A"] and s[4]["extra_fields"] == [] and s[4]["schema_strict"] is False
+
+
+def test_value_match_of_a_record_of_many_fields(spark):
+    """Ten thousand fields, in another order than gold's; repeated names: the last entity's counts."""
+    import json
+    import time
+
+    gold = {f"e{k}": {f"f{i}": f"v{i}" for i in range(k, 10_000, 20)} for k in range(20)} | {"last": {"f5": ["a", "b"], "f6": "x"}, "gone": {"f7": "y"}}
+    out = {e: dict(reversed([(f, "wrong" if f == "f9" else v) for f, v in fs.items()])) for e, fs in reversed(gold.items()) if e != "gone"}
+    out["last"] = {"f5": ["b", "c", "a"], "f6": 6}
+    df = spark.createDataFrame([(json.dumps(out), json.dumps(gold), [], [])], "output string, gold_output string, required_fields array<string>, allowed_fields array<string>")
+    df = df.withColumn("enum_constraints", F.create_map().cast("map<string,array<string>>"))
+    start = time.time()
+    got = sc.score(df).select("value_match").first()[0]
+    assert time.time() - start < 30
+    assert got == {f"f{i}": i not in (6, 9) for i in range(10_000)}
+
+
+def test_error_rows_count_in_the_total_only(spark):
+    rows = [("r", "extraction", '{"a": {"b": "c"}}', None, 0.5), ("r", "extraction", None, "timeout", None), ("r", "schema_constraint", None, "refused", None), ("all", "extraction", None, "down", None)]
+    df = spark.createDataFrame(rows, "round string, group string, output string, error string, latency_s double")
+    df = df.withColumns({"required_fields": F.array(F.lit("b")), "allowed_fields": F.array(F.lit("a"), F.lit("b")), "enum_constraints": F.create_map().cast("map<string,array<string>>")})
+    got = {r["round"]: r for r in sc.round_wide(sc.score(df)).collect()}
+    r = got["r"]
+    assert (r["total"], r["errors"], r["parse_rate"], r["strict_rate"], r["total_time_s"]) == (3, 2, 1 / 3, 1 / 3, 0.5)
+    assert (r["extraction_total"], r["extraction_parse_rate"], r["schema_constraint_parse_rate"]) == (2, 0.5, 0.0)
+    assert (got["all"]["errors"], got["all"]["parse_rate"], got["all"]["avg_latency_s"]) == (1, 0.0, 0.0)
