@@ -73,12 +73,14 @@ def annotate_corpus(
     max_length: int = 0,
     action: str = "drop",
     valid_ratio: float = 0.01,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per input row: cleaned text, flags, drop reason, sha256 and split.
+    """Per input row: cleaned text, flags, drop reason, sha256 and split, and
+    the columns ``keep``.
 
     Narrow (no shuffle); all columns derive from one row.
     """
-    c = clean_text(df.select(id_col, text_col), text_col, rules, html)
+    c = clean_text(df.select(id_col, *keep, text_col), text_col, rules, html)
     c = c.withColumn("drop_reason", length_reason("text_clean", min_length, max_length, action))
     if max_length > 0 and action == "truncate":
         c = c.withColumn(
@@ -92,7 +94,7 @@ def annotate_corpus(
         c.withColumn("n_chars", F.length("text_clean"))
         .withColumn("doc_hash", F.when(kept, F.sha2("text_clean", 256)))
         .withColumn("split", F.when(kept, hash_split("text_clean", valid_ratio)))
-        .select(id_col, "text_clean", "n_chars", "drop_reason", "ctrl_mod", "html_mod", "ws_mod", "doc_hash", "split")
+        .select(id_col, *keep, "text_clean", "n_chars", "drop_reason", "ctrl_mod", "html_mod", "ws_mod", "doc_hash", "split")
     )
 
 
