@@ -17,9 +17,12 @@ one loads its part no more than any other; the number of parts follows the
 number of tokens, so a part stays small.  Only counts of single tokens, which
 the vocabulary bounds, go to the driver and to every task.
 
-The target model counts every labelled row, the background model every row.
+The target model counts every labelled row, the background model every row.  A
+document is scored by the models of all others: a slice knows its documents'
+own bigrams and takes them out.
 
-Defined cases: null text = empty text = no tokens, losses and score 0; no
+Defined cases: an empty table gives an empty result; a very long text is one
+slice of its own; null text = empty text = no tokens, losses and score 0; no
 labelled rows: the target equals the background, all scores 0; repeated rows
 count and are scored each; columns named like the results are replaced.
 """
@@ -279,6 +282,24 @@ def looked_up(keys: np.ndarray, n: np.ndarray, asked: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == asked, n[at], 0)
 
 
+class Own:
+    """For each token: how often its text holds its bigram, its context and the
+    token itself, and how many tokens the text has."""
+
+    def __init__(self, text: np.ndarray, pair: np.ndarray, left: np.ndarray, ids: np.ndarray):
+        def repeats(values):
+            order = np.lexsort((values, text))
+            t, v = text[order], values[order]
+            first = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (v[1:] != v[:-1])])) if len(t) else np.zeros(0, np.int64)
+            size = np.diff(np.append(first, len(t)))
+            out = np.empty(len(t), np.int64)
+            out[order] = np.repeat(size, size)
+            return out
+
+        self.pair, self.context, self.single = repeats(pair), repeats(left), repeats(ids)
+        self.tokens = np.bincount(text)[text] if len(text) else np.zeros(0, np.int64)
+
+
 class Singles:
     """Scaled counts of tokens and contexts."""
 
@@ -290,6 +311,13 @@ class Singles:
         """-log P(token | token before it), seen together so many scaled times."""
         return -np.log((seen + SMOOTH * self.single[ids]) / (self.contexts[left] + SMOOTH))
 
+    def without(self, seen: np.ndarray, left: np.ndarray, ids: np.ndarray, own: Own, counted: np.ndarray) -> np.ndarray:
+        """The same under the model of all other texts: what a text itself was
+        ``counted`` for (0 or 1, for each token's text) is taken out."""
+        take = counted * self.scale
+        single = (self.ones[ids] - own.single * take + 0.5) / (self.ones.sum() - own.tokens * take + 0.5 * len(self.ones))
+        return -np.log((np.maximum(seen - own.pair * take, 0.0) + SMOOTH * single) / (np.maximum(self.contexts[left] - own.context * take, 0.0) + SMOOTH))
+
 
 class Ngrams(Singles):
     """Smoothed bigram probabilities from counts."""
@@ -306,11 +334,26 @@ class Ngrams(Singles):
         return Singles(self.ones / self.scale, self.contexts / self.scale, self.scale)
 
 
-def fit(coded: DataFrame, target_ids: DataFrame, size: int):
+def marked(coded: DataFrame, target_ids: DataFrame, name: str = "in_target") -> DataFrame:
+    """``coded`` with a flag for the documents of ``target_ids`` (doc_id),
+    written once: counting and scoring both need it."""
+    spark = coded.sparkSession
+    ids = target_ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn(name, F.lit(True))
+    rows = coded.join(ids.hint("merge"), "doc_id", "left")  # labels have no bound: the same plan at any size
+    path = f"{checkpoint_dir(spark)}/marked-{uuid.uuid4().hex}"
+    rows.withColumn(name, F.coalesce(name, F.lit(False))).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def fit(coded: DataFrame, target_ids: DataFrame | None, size: int, flag: str = "in_target"):
     """(target model, background model, size) of :func:`tokenized` rows;
-    ``target_ids``: the doc_id of the documents that the target model counts."""
-    ids = target_ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    chosen = coded.select("doc_id", "ids").join(ids.hint("merge"), "doc_id", "left_semi")  # labels have no bound: the same plan at any size
+    ``target_ids``: the doc_id of the documents that the target model counts,
+    or None for the rows that ``flag`` of :func:`marked` names."""
+    if target_ids is None:
+        chosen = coded.where(F.col(flag))
+    else:
+        ids = target_ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+        chosen = coded.select("doc_id", "ids").join(ids.hint("merge"), "doc_id", "left_semi")  # labels have no bound: the same plan at any size
     tokens = (coded.agg(F.sum(F.octet_length("ids").cast("long"))).first()[0] or 0) // _kind(size).itemsize
     parts = max(LEAST_PARTS, -(-tokens // PART_TOKENS))
     table = counted(coded, chosen, size, parts)
@@ -322,9 +365,15 @@ def fit(coded: DataFrame, target_ids: DataFrame, size: int):
     return Ngrams(target_ones, target_contexts, Pairs(table, parts, column, 1.0)), Ngrams(ones, contexts, Pairs(table, parts, "n_all", scale)), size
 
 
-def score(coded: DataFrame, models) -> DataFrame:
+def score(coded: DataFrame, models, flag: str | None = None) -> DataFrame:
     """The columns of ``coded`` without the ids, ``n_tokens``, ``target_loss``,
-    ``background_loss`` (nats a token) and ``score``, their difference."""
+    ``background_loss`` (nats a token) and ``score``, their difference.
+
+    ``flag``: a column that tells the rows the target model counted.  A row is
+    then scored by the models of all other rows: its own counts are taken out
+    of the background, and of the target if it was counted there, so a score
+    tells what a text is like and not whether it was labelled."""
+    every = models[0].pairs.column == "n_all"  # no target rows: both models count all
     target, background, size = models
     spark, parts = coded.sparkSession, target.pairs.parts
     shared = spark.sparkContext.broadcast((target.singles(), background.singles()))
@@ -384,10 +433,16 @@ def score(coded: DataFrame, models) -> DataFrame:
             keys, back = np.unique(slot(left, ids), return_inverse=True)
             order, _ = by_part(keys, parts)
             text_of, losses = np.repeat(np.arange(len(n)), n), []
+            own = Own(text_of, back, left, ids) if flag else None
             for k, m in enumerate(models):
                 seen = np.zeros(len(keys))
                 seen[order] = np.concatenate([unpacked(x[k]) for x in answers]) if answers else 0
-                losses.append(np.bincount(text_of, m.of(seen[back] * m.scale, left, ids), len(n)) / np.maximum(n, 1))
+                if own is None:
+                    loss = m.of(seen[back] * m.scale, left, ids)
+                else:
+                    counted = np.ones(len(n)) if k or every else rows.field(flag).to_numpy(zero_copy_only=False).astype(float)
+                    loss = m.without(seen[back] * m.scale, left, ids, own, counted[text_of])
+                losses.append(np.bincount(text_of, loss, len(n)) / np.maximum(n, 1))
             a, b = losses
             return pa.RecordBatch.from_arrays([*[rows.field(c) for c in keep], pa.array(n), pa.array(a), pa.array(b), pa.array(a - b)], [*keep, "n_tokens", "target_loss", "background_loss", "score"])
 

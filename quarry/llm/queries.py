@@ -59,7 +59,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, size = lm_score.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_score.score(coded, lm_score.fit(coded, good, size))
+    coded = lm_score.marked(coded, good)
+    return lm_score.score(coded, lm_score.fit(coded, None, size), "in_target").drop("in_target")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,7 +180,9 @@ def test_cross_entropy_difference(spark, truth):
     got = {r.doc_id: r for r in queries.op6_lm_score(spark, SMALL).collect()}
     good = [got[i].score for i, r in truth[1].items() if r.quality == 1]
     bad = [got[i].score for i, r in truth[1].items() if r.quality == 0]
-    assert np.median(good) < 0 < np.median(bad)
+    # a labelled text is scored without its own counts, so a good one is near the background, not below it
+    unlabelled = [r.score for i, r in got.items() if i not in truth[1]]
+    assert abs(np.median(good)) < 0.2 and abs(np.median(good) - np.median(unlabelled)) < 0.2 < np.median(bad)
     assert np.mean([g < b for g in good for b in bad]) > 0.95
 
 
@@ -242,6 +244,44 @@ def test_bigram_counts_share_nothing(spark):
             assert math.isclose(said, want.mean(), rel_tol=1e-9)
 
 
+def test_a_document_is_scored_by_the_others(spark):
+    size, r = 300, np.random.default_rng(6)
+    docs = [r.integers(0, size, n) for n in (400, 0, 1, 900, 30, 30, 2000)] + [np.zeros(50, int)]
+    docs += [docs[4], docs[0]]  # copies: the other one still counts
+    coded = packed_docs(spark, docs, size)
+    good = coded.where("doc_id in (0, 2, 4, 7)").select("doc_id")
+    flagged = lm_score.marked(coded, good)
+    got = {x.doc_id: x for x in lm_score.score(flagged, lm_score.fit(flagged, None, size), "in_target").collect()}
+    target = [0, 2, 4, 7]
+    n_target, n_all = (sum(len(docs[i]) for i in own) for own in (target, range(len(docs))))
+    for i, d in enumerate(docs):
+        if not len(d):
+            assert got[i].score == 0
+            continue
+        for own, scale, said in ((target, 1.0, got[i].target_loss), (range(len(docs)), n_target / n_all, got[i].background_loss)):
+            others = [docs[j] for j in own if j != i and len(docs[j])]
+            pairs, contexts, ones = Counter(), Counter(), Counter()
+            for o in others:
+                left = [size, *o[:-1].tolist()]
+                pairs.update(zip(left, o.tolist(), strict=True))
+                contexts.update(left)
+                ones.update(o.tolist())
+            total = sum(ones.values())
+            single = lambda x: (ones[x] * scale + 0.5) / (total * scale + 0.5 * (size + 1))  # noqa: E731, B023
+            want = [-math.log((pairs[a, b] * scale + lm_score.SMOOTH * single(b)) / (contexts[a] * scale + lm_score.SMOOTH)) for a, b in zip([size, *d[:-1].tolist()], d.tolist(), strict=True)]
+            assert math.isclose(said, sum(want) / len(want), rel_tol=1e-9), i
+
+
+def test_labelled_and_unlabelled_texts_of_one_source_score_alike(spark):
+    size, r = 500, np.random.default_rng(7)
+    coded = packed_docs(spark, [r.integers(0, size, 300) for _ in range(40)], size)
+    good = coded.where("doc_id < 10").select("doc_id")
+    flagged = lm_score.marked(coded, good)
+    got = lm_score.score(flagged, lm_score.fit(flagged, None, size), "in_target").collect()
+    a, b = ([x.score for x in got if (x.doc_id < 10) == side] for side in (True, False))
+    assert abs(np.mean(a) - np.mean(b)) < 0.1 and min(a) < max(b) and min(b) < max(a)
+
+
 def test_every_labelled_row_is_counted(spark):
     coded = spark.range(20_050).selectExpr("id as doc_id", "unhex('01000200') as ids")
     target, background, _ = lm_score.fit(coded, coded.select("doc_id"), 10)
