@@ -22,7 +22,7 @@ class Scratch:
 
     def write(self, rows: DataFrame, step: str) -> DataFrame:
         path = f"{self.folder}/{step}"
-        rows.write.parquet(path)
+        rows.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def drop(self, step: str) -> None:

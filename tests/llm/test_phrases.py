@@ -1,10 +1,12 @@
+import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import phrase_index
 
-from .helpers import clashing, edge_docs, edge_texts, phrase_hits
+from .helpers import ALNUM, clashing, edge_docs, edge_texts, lower, phrase_hits
 
 
 def items(spark):
@@ -42,6 +44,62 @@ def test_near_matches_do_not_depend_on_the_shard(spark):
     assert {k: v for k, v in got[0].items() if any(v)} == {1: ([], [7]), 2: ([8], [8]), 3: ([], [8])}
 
 
+def plain_near(docs, items, terms=4, span=24, size=13):
+    """Near items by the rule: the rarest distinct terms that occur at all lie
+    within a span on either side of the rarest one."""
+    words = [ALNUM.findall(lower(t or "")) for _, t in docs]
+    often = Counter(w for ws in words for w in ws)
+    out = [set() for _ in docs]
+    for i, t in items:
+        ws = ALNUM.findall(lower(t or ""))
+        for k in range(max(1, len(ws) - size + 1) if ws else 0):
+            phrase = list(dict.fromkeys(ws[k : k + size]))
+            asked = sorted((w for w in phrase if often[w]), key=lambda w: often[w])
+            if i is None or len(asked) < min(terms, len(phrase)):
+                continue
+            # ties in rarity go by the order in the phrase
+            asked = asked[:terms]
+            for d, own in enumerate(words):
+                centres = [p for p, w in enumerate(own) if w == asked[0]]
+                if any(all(w in own[max(0, c - span) : c + span + 1] for w in asked[1:]) for c in centres):
+                    out[d].add(i)
+    return out
+
+
+@pytest.mark.parametrize("block", [phrase_index.BLOCK_WORDS, 40])
+def test_near_items_equal_plain_search(spark, block):
+    r = random.Random(9)
+    words = [f"t{i}" for i in range(60)]
+    docs = [(i, " ".join(r.choices(words, [1 / (k + 1) for k in range(60)], k=r.randrange(0, 120)))) for i in range(60)]
+    test = [(i, " ".join(r.choices(words, k=r.randrange(1, 30)))) for i in range(25)] + [(3, docs[5][1]), (None, docs[6][1]), (50, "unseen words only"), (51, "t1 unseen t2")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = phrase_index.find(frame, spark.createDataFrame(test, "item_id long, text string"), block_words=block).collect()
+    want = plain_near(docs, test)
+    hits = phrase_hits(docs, test)
+    assert {x.doc_id: (set(x.near_items), set(x["items"])) for x in found} == {i: (want[i], {k for k in hits[i][2] if k is not None}) for i, _ in docs}
+
+
+def test_a_stored_index_serves_several_test_sets(spark, tmp_path):
+    docs = clashing(edge_docs(spark))
+    made = phrase_index.index(docs, keep=("doc_id", "n_chars"))
+    made.write.parquet(str(tmp_path / "index"))
+    stored = spark.read.parquet(str(tmp_path / "index"))
+    for test in (items(spark), items(spark).limit(2), items(spark).limit(0)):
+        for block in (phrase_index.BLOCK_WORDS, 10):
+            fresh = phrase_index.find(docs, test, keep=("doc_id", "n_chars"), block_words=block).collect()
+            again = phrase_index.find(None, test, keep=("doc_id", "n_chars"), block_words=block, stored=stored).collect()
+            assert Counter(map(str, fresh)) == Counter(map(str, again))
+
+
+def test_text_ids_and_clashing_keeps(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma")], "doc_id long, text string").withColumn("spans", F.lit("mine"))
+    test = spark.createDataFrame([("item-a", "beta gamma"), ("item-b", "delta")], "name string, body string")
+    got = phrase_index.find(docs, test, item_id="name", item_text="body").first()
+    assert got["items"] == ["item-a"] and got["n_words"] == 3
+    with pytest.raises(ValueError):
+        phrase_index.find(docs, test, item_id="name", item_text="body", keep=("doc_id", "spans"))
+
+
 def test_empty_tables(spark):
     docs = edge_docs(spark)
     assert all(not r.spans for r in phrase_index.find(docs, items(spark).limit(0)).collect())
