@@ -47,6 +47,15 @@ def q_system_inject(spark, sf_dir):
                     F.size("conversations").alias("n_turns"))
 
 
+def q_system_replay(spark, sf_dir):
+    """System prompts as a generator seeded by sample draws them; the
+    conversation's number stands for the line index."""
+    n = normalized(spark, sf_dir).filter(F.col("invalid_reason").isNull())
+    s = ch.inject_system(n, SYSTEM_RATIO, seed=SEED, compat=True)
+    return s.select("conv_id", "system_injected", F.try_element_at("conversations", F.lit(1))["content"].alias("first_content"),
+                    F.size("conversations").alias("n_turns"))
+
+
 def q_reply_clean(spark, sf_dir):
     c = conv_turns(spark, sf_dir).filter(F.lower(py_strip("role")) == "assistant")
     raw = F.concat(F.col("text"), F.when(F.col("turn") % 3 == 0, F.lit(" " + ch.EOS_TOKEN + "  ")).otherwise(F.lit("")))
@@ -59,6 +68,7 @@ QUERIES = {
     "chat_render": q_chat_render,
     "generation_prompt": q_generation_prompt,
     "system_inject": q_system_inject,
+    "system_replay": q_system_replay,
     "reply_clean": q_reply_clean,
 }
 

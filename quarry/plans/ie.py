@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators import ie
 from quarry.plans.corpus import WS_SQL
 from quarry.session import cut_lineage
-from quarry.sources.adapters import IE_CATE_MAP, ie_categories, ie_src
+from quarry.sources.adapters import IE_CATE_MAP, ie_categories, ie_raw, ie_src
 
 # Thresholds scaled to the adapter's records (library defaults stay the reference's).
 IE_LIMITS = {"max_relations": 9, "min_input_len": 35, "max_input_len": 98, "max_output_json_len": 560,
@@ -106,8 +106,15 @@ def q_ie_check(spark, sf_dir):
     return ie.check_normalized(normalized(spark, sf_dir), old_names=tuple(IE_CATE_MAP))
 
 
+def q_ie_normalize_raw(spark, sf_dir):
+    """Normalization of records with ``text`` and entity types."""
+    n = ie.normalize_ie(ie_raw(spark, sf_dir), cate_map=IE_CATE_MAP)
+    return n.select("id", F.sha2("input", 256).alias("input_hash"), F.array_join("head_types", ",").alias("head_types"), F.array_join("tail_types", ",").alias("tail_types"))
+
+
 QUERIES = {
     "ie_normalize": q_ie_normalize,
+    "ie_normalize_raw": q_ie_normalize_raw,
     "ie_leakage": q_ie_leakage,
     "topic_quantiles": q_topic_quantiles,
     "ie_filter": q_ie_filter,
@@ -197,6 +204,10 @@ tiered AS (
 
 ORACLE = {
     "ie_normalize": f"WITH {IE_SQL} SELECT id, cate, source, input_len, relation_count, output_len, head_tail_len, false AS has_types FROM iem",
+    "ie_normalize_raw": f"""WITH {IE_SQL}, typed AS (SELECT *, CAST(id AS BIGINT) % 4 = 0 AND len(relation) > 0 AS has_types FROM iem)
+SELECT id, sha256(CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN 'T: ' || input ELSE input END) AS input_hash,
+  CASE WHEN has_types THEN array_to_string(list_transform(relation, lambda r, i: CASE WHEN i % 2 = 1 THEN upper(substr(r.head, 1, 5)) ELSE '' END), ',') END AS head_types,
+  CASE WHEN has_types THEN array_to_string(list_transform(relation, lambda r: substr(r.tail, 1, 3)), ',') END AS tail_types FROM typed""",
     "ie_leakage": f"WITH {IE_SQL} SELECT id, cate FROM train WHERE input IN (SELECT input FROM leakset)",
     "topic_quantiles": f"WITH {IE_SQL} SELECT * FROM quant",
     "ie_filter": f"WITH {IE_SQL} SELECT id, cate, reject_reason FROM filtered",

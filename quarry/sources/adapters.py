@@ -102,6 +102,20 @@ def ie_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ie_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records with the optional fields of raw input: ``text`` beside
+    ``input`` (padded; empty; missing, by id % 3), and entity types on every
+    fourth record, missing on every second relation."""
+    d = ie_src(spark, sf_dir)
+    key = F.col("id").cast("bigint")
+    text = F.when(key % 3 == 0, F.concat(F.lit(" \u3000T: "), "input", F.lit("\u00a0\t"))).when(key % 3 == 1, F.lit(""))
+    typed = F.transform("relation", lambda r, i: F.struct(
+        r["head"].alias("head"), r["relation"].alias("relation"), r["tail"].alias("tail"),
+        F.when((key % 4 == 0) & (i % 2 == 0), F.upper(F.substring(r["head"], 1, 5))).alias("head_type"),
+        F.when(key % 4 == 0, F.substring(r["tail"], 1, 3)).alias("tail_type")))
+    return d.withColumns({"text": text, "relation": typed})
+
+
 def ie_topic_schema_from(normalized: DataFrame, cate_map: dict) -> DataFrame:
     """The same topic schema as :func:`ie_topic_schema`, computed from
     normalized IE records (categories renamed back to the segment names the

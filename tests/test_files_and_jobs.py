@@ -84,3 +84,28 @@ def test_left_cut_and_history(spark):
     for tokens, want in (([5, 5, 5], 2), ([5, 50, 5], 1), ([50], 0), ([], 0)):
         t = spark.createDataFrame([(tokens,)], "t array<int>")
         assert t.select(sft.truncate_history(F.col("t"), F.lit(2), 3, 16)).first()[0] == want
+
+
+def test_replayed_system_prompts_of_a_sample_file(spark, tmp_path):
+    """Every line of a file, blank ones left out, draws as Python's generator
+    seeded with 42 + its index does."""
+    import json
+    import random
+
+    from quarry.operators import chat
+
+    samples = [[{"role": "user", "content": f"q{i}"}, {"role": "assistant", "content": "a"}] for i in range(60)]
+    for i in (3, 17):
+        samples[i].insert(0, {"role": "system", "content": "own"})
+    lines = [json.dumps({"conversations": s}) for s in samples]
+    lines.insert(5, "   ")
+    (tmp_path / "train.jsonl").write_text("\n".join(lines) + "\n")
+    indexed = io.sft_index(spark, str(tmp_path / "train.jsonl"))
+    for ratio, prompts in ((0.4, chat.DEFAULT_SYSTEM_PROMPTS), (1.0, ["only"]), (0.0, ["x"])):
+        got = {r["idx"]: [tuple(t) for t in r["conversations"]] for r in chat.inject_system(indexed, ratio, prompts, key="idx", compat=True).collect()}
+        for i, s in enumerate(samples):
+            want = [(t["role"], t["content"]) for t in s]
+            rng = random.Random(42 + i)
+            if want[0][0] != "system" and rng.random() < ratio:
+                want.insert(0, ("system", rng.choice(prompts)))
+            assert got[i] == want, (ratio, i)
