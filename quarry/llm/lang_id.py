@@ -13,8 +13,10 @@ counts (pieces x languages) come back to the driver.
 
 Defined cases: null text, or text without a letter: ``und`` with score 0; no
 labelled rows: every text is ``und``; ties go to the first language in
-alphabetical order; words longer than ``_WORD`` bytes are cut there; repeated
-rows give repeated results.
+alphabetical order; words of any length are scored whole (a clause of a script
+without blanks is one word), but learnt in stretches of ``_WORD`` bytes, cut
+between code points; repeated rows give repeated results; an empty table gives
+an empty result; other columns are read only when named in ``keep``.
 """
 
 from __future__ import annotations
@@ -45,15 +47,24 @@ def lower_words(column):
     return data, starts, ends, text, bounds
 
 
-def cut_long(starts, ends, text):
-    """Words of at most ``_WORD`` bytes each."""
+def cut_long(data, starts, ends, text):
+    """Words of at most ``_WORD`` bytes each, cut before a code point."""
     if not len(starts) or int((ends - starts).max()) <= _WORD:
         return starts, ends, text
-    parts = -(-(ends - starts) // _WORD)
-    at = np.repeat(np.arange(len(starts)), parts)
-    k = np.arange(len(at)) - np.repeat(np.cumsum(parts) - parts, parts)
-    first = starts[at] + k * _WORD
-    return first, np.minimum(first + _WORD, ends[at]), text[at]
+    whole = ends - starts <= _WORD
+    a, b, t = [starts[whole]], [ends[whole]], [text[whole]]
+    begin, stop, own = starts[~whole], ends[~whole], text[~whole]
+    while len(begin):
+        cut = np.minimum(begin + _WORD, stop)
+        for _ in range(3):  # a code point has three bytes at most after its first
+            inside = (cut < stop) & (data[np.minimum(cut, len(data) - 1)] & 0xC0 == 0x80)
+            cut = cut - inside
+        a, b, t = [*a, begin], [*b, cut], [*t, own]
+        more = cut < stop
+        begin, stop, own = cut[more], stop[more], own[more]
+    starts, ends, text = np.concatenate(a), np.concatenate(b), np.concatenate(t)
+    order = np.argsort(starts, kind="stable")
+    return starts[order], ends[order], text[order]
 
 
 class Pieces:
@@ -101,18 +112,36 @@ class Pieces:
 
     def forward(self, strings: list[bytes], table: np.ndarray) -> np.ndarray:
         """log P(word) under each column of ``table`` (pieces + 1 rows; the
-        last row is the lone byte)."""
+        last row is the lone byte), over all segmentations of the whole word.
+
+        One pass over the ends of all words at once.  Only the last ``longest``
+        places are kept, and they are scaled as they go, so a word may have any
+        length."""
         order, size, first, hashes = self.lattice(strings)
-        alpha = np.zeros((len(strings), int(size[0]) + 1 if len(size) else 1, table.shape[1]))
+        m, k, ring = len(strings), table.shape[1], self.longest + 1
+        alpha, scale = np.zeros((m, ring, k)), np.zeros((m, k))
         alpha[:, 0] = 1
-        for end, length, n, piece in self.edges(size, first, hashes):
-            use = piece if length == 1 else piece[at] if len(at := np.flatnonzero(piece >= 0)) else None
-            if length == 1:
-                alpha[:n, end] += alpha[:n, end - 1] * table[use]
-            elif use is not None:
-                alpha[at, end] += alpha[at, end - length] * table[use]
-        out = np.empty((len(strings), table.shape[1]))
-        out[order] = np.log(alpha[np.arange(len(strings)), size])
+        out = np.empty((m, k))
+        lengths = np.arange(1, self.longest + 1)
+        for end in range(1, int(size[0]) + 1 if m else 0):
+            n = int(np.searchsorted(-size, -end, side="right"))
+            own = lengths[: min(end, self.longest)]
+            got = hashes.of(first[:n, None] + end - own, np.broadcast_to(first[:n, None] + end, (n, len(own))))
+            at = np.searchsorted(self.hashes, got)
+            at[at == len(self.hashes)] = 0
+            met = self.hashes[at] == got
+            piece = np.where(met, at, len(table) - 1)
+            met[:, 0] = True  # a lone byte always fits
+            word, j = np.nonzero(met)
+            value = alpha[word, (end - own[j]) % ring] * table[piece[word, j]]
+            now = np.add.reduceat(value, np.flatnonzero(np.diff(word, prepend=-1)), axis=0)
+            alpha[:n, end % ring] = now
+            if end % 16 == 0:
+                alpha[:n] /= now[:, None]
+                scale[:n] += np.log(now)
+                now = np.ones_like(now)
+            done = int(np.searchsorted(-size, -end, side="left"))
+            out[order[done:n]] = np.log(now[done:n]) + scale[done:n]
         return out
 
     def expected(self, strings: list[bytes], column: np.ndarray, weight: np.ndarray, table: np.ndarray):
@@ -155,7 +184,7 @@ def word_counts(docs: DataFrame, label: str, text: str) -> DataFrame:
     def run(batches):
         for part in slices(batches, text):
             data, starts, ends, owner, _ = lower_words(part.column(text))
-            starts, ends, owner = cut_long(starts, ends, owner)
+            starts, ends, owner = cut_long(data, starts, ends, owner)
             if not len(starts):
                 continue
             marks = part.column(label).dictionary_encode()
@@ -230,7 +259,8 @@ class _Scores:
         out[~new] = self.rows[at[~new]]
         if new.any():
             strings = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
-            fresh = np.concatenate([self.model.pieces.forward(strings[i : i + 8192], self.model.table) for i in range(0, len(strings), 8192)])
+            step = max(256, 32_768 // self.rows.shape[1])
+            fresh = np.concatenate([self.model.pieces.forward(strings[i : i + step], self.model.table) for i in range(0, len(strings), step)])
             out[new] = fresh
             if len(self.hashes) + len(fresh) > self.limit:
                 self.hashes, self.rows = self.hashes[:0], self.rows[:0]
@@ -252,7 +282,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
         names = np.array([*model.langs, "und"], object)
         for part in slices(batches, "__text"):
             data, starts, ends, text_of, _ = lower_words(part.column("__text"))
-            starts, ends, text_of = cut_long(starts, ends, text_of)
             total = np.tile(model.prior, (part.num_rows, 1))
             if len(starts) and model.langs:
                 hashes, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)

@@ -43,6 +43,61 @@ def test_forward_sums_all_segmentations():
             assert math.isclose(got[i, c], math.log(plain_probability(pieces, table, w, c)), rel_tol=1e-9)
 
 
+def test_forward_of_long_words_is_whole():
+    """Words far beyond any piece, against sums over all segmentations in exact
+    arithmetic; no cut falls into them."""
+    from fractions import Fraction
+
+    pieces = lang_id.Pieces([b"\0ab", b"\0a", b"b", b"a", b"bc", b"c", b"abcab", b"cabca", b"\0"])
+    table = np.random.default_rng(3).random((10, 2))
+    table[-1] = 1e-7
+    words = [b"abc" * 40, b"ab" * 100 + b"x", b"z" * 70, b"a", b"cab" * 150]
+    got = pieces.forward(words, table)
+    for i, w in enumerate(words):
+        s = b"\0" + w
+        for c in (0, 1):
+            alpha = [Fraction(1)]
+            for end in range(1, len(s) + 1):
+                total = Fraction(0)
+                for j in range(max(0, end - pieces.longest), end):
+                    if s[j:end] in pieces.strings:
+                        total += alpha[j] * Fraction(float(table[pieces.strings.index(s[j:end]), c]))
+                    elif j == end - 1:
+                        total += alpha[j] * Fraction(float(table[-1, c]))
+                alpha.append(total)
+            want = math.log(alpha[-1].numerator) - math.log(alpha[-1].denominator)
+            assert math.isclose(got[i, c], want, rel_tol=1e-9)
+    start = time.time()
+    assert np.isfinite(pieces.forward([b"abcx" * 10_000], table)).all()
+    assert time.time() - start < 20
+
+
+def test_unspaced_text_is_told_apart(spark):
+    """Clauses without blanks, far longer than the stretches that are learnt."""
+    r = random.Random(3)
+    kana, han = [chr(0x3042 + i) for i in range(40)], [chr(0x4E00 + i * 7) for i in range(300)]
+
+    def text(letters, n=400):
+        return "。".join("".join(r.choices(letters, k=r.randrange(20, 80))) for _ in range(n // 50))
+
+    rows = [(i, text(kana) if i % 2 else text(han), "ja" if i % 2 else "zh", None, 0) for i in range(60)]
+    model = lang_id.fit(spark.createDataFrame(rows, SCHEMA), P.path("piece_bpe_32k.model"))
+    test = [(i, text(kana, 100) if i % 2 else text(han, 100), None, None, 0) for i in range(30)]
+    got = {x.doc_id: x.lang_pred for x in lang_id.identify(spark.createDataFrame(test, SCHEMA), model).collect()}
+    assert got == {i: "ja" if i % 2 else "zh" for i in range(30)}
+
+
+def test_cuts_fall_between_code_points():
+    import pyarrow as pa
+
+    data, starts, ends, text, _ = lang_id.lower_words(pa.array(["é" * 100 + " ab " + "日本語" * 30, "x" * 95 + "😀" * 20, None], pa.string()))
+    a, b, t = lang_id.cut_long(data, starts, ends, text)
+    said = [bytes(data[i:j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    assert all(0 < len(x) <= 30 and x.decode() for x in said)
+    assert b"".join(said).decode() == "é" * 100 + "ab" + "日本語" * 30 + "x" * 95 + "😀" * 20
+    assert t.tolist() == sorted(t.tolist())
+
+
 def test_expected_counts_are_the_gradient():
     pieces = lang_id.Pieces([b"\0a", b"b", b"a", b"ab", b"\0"])
     table = np.random.default_rng(2).random((6, 1))
