@@ -284,11 +284,17 @@ def looked_up(keys: np.ndarray, n: np.ndarray, asked: np.ndarray) -> np.ndarray:
 
 class Own:
     """For each token: how often its text holds its bigram, its context and the
-    token itself, and how many tokens the text has."""
+    token itself, and how many tokens the text has.
+
+    One sort by (text, bigram) does it: bigrams are numbered by context first,
+    so those of one context lie together, and a token is the context of the
+    next one, but for the last of a text."""
+
+    def __init__(self, n: np.ndarray, pair: np.ndarray, left: np.ndarray, ids: np.ndarray):
+        text = np.repeat(np.arange(len(n)), n)
+        order = np.argsort(text * (int(pair.max(initial=0)) + 1) + pair)
 
-    def __init__(self, text: np.ndarray, pair: np.ndarray, left: np.ndarray, ids: np.ndarray):
         def repeats(values):
-            order = np.lexsort((values, text))
             t, v = text[order], values[order]
             first = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (v[1:] != v[:-1])])) if len(t) else np.zeros(0, np.int64)
             size = np.diff(np.append(first, len(t)))
@@ -296,8 +302,11 @@ class Own:
             out[order] = np.repeat(size, size)
             return out
 
-        self.pair, self.context, self.single = repeats(pair), repeats(left), repeats(ids)
-        self.tokens = np.bincount(text)[text] if len(text) else np.zeros(0, np.int64)
+        self.pair, self.context, self.tokens = repeats(pair), repeats(left), n[text]
+        ends = np.cumsum(n)[n > 0] - 1  # the last token of each text
+        is_end = ids == np.repeat(ids[ends], n[n > 0])
+        self.single = np.append(self.context[1:], 0) + is_end
+        self.single[ends] = np.bincount(text, is_end, len(n)).astype(np.int64)[n > 0]
 
 
 class Singles:
@@ -433,7 +442,7 @@ def score(coded: DataFrame, models, flag: str | None = None) -> DataFrame:
             keys, back = np.unique(slot(left, ids), return_inverse=True)
             order, _ = by_part(keys, parts)
             text_of, losses = np.repeat(np.arange(len(n)), n), []
-            own = Own(text_of, back, left, ids) if flag else None
+            own = Own(n, back, left, ids) if flag else None
             for k, m in enumerate(models):
                 seen = np.zeros(len(keys))
                 seen[order] = np.concatenate([unpacked(x[k]) for x in answers]) if answers else 0
