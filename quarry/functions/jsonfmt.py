@@ -39,8 +39,28 @@ def _runs(rows: Column, same: Callable[[Column, Column], Column], make: Callable
     return let(rows, lambda r: F.when(F.size(r) > 0, cut(r)))
 
 
+#: Up to so many triples, filters for each entity and field cost less than sorting.
+SHORT = 16
+
+
 def grouped(rel: Column) -> Column:
     """The record of an array of ``struct(head, relation, tail)``."""
+    return F.when(F.size(rel) <= SHORT, _by_filters(rel)).otherwise(_by_sorting(rel))
+
+
+def _by_filters(rel: Column) -> Column:
+    def entity(e):
+        own = F.filter(rel, lambda r: r["head"].eqNullSafe(e))
+
+        def member(k):
+            return F.struct(k.alias("field"), F.transform(F.filter(own, lambda r: r["relation"].eqNullSafe(k)), lambda r: r["tail"]).alias("tails"))
+
+        return F.struct(e.alias("entity"), F.transform(F.array_distinct(F.transform(own, lambda r: r["relation"])), member).alias("members"))
+
+    return F.transform(F.array_distinct(F.transform(rel, lambda r: r["head"])), entity)
+
+
+def _by_sorting(rel: Column) -> Column:
     triples = F.array_sort(F.transform(rel, lambda r, i: F.struct(r["head"].alias("head"), r["relation"].alias("relation"), i.alias("i"), r["tail"].alias("tail"))))
     fields = _runs(
         triples,

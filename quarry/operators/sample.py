@@ -159,8 +159,8 @@ def global_index(df: DataFrame, prefix: list, draw_col: str, tiebreak: list, nam
 
 def exact_split(df: DataFrame, key: Column, ratio: float = INTERNAL_VALID_RATIO, seed: int = SEED, salt: str = "split") -> DataFrame:
     """Random order by hash, first ``int(n * (1 - ratio))`` rows are train."""
-    n = df.count()
-    cut = int(n * (1 - ratio))
+    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()  # part of the plan: nothing runs while the query is built
+    cut = F.floor(n * F.lit(1 - ratio))
     x = df.withColumn("_s", draw(seed, key, salt)).withColumn("_sk", key.cast("string"))
     return global_index(x, [], "_s", ["_sk"], "_pos").withColumn(
         "split", F.when(F.col("_pos") < cut, F.lit("train")).otherwise(F.lit("valid"))
