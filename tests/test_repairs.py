@@ -16,7 +16,7 @@ from quarry.operators.stats import order_statistic
 from quarry.sources import io
 
 
-def test_empty_patterns_are_refused():
+def test_empty_patterns_are_refused(spark):
     for header, boundary in (([], [1]), ([1], []), ([], [])):
         with pytest.raises(ValueError):
             sft.labels_column(F.col("ids"), header, boundary, 8, 0)
