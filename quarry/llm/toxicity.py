@@ -168,7 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit("part")), "doc_id")) - 1
     few = F.count(F.lit(1)).over(Window.partitionBy("label")) < PARTS
     chosen = cut_lineage(chosen.select("doc_id", "label", (rank % PARTS == 0).alias("tunes"), few.alias("few")))
-    found = docs.select("doc_id", F.col(text).alias("text")).join(chosen, "doc_id").groupBy("doc_id", "label", "tunes", "few").agg(F.max_by("text", F.xxhash64("text")).alias("text"))
+    # the sample is bounded by max_docs, so only its texts are moved
+    found = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "tunes", "few").agg(F.max_by("text", F.xxhash64("text")).alias("text"))
     rows = found.select("label", (F.col("few") | F.col("tunes")).alias("tunes"), (F.col("few") | ~F.col("tunes")).alias("teaches"), "text").persist()
     counts = word_counts(rows.where("teaches"), "label", "text").groupBy("word").agg(F.sum(F.when(F.col("label") > 0, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("label") > 0, 0).otherwise(F.col("n"))).alias("clean")).persist()
     n = counts.agg(F.sum("toxic"), F.sum("clean")).first()
