@@ -210,6 +210,7 @@ def fit(labelled: DataFrame, vocabulary: str, lang: str = "lang", text: str = "t
     spark = labelled.sparkSession
     some = labelled.select("doc_id", F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     ids = sampled(some.select("doc_id", "lang").dropDuplicates(), "lang", max_docs)
+    ids = F.broadcast(ids)  # bounded by max_docs of each language, so only the sample's texts are moved
     met = some.join(ids, (some.doc_id.eqNullSafe(ids.doc_id)) & (some.lang == ids.lang), "left_semi")
     chosen = met.groupBy("doc_id", "lang").agg(F.max_by("text", F.xxhash64("text")).alias("text")).select("lang", "text")
     frequent = {r.lang: r.n for r in some.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # the model has a column for each language
