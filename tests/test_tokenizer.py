@@ -157,3 +157,25 @@ def test_sampled_windows_equal_slices_of_the_whole(spark):
         assert all(r["x"] == whole[r["start"] : r["start"] + L] and r["y"] == whole[r["start"] + 1 : r["start"] + L + 1] for r in rows)
         assert len({r["start"] for r in rows}) > min(100, (len(whole) - L) // 2)
     assert sft.sampled_windows(docs, "doc_id", "ids", len(whole), samples, 5).count() == 0
+
+
+def test_training_rounds_are_few_and_bounded(spark, monkeypatch):
+    """One round serves all merges when the stretches fit; with little room, or
+    many pairs of one count, rounds take fewer pairs and merges stay the same."""
+    texts = [*TEXT, "the then there these those theme thesis theta\n", "aaaa aaaaa aaa bbbb abab baba aaaaaaaa\n", "qwx zjk vfp\n"]
+    counts = bpe.pretoken_counts(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    want = brute_bpe(texts, 256 + 12, [])
+    rounds, sizes, trained = [], [], bpe._next_merges
+
+    def counted(stretches, *args):
+        rounds.append(len(stretches))
+        sizes.append(sum(len(w) for w, _ in stretches))
+        return trained(stretches, *args)
+
+    monkeypatch.setattr(bpe, "_next_merges", counted)
+    assert bpe.train_bpe(counts, 256 + 12)[1] == want
+    assert len(rounds) == 1
+    for batch, room in ((4096, 40), (2, 10), (1, 1)):
+        sizes.clear()
+        assert bpe.train_bpe(counts, 256 + 12, batch=batch, room=room)[1] == want, (batch, room)
+        assert len(sizes) > 1 and max(sizes) <= max(room, 40)
