@@ -116,3 +116,27 @@ def test_global_index_is_dense_and_partition_invariant(spark):
     # the order is (draw, id)
     want = sorted(((r["d"], r["id"]) for r in base.collect()))
     assert [r[1] for r in ref] == [w[1] for w in want]
+
+
+def test_topics_meet_their_records_without_a_shuffle(spark):
+    """A few topics by a shuffle would be a few tasks; also where nothing is
+    small enough for Spark to broadcast by itself."""
+    from quarry.operators import derive as dv
+    from quarry.operators import ie
+    from quarry.sources.adapters import eval_schema, with_allowed
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rel = "array<struct<head:string,relation:string,tail:string>>"
+        d = spark.createDataFrame([("1", "A", "x", [("h", "r", "t")]), ("2", "B", "y", []), ("3", None, "z", [])], f"id string, cate string, input string, relation {rel}")
+        schema = d.select("cate", F.explode("relation.relation").alias("f")).groupBy(F.col("cate").alias("topic")).agg(F.collect_set("f").alias("fields"))
+        prompts = d.select("id", "cate", F.transform("relation", lambda r: r["relation"]).alias("_types"))
+        frames = (dv.schema_lookup(d, schema, {}), with_allowed(prompts, eval_schema(d)), ie.apply_filters(d))
+        assert [f.count() for f in frames] == [3, 3, 3]
+        for f in frames:
+            plan = f._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r["id"]: r["allowed_fields"] for r in frames[1].collect()} == {"1": ["r", "WARRANTY"], "2": [], "3": []}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
