@@ -179,3 +179,17 @@ def test_training_rounds_are_few_and_bounded(spark, monkeypatch):
         sizes.clear()
         assert bpe.train_bpe(counts, 256 + 12, batch=batch, room=room)[1] == want, (batch, room)
         assert len(sizes) > 1 and max(sizes) <= max(room, 40)
+
+
+def test_encoding_shuffles_no_texts(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, None), (None, "c")], "a long, text string")
+    got = bpe.encode_texts(df, "text", ["a"], {b: bytes([b]) for b in range(256)}, [])
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r["a"]: r["ids"] for r in got.collect()} == {1: list(b"a b a"), 2: []}
+
+
+def test_the_corpus_is_cleaned_once(spark):
+    from conftest import SMOKE
+    from quarry.plans import tokenize as tk
+
+    assert "regexp_replace" not in tk.corpus(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
