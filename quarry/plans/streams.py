@@ -21,13 +21,26 @@ def _stream(spark, sf_dir, name):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(sf_dir, f"{name}.parque[t]"))
 
 
+#: Bytes of values that one file of an arrival should hold.
+PART_BYTES = 64 << 20
+
+
 def _in_files(spark, df, name, order, files):
-    """The rows as a folder of ``files`` parquet files in ``order`` (a column of
-    file numbers), written one after the other; streams read one at a time."""
+    """The rows as ``files`` arrivals in ``order`` (a column of their numbers),
+    written one after the other; streams read one at a time.  An arrival is one
+    parquet file, or as many of about ``PART_BYTES`` as the largest one takes."""
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    rows = df.drop(order)
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(8) for c, kind in rows.dtypes), F.lit(0))
+    most = df.select(order, width.cast("long").alias("w")).groupBy(order).agg(F.sum("w").alias("w")).agg(F.max("w")).first()[0]
+    parts = max(1, -(-(most or 0) // PART_BYTES))
     for k in range(files):
-        df.filter(F.col(order) == k).drop(order).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.drop(order).schema).option("maxFilesPerTrigger", 1).parquet(path)
+        own = df.filter(F.col(order) == k).drop(order)
+        (own.repartition(parts) if parts > 1 else own.coalesce(1)).write.mode("append").parquet(path)
+        # parts without rows are not written: empty files make up the number
+        for _ in range(parts * (k + 1) - len(spark.read.schema(rows.schema).parquet(path).inputFiles()) if parts > 1 else 0):
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", parts).parquet(path)
 
 
 def _dirty(s):

@@ -79,3 +79,15 @@ def test_summary_without_weights_or_validation(spark, tmp_path):
     cs.merge_batch(spark, log, 0, str(tmp_path / "s"))
     r = cs.latest_summary(spark, str(tmp_path / "s")).first()
     assert (r["first_step"], r["last_step"], r["best_step"], r["best_val_loss"], r["evals"]) == (1, 3, None, None, 2) and r["weighted_loss"] != r["weighted_loss"]
+
+
+def test_arrivals_of_several_files(spark, monkeypatch):
+    from quarry.plans import streams
+
+    monkeypatch.setattr(streams, "PART_BYTES", 400)
+    batches = [[(k * 100 + i, f"text number {i % 20} of {'many' if k else 'some'}") for i in range(40)] for k in range(3)] + [[], [(400, "one more text")]]
+    s = arrivals(spark, batches)
+    reports: list = []
+    out = cs.run_to_table(spark, cs.clean_stream(s, min_length=5), "several-test", progress=reports)
+    assert out.count() == 41
+    assert [r["numInputRows"] for r in reports if r["numInputRows"]] == [40, 40, 40, 1]
