@@ -140,3 +140,25 @@ def test_topics_meet_their_records_without_a_shuffle(spark):
         assert {r["id"]: r["allowed_fields"] for r in frames[1].collect()} == {"1": ["r", "WARRANTY"], "2": [], "3": []}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_prompts_are_made_only_where_asked_for(spark):
+    from quarry.operators import derive as dv
+
+    triples = [("E1", "f1", "v1"), ("E1", "f2", "v2"), ("E2", "f1", "v3")]
+    d = spark.createDataFrame([("1", "T", "high", "some text", triples), ("2", "T", "low", "x", triples[:1])],
+                              "id string, cate string, quality_tier string, input string, relation array<struct<head:string,relation:string,tail:string>>")
+    schema = spark.createDataFrame([("T", ["f1", "f2", "f3"])], "topic string, fields array<string>")
+    t = dv.derive_tasks(d, schema, {})
+    assert dv.T2J_PROMPT_HEAD.strip() not in t.select("task_type", "original_id")._jdf.queryExecution().optimizedPlan().toString()
+    rows = {(r["original_id"], r["task_type"]): r for r in t.collect()}
+    assert sorted(rows) == [("1", k) for k in sorted(dv.TASK_TYPES)] + [("2", "ie_extraction")]
+    assert all('["f1", "f2", "f3"]' in r["prompt"] for r in rows.values())
+    assert {k for k, r in rows.items() if r["perturbation"] is not None} == {("1", "schema_repair")}
+
+
+def test_a_computed_relation_list_is_made_once(spark):
+    df = spark.createDataFrame([([("a", "r", "x"), ("b", "r", "y")],)], "rel array<struct<head:string,relation:string,tail:string>>")
+    out = df.select(relations_json(F.filter("rel", lambda r: r["tail"] != "marked")).alias("j"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("marked") == 1
+    assert out.first()["j"] == '{"a": {"r": "x"}, "b": {"r": "y"}}'
