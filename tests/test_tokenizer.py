@@ -188,6 +188,12 @@ def test_encoding_shuffles_no_texts(spark):
     assert {r["a"]: r["ids"] for r in got.collect()} == {1: list(b"a b a"), 2: []}
 
 
+def test_copies_of_a_row_count_together(spark):
+    df = spark.createDataFrame([(1, 2, "a bc"), (2, 1, "a bc")], "a long, n long, text string")
+    got = bpe.encode_texts(df, "text", ["a"], {b: bytes([b]) for b in range(256)}, [], times="n")
+    assert {r["a"]: bytes(r["ids"]) for r in got.collect()} == {1: b"aa bc bc", 2: b"a bc"}
+
+
 def test_the_corpus_is_cleaned_once(spark):
     from conftest import SMOKE
     from quarry.plans import tokenize as tk
