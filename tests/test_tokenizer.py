@@ -199,3 +199,28 @@ def test_the_corpus_is_cleaned_once(spark):
     from quarry.plans import tokenize as tk
 
     assert "regexp_replace" not in tk.corpus(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pretokens_are_counted_where_the_texts_lie(spark):
+    df = spark.createDataFrame([(None, "a b a"), ("x", "b<|endoftext|>b"), ("x", None), ("x", "b")], "k string, text string").repartition(2)
+    counts = bpe.pretoken_counts(df, "text", SPECIALS)
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()  # no row for an occurrence
+    assert {r["token"]: r["count"] for r in counts.collect()} == {"a": 1, " b": 1, " a": 1, "b": 3}
+    by = bpe.pretoken_counts(df, "text", SPECIALS, by=("k",), with_specials=True)
+    assert {(r["k"], r["token"]): r["count"] for r in by.collect()} == {(None, "a"): 1, (None, " b"): 1, (None, " a"): 1, ("x", "b"): 3, ("x", SPECIALS[0]): 1}
+
+
+def test_words_merged_together_equal_words_merged_alone():
+    """Also where two merges give the same bytes, so that a step opens a pair
+    of a lower rank, and where words are long or leave the memory at once."""
+    merges = [(b"a", b"b"), (b"b", b"c"), (b"ab", b"c"), (b"abc", b"a"), (b"a", b"bc"), (b"a", b"a"), (b"aa", b"a")]
+    vocab = {b: bytes([b]) for b in range(256)}
+    for left, right in merges:
+        vocab[len(vocab)] = left + right
+    enc = bpe.Encoder(vocab, merges, SPECIALS)
+    texts = ["abcabcabc", "bcbca abca", "aaaaa aaaa a", "abc" * 100, "", None, "é中 a<|endoftext|>abc", "cab" * 30]
+    for keep in (1, 10**6):
+        got = [memoryview(ids).cast("i").tolist() for ids in enc.encode_all(texts, None, keep)]
+        assert got == [enc.encode(t) for t in texts]
+    twice = memoryview(enc.encode_all(["abc a"], [2])[0]).cast("i").tolist()
+    assert twice == enc.encode("abc") * 2 + enc.encode(" a") * 2
