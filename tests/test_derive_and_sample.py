@@ -4,7 +4,9 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from quarry.functions.draw import draw
 from quarry.functions.jsonfmt import grouped, relations_json
+from quarry.operators import sample as sp
 from quarry.operators.derive import PERTURB_KINDS, perturb
 from quarry.operators.sample import global_index
 
@@ -162,3 +164,22 @@ def test_a_computed_relation_list_is_made_once(spark):
     out = df.select(relations_json(F.filter("rel", lambda r: r["tail"] != "marked")).alias("j"))
     assert out._jdf.queryExecution().optimizedPlan().toString().count("marked") == 1
     assert out.first()["j"] == '{"a": {"r": "x"}, "b": {"r": "y"}}'
+
+
+def test_first_k_shuffles_no_rows_to_choose_them(spark):
+    """Only the histogram and the rows of a boundary bucket are shuffled; a
+    group's boundary, one row, meets the rows by a broadcast."""
+    d = spark.range(400).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 2).alias("g"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("p"),
+                                F.lit("wide").alias("text"), draw(1, F.col("id")).alias("u"))
+    rows = d.collect()
+    for k in (0, 1, 77, 1000):
+        got = sp.first_k(d, ["g"], ["p"], "u", "id", F.lit(k), buckets=16)
+        want = set()
+        for g in (None, 0, 1):
+            own = sorted((r for r in rows if r.g == g), key=lambda r: (r.p is not None, r.p or 0, r.u, r.id))
+            want |= {r.id for r in own[:k]}
+        ids = [r.id for r in got.collect()]
+        assert len(ids) == len(want) and set(ids) == want
+    plan = got._jdf.queryExecution().optimizedPlan()
+    joins = [line for line in plan.toString().split("\n") if "Join" in line]
+    assert joins and all("broadcast" in line for line in joins)
