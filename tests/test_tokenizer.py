@@ -224,3 +224,45 @@ def test_words_merged_together_equal_words_merged_alone():
         assert got == [enc.encode(t) for t in texts]
     twice = memoryview(enc.encode_all(["abc a"], [2])[0]).cast("i").tolist()
     assert twice == enc.encode("abc") * 2 + enc.encode(" a") * 2
+
+
+def test_texts_cut_together_equal_the_pattern():
+    """Blanks of every kind, contractions, special tokens and bounds of texts."""
+    import random
+
+    r, pattern = random.Random(1), regex.compile(bpe.GPT2_PATTERN)
+    parts = ["'", "'s", "'ll", "'re", " ", "  ", "\n", "\t", "　", "\x1c", "\x85", "a", "l", "s", "é", "中", "1", "²", "Ⅷ", "_", "!", "́", "😀", "<|e|>", SPECIALS[0], "<|", "​"]
+    pre = bpe.PreTokens(["<|e|>", *SPECIALS])
+    for _ in range(1500):
+        texts = [None if r.random() < 0.05 else "".join(r.choice(parts) for _ in range(r.randrange(25))) for _ in range(r.randrange(1, 6))]
+        want = [(i, k % 2 == 1, w) for i, t in enumerate(texts) if t for k, piece in enumerate(pre.pieces(t)) for w in ([piece] if k % 2 else pattern.findall(piece))]
+        words, of, special = pre.flat(texts)
+        assert list(zip(of.tolist(), special.tolist(), words.to_pylist())) == want, texts
+    assert [len(x) for x in pre.flat([])] == [0, 0, 0]
+
+
+def test_token_counts_of_rows_that_are_null_or_empty(spark):
+    vocab = {b: bytes([b]) for b in range(256)}
+    rows = [(0, ["a", "bc", ""]), (1, None), (2, []), (3, ["é", None])]
+    df = spark.createDataFrame(rows, "a long, t array<string>").coalesce(1)
+    got = df.select("a", bpe.token_counts_column(spark, F.col("t"), vocab, []).alias("c")).collect()
+    assert {r["a"]: r["c"] for r in got} == {0: [1, 2, 0], 1: None, 2: [], 3: [2, 0]}
+
+
+def test_few_rounds_of_training_write_the_words(spark, monkeypatch):
+    texts = [*TEXT, "aaaa aaaaa aaa bbbb abab baba aaaaaaaa\n"]
+    counts = bpe.pretoken_counts(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    cuts, rounds, cut, trained = [], [], bpe.cut_lineage, bpe._next_merges
+    monkeypatch.setattr(bpe, "cut_lineage", lambda df: cuts.append(1) or cut(df))
+    monkeypatch.setattr(bpe, "_next_merges", lambda *a: rounds.append(1) or trained(*a))
+    monkeypatch.setattr(bpe, "ROUNDS_A_CUT", 4, raising=False)
+    assert bpe.train_bpe(counts, 256 + 10, checkpoint_every=1)[1] == brute_bpe(texts, 256 + 10, [])
+    assert len(rounds) == 10 and len(cuts) == 1 + 2
+
+
+def test_rows_of_words_hold_many():
+    import numpy as np
+
+    parts = [(np.array([1, 2, 3], np.uint8), np.array([2, 1]), np.array([5, 7])), (np.array([9, 9], np.int32), np.array([2]), np.array([2**40]))]
+    ((symbols, lengths, freq),) = bpe._flat([bpe._packed(parts)])
+    assert (symbols.tolist(), lengths.tolist(), freq.tolist()) == ([1, 2, 3, 9, 9], [2, 1, 2], [5, 7, 2**40])
