@@ -183,3 +183,19 @@ def test_first_k_shuffles_no_rows_to_choose_them(spark):
     plan = got._jdf.queryExecution().optimizedPlan()
     joins = [line for line in plan.toString().split("\n") if "Join" in line]
     assert joins and all("broadcast" in line for line in joins)
+
+
+def test_records_take_partitions_by_their_number(spark, monkeypatch):
+    """However few partitions the session has, and with the same records."""
+    from conftest import SMOKE
+    from quarry.plans import ie as plans
+    from quarry.sources import adapters
+
+    def rows():
+        t = plans.filtered(spark, SMOKE)
+        return t.rdd.getNumPartitions(), sorted(map(str, t.select("id", "cate", "input", "relation", "reject_reason").collect()))
+
+    _, want = rows()
+    monkeypatch.setattr(adapters, "ITEMS_A_TASK", 250, raising=False)
+    n, got = rows()
+    assert n >= 20 and got == want
