@@ -24,7 +24,8 @@ def _folder(spark, name):
 
 def _csv(spark, df, name, schema):
     path = _folder(spark, name)
-    io.write_csv(df, path)
+    # a report of one row for each output is larger than the tables it is made from
+    io.write_csv(df, path, compression="gzip")
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
