@@ -266,3 +266,28 @@ def test_rows_of_words_hold_many():
     parts = [(np.array([1, 2, 3], np.uint8), np.array([2, 1]), np.array([5, 7])), (np.array([9, 9], np.int32), np.array([2]), np.array([2**40]))]
     ((symbols, lengths, freq),) = bpe._flat([bpe._packed(parts)])
     assert (symbols.tolist(), lengths.tolist(), freq.tolist()) == ([1, 2, 3, 9, 9], [2, 1, 2], [5, 7, 2**40])
+
+
+def test_sampled_windows_shuffle_no_token_outside_a_window(spark):
+    """Ids are cut where they meet their windows; copies of a document, documents
+    of one token and a sample drawn twice count as before."""
+    rows = [(i, [i] * (1 + i % 2)) for i in range(300)] + [(300, list(range(5000))), (301, [7, 8]), (301, [7, 8])]
+    docs = spark.createDataFrame(rows, "doc_id long, ids array<int>").repartition(4)
+    whole = [x for _, ids in rows for x in ids]
+    samples = spark.createDataFrame([(k % 150,) for k in range(200)], "sample long")
+    for L in (1, 64, 6000):
+        d = sft.sampled_windows(docs, "doc_id", "ids", L, samples, 5)
+        got = d.collect()
+        assert len(got) == (200 if len(whole) > L else 0)
+        assert all(r["x"] + r["y"][-1:] == whole[r["start"] : r["start"] + L + 1] and len(r["x"]) == len(r["y"]) == L for r in got)
+    plan = sft.sampled_windows(docs, "doc_id", "ids", 64, samples, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Window" in plan  # no blocks of all tokens are built
+    assert not [x for x in plan.split("\n") if "Window" in x and "ids" in x]
+
+
+def test_encoding_returns_only_the_columns_asked_for(spark):
+    df = spark.createDataFrame([(1, "a b", 2), (2, None, 1)], "a long, text string, n long")
+    vocab = {b: bytes([b]) for b in range(256)}
+    got = bpe.encode_texts(df, "text", ["a"], vocab, [], (), times="n", returned=["a"])
+    assert got.columns == ["a", "ids"]
+    assert {r["a"]: r["ids"] for r in got.collect()} == {1: list(b"aa b b"), 2: []}
